@@ -1,0 +1,6 @@
+"""No streaming jobs.
+
+The source system is a batch run: extracts arrive whole, alerts are evaluated
+over complete weeks, and no table carries event time. There is nothing to
+reproduce as a stream.
+"""
