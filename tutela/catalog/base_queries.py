@@ -137,7 +137,7 @@ def _scalar(name: str, table: str, key: str, build, sql: str):
         cols = out if isinstance(out, dict) else {"value": out}
         return src.select(key, *[c.alias(n) for n, c in cols.items()])
     view = {"raw_students": "v_raw", "students": "v_students", "enrolments": "v_enrol",
-            "cases": "v_cases", "fact_case": "f_case", "triage": "m_triage",
+            "case_rows": "v_cases", "fact_case": "f_case", "triage": "m_triage",
             "effect_input": "m_effect", "activity": "v_activity"}.get(table, table)
     add(name, run, f"SELECT {key}, {sql} FROM {view}")
 
@@ -192,7 +192,7 @@ _scalar("fn_cut", "customer", "c_custkey",
 _scalar("fn_stratum_key", "students", "student_id",
         lambda: fn.stratum_key("mode", "citizenship", "first_nations"),
         "mode || '|' || citizenship || '|' || first_nations AS value")
-_scalar("fn_prefix", "cases", "case_id",
+_scalar("fn_prefix", "case_rows", "case_id",
         lambda: {"reached": fn.starts_with("contact_outcome", "Reached"),
                  "head": fn.left_text("contact_outcome", 2)},
         "contact_outcome LIKE 'Reached%' AS reached, left(contact_outcome, 2) AS head")
@@ -457,7 +457,7 @@ add("ag_list", lambda b: ag.ordered_list(
     "';') AS priorities FROM orders GROUP BY o_custkey")
 add("ag_distinct", lambda b: b.fact_enrolment.select("student_id", "term_code").distinct(),
     "SELECT DISTINCT student_id, term_code FROM f_enrol")
-add("ag_min_id", lambda b: b.fact_case.filter("linked_alert_id IS NOT NULL")
+add("ag_min_id", lambda b: b.fact_case_linked.filter("linked_alert_id IS NOT NULL")
     .groupBy("linked_alert_id").agg(F.min("case_id").alias("case_id")),
     "SELECT linked_alert_id, min(case_id) AS case_id FROM f_case "
     "WHERE linked_alert_id IS NOT NULL GROUP BY linked_alert_id")

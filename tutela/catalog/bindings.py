@@ -7,14 +7,17 @@ three ten-day terms of January 2024 for activity, one day standing for a week.
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from tutela.plans import (alerts, dimensions, evaluation, facts, fairness, identity, marts, quality,
                           references, staging)
 from tutela.plans.metrics import Model
+from tutela.session import keep
 from tutela.sources import lookup
 
 HALF_YEARS = [(f"{y}S{h}", f"{y}-{'01' if h == 1 else '07'}-01", f"{y}-{'02' if h == 1 else '08'}-01",
@@ -32,6 +35,23 @@ ADVISORS = [(f"ADV{i:02d}", f"Advisor {i}", campuses, f"adv{i:02d}@example.org")
             for i, campuses in enumerate([
                 "AFRICA|AMERICA", "AFRICA|ASIA", "AMERICA|ASIA", "EUROPE", "EUROPE|MIDDLE EAST",
                 "ASIA|EUROPE", "MIDDLE EAST", "AFRICA", "ASIA", "AMERICA"], 1)]
+# declared, so that opening a table costs no job that reads footers
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
 THRESHOLDS = alerts.Thresholds(first_week=3, last_week=10, inactivity_logins=0, missed_items=6,
                                ontime_from_week=6, ontime_min_due=3, ontime_num=2, ontime_den=10)
 MATCH_KEYS = ("postcode", "program_code", "match_band")
@@ -48,44 +68,85 @@ def ten_day_term(day) -> Column:
     return F.concat(F.lit(CASE_TERM), (F.floor((day - 1) / TERM_DAYS) + 1).cast("string"))
 
 
+class frame:
+    """A frame built on first use; written once if a plan declared it shared."""
+
+    def __init__(self, build):
+        self.build, self.__doc__ = build, build.__doc__
+
+    def __set_name__(self, owner, name):
+        self.name = name
+
+    def __get__(self, bound, owner=None):
+        if bound is None:
+            return self
+        df = self.build(bound)
+        if self.name in bound.shared:
+            df = keep(df, self.name)
+        bound.__dict__[self.name] = df
+        return df
+
+
 class Bound:
-    """Lazily bound frames of one folder of tables."""
+    """Lazily bound frames of one folder of tables.
+
+    A frame with several consumers in one query is declared with ``share`` by
+    the frame that brings them together. It is then written once, where
+    otherwise each consumer would scan and join the source tables again.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self.shared: set[str] = set()
+        self._tables: dict[str, DataFrame] = {}
+
+    def share(self, *names: str) -> None:
+        self.shared.update(names)
+
+    def together(self, *names: str, after: str) -> None:
+        """Write shared frames that build on ``after`` but not on each other at the
+        same time, so that one with few tasks does not keep the cluster waiting."""
+        self.share(after, *names)
+        getattr(self, after)
+        with ThreadPoolExecutor(len(names)) as pool:
+            list(pool.map(inheritable_thread_target(self.spark)(lambda n: getattr(self, n)),
+                          names))
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(
+                f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # ------------------------------------------------------------ references --
-    @cached_property
+    @frame
     def terms(self) -> DataFrame:
         return references.term_rows(self.spark, HALF_YEARS)
 
-    @cached_property
+    @frame
     def tterms(self) -> DataFrame:
         return references.term_rows(self.spark, TEN_DAYS)
 
-    @cached_property
+    @frame
     def programs(self) -> DataFrame:
         return references.program_rows(self.spark, PROGRAMS)
 
-    @cached_property
+    @frame
     def rates(self) -> DataFrame:
         return references.rate_rows(self.spark)
 
-    @cached_property
+    @frame
     def advisors(self) -> DataFrame:
         return lookup(self.spark, ADVISORS, "advisor_id string, advisor_name string, "
                                             "covered_campuses string, upn string")
 
-    @cached_property
+    @frame
     def regions(self) -> DataFrame:
         return self.table("nation").join(
             self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
             "n_nationkey", "n_name", "r_name")
 
-    @cached_property
+    @frame
     def postcodes(self) -> DataFrame:
         key = F.col("n_nationkey")
         return self.table("nation").select(
@@ -93,13 +154,13 @@ class Bound:
             F.when(key % 5 == 0, "Regional").when(key % 5 == 1, "Remote")
             .otherwise("Metropolitan").alias("remoteness"))
 
-    @cached_property
+    @frame
     def synonyms(self) -> DataFrame:
         return self.regions.filter("n_nationkey < 24").select(
             F.upper(F.trim("n_name")).alias("variant"), F.col("r_name").alias("canonical"))
 
     # --------------------------------------------------------------- students --
-    @cached_property
+    @frame
     def raw_students(self) -> DataFrame:
         """Customers as a text extract with all the usual noise."""
         key = F.col("c_custkey")
@@ -120,7 +181,7 @@ class Bound:
             F.when(key % 4 == 0, "Y").when(key % 4 == 1, "N").when(key % 4 == 2, "")
             .alias("first_nations_flag"))
 
-    @cached_property
+    @frame
     def students(self) -> DataFrame:
         """Staged students; every fiftieth customer is missing, so orphans exist."""
         key = F.col("c_custkey")
@@ -152,66 +213,71 @@ class Bound:
             F.col("r_name").alias("campus_code_raw"),
             F.floor(F.col("c_acctbal") / 1000).alias("match_band"), "commencing_term")
 
-    @cached_property
+    @frame
     def active_ids(self) -> DataFrame:
         return self.table("orders").filter("o_orderstatus = 'P'").select(
             F.col("o_custkey").alias("student_id"))
 
-    @cached_property
+    @frame
     def survivors(self) -> DataFrame:
+        self.share("students")
         return identity.survivorship(self.students, self.active_ids, MATCH_KEYS)
 
-    @cached_property
+    @frame
     def students_dedup(self) -> DataFrame:
         return identity.drop_duplicates_by(self.students, self.survivors)
 
-    @cached_property
+    @frame
     def dim_student(self) -> DataFrame:
+        self.share("students")
         return dimensions.dim_student(self.students_dedup, self.postcodes)
 
     # ------------------------------------------------------------- enrolments --
-    @cached_property
+    @frame
     def enrolments(self) -> DataFrame:
-        q = F.col("l_quantity")
-        gone = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
-        running = F.col("o_orderdate") >= F.lit("2001-07-01").cast("timestamp_ntz")
+        # spelling and term belong to the supplier and the order, so they are
+        # settled there, before the rows of the line items multiply them
         place = self.table("supplier").join(
             self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(
-            "s_suppkey", "n_name")
-        rows = self.table("lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus") \
-            .join(place, F.col("l_suppkey") == F.col("s_suppkey")).join(
-            self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate"),
-            F.col("l_orderkey") == F.col("o_orderkey"))
-        staged = rows.select(
-            F.col("o_custkey").alias("student_id"), F.col("l_partkey").alias("unit_code"),
+            "s_suppkey", F.upper(F.trim("n_name")).alias("campus_code_raw"))
+        place = staging.resolve_campus(place, self.synonyms)
+        order = self.table("orders").select(
+            "o_orderkey", F.col("o_custkey").alias("student_id"),
             half_year(F.col("o_orderdate")).alias("term_code"),
-            F.upper(F.trim("n_name")).alias("campus_code_raw"),
-            (q * 2 + 2).alias("mark"), F.lit(0.125).alias("eftsl"),
+            (F.col("o_orderdate") >= F.lit("2001-07-01").cast("timestamp_ntz")).alias("running"))
+        rows = (self.table("lineitem").join(place, F.col("l_suppkey") == F.col("s_suppkey"))
+                .join(order, F.col("l_orderkey") == F.col("o_orderkey")))
+        q, running = F.col("l_quantity"), F.col("running")
+        gone = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
+        return rows.select(
+            "student_id", F.col("l_partkey").alias("unit_code"), "term_code", "campus_code",
+            "campus_code_raw", (q * 2 + 2).alias("mark"), F.lit(0.125).alias("eftsl"),
             F.when(gone, "Withdrawn pre-census").when(running, "In progress")
             .otherwise("Completed").alias("enrolment_status"),
             F.when(gone, "WW").when(running, "IP").when(q >= 41.5, "HD").when(q >= 36.5, "DI")
             .when(q >= 31.5, "CR").when(q >= 24, "PA").otherwise("NN").alias("grade"))
-        return staging.resolve_campus(staged, self.synonyms)
 
-    @cached_property
+    @frame
     def judged(self) -> DataFrame:
         return quality.judge_enrolments(self.enrolments, self.students, self.synonyms)
 
-    @cached_property
+    @frame
     def rejected(self) -> DataFrame:
         return quality.quarantine(self.judged)
 
-    @cached_property
+    @frame
     def clean(self) -> DataFrame:
-        return quality.clean(self.enrolments, self.rejected)
+        self.share("judged", "students")
+        rows = self.judged.drop("bad_mark", "bad_campus", "orphan")
+        return quality.clean(rows, self.rejected)
 
-    @cached_property
+    @frame
     def fact_enrolment(self) -> DataFrame:
+        self.together("survivors", "judged", after="students")
         return facts.fact_enrolment(self.clean, self.survivors)
 
     # --------------------------------------------------------------- activity --
-    @cached_property
+    @frame
     def activity(self) -> DataFrame:
         """One row per user and day of the calendar, zero where nothing happened.
 
@@ -240,21 +306,23 @@ class Bound:
             zero["on_time"].alias("submitted_on_time"), zero["late"].alias("submitted_late"),
             zero["missed"].alias("missed"))
 
-    @cached_property
+    @frame
     def fact_engagement(self) -> DataFrame:
+        self.share("students", "survivors")
         return facts.fact_engagement(self.activity, self.students, self.survivors)
 
-    @cached_property
+    @frame
     def alerts(self) -> DataFrame:
         # unique per user, term and day by construction
         return alerts.alert_rules(self.activity, self.tterms, THRESHOLDS, collapse=False)
 
-    @cached_property
-    def cases(self) -> DataFrame:
+    @frame
+    def case_rows(self) -> DataFrame:
+        """Cases without their alerts, which most consumers do not need."""
         e = F.col("event_id")
         early = e % 8 == 0
         ev = self.table("events").filter("event_type = 'signup' AND event_id % 8 < 2")
-        rows = ev.select(
+        return ev.select(
             e.alias("case_id"), F.col("user_id").alias("student_id"),
             ten_day_term(F.dayofmonth("ts")).alias("term_code"),
             F.col("ts").cast("date").alias("opened_date"),
@@ -270,21 +338,34 @@ class Bound:
             .otherwise("Service provided").alias("contact_outcome"),
             F.when(F.col("value") >= 50, F.date_add(
                 F.col("ts").cast("date"), F.floor("value").cast("int") % 21)).alias("closed_date"))
+
+    @frame
+    def cases(self) -> DataFrame:
+        """Early-alert cases are linked to the first alert of the student-term."""
+        self.share("activity", "alerts")
         first = self.alerts.groupBy("student_id", "term_code").agg(
             F.min("alert_id").alias("first_alert"))
-        return (rows.join(first, ["student_id", "term_code"], "left")
+        return (self.case_rows.join(first, ["student_id", "term_code"], "left")
                 .withColumn("linked_alert_id", F.when(F.col("source") == "Early alert",
                                                       F.col("first_alert"))).drop("first_alert"))
 
-    @cached_property
+    @frame
     def fact_case(self) -> DataFrame:
+        self.share("students", "survivors")
+        return facts.fact_case(self.case_rows, self.survivors)
+
+    @frame
+    def fact_case_linked(self) -> DataFrame:
+        self.share("students", "survivors", "activity", "alerts")
         return facts.fact_case(self.cases, self.survivors)
 
-    @cached_property
+    @frame
     def fact_alert(self) -> DataFrame:
-        return facts.fact_alert(self.alerts, self.fact_case, self.tterms, self.survivors)
+        self.share("activity", "fact_case_linked")
+        self.together("survivors", "alerts", after="students")
+        return facts.fact_alert(self.alerts, self.fact_case_linked, self.tterms, self.survivors)
 
-    @cached_property
+    @frame
     def presence(self) -> DataFrame:
         """Who is there in which ten-day term: a purchase above 60."""
         bought = self.table("events").filter("event_type = 'purchase' AND value > 60").select(
@@ -293,73 +374,112 @@ class Bound:
         return identity.remap(bought, self.survivors)
 
     # ------------------------------------------------------------------- marts --
-    @cached_property
+    @frame
     def executive(self) -> DataFrame:
+        self.share("students", "survivors")
         return marts.mart_executive(self.fact_enrolment, self.dim_student, self.programs)
 
-    @cached_property
+    @frame
     def retention_flags(self) -> DataFrame:
+        self.share("students", "survivors")
         return marts.retention_flag(self.dim_student, marts.presence(self.fact_enrolment), MAX_YEAR)
 
-    @cached_property
+    @frame
     def retention(self) -> DataFrame:
         return marts.retention(self.retention_flags)
 
-    @cached_property
+    @frame
     def nbf(self) -> DataFrame:
+        self.share("students", "survivors")
         return marts.nbf(self.dim_student, self.rates, self.fact_case)
 
-    @cached_property
+    @frame
     def seheef(self) -> DataFrame:
+        self.share("students", "survivors")
         return marts.seheef(self.fact_case, self.dim_student)
 
-    @cached_property
+    @frame
     def triage(self) -> DataFrame:
+        self.share("activity", "alerts", "students", "survivors")
         return marts.triage(self.fact_alert, self.fact_engagement, self.dim_student, self.programs,
                             self.fact_case, self.advisors, self.tterms)
 
-    @cached_property
+    @frame
     def effect_input(self) -> DataFrame:
+        self.share("activity", "alerts", "students", "survivors")
         return marts.effect_input(self.fact_alert, self.fact_engagement, self.dim_student,
                                   self.presence, self.tterms)
 
-    @cached_property
+    @frame
     def trend(self) -> DataFrame:
+        self.share("students", "survivors")
         return marts.trend(self.fact_engagement, self.dim_student)
 
-    @cached_property
+    @frame
     def issues(self) -> DataFrame:
+        self.together("survivors", "judged", after="students")
         return quality.issue_log(self.survivors, self.students_dedup, self.judged, self.activity,
                                  self.students)
 
-    @cached_property
+    @frame
     def dq_summary(self) -> DataFrame:
+        self.share("students", "survivors", "judged")
         return quality.summarise(self.issues, self.rejected)
 
-    @cached_property
+    @frame
     def fairness(self) -> DataFrame:
+        self.share("activity", "alerts", "students", "survivors")
         return fairness.fairness(self.fact_engagement, self.dim_student, self.effect_input,
                                  self.tterms)
 
-    @cached_property
+    @frame
     def cells(self) -> DataFrame:
         return evaluation.cells(self.effect_input)
 
     def results(self) -> DataFrame:
         return evaluation.results(self.effect_input)
 
-    @cached_property
+    # ------------------------------------------------------------------- model --
+    @property
+    def dim_term(self) -> DataFrame:
+        return self.terms.unionByName(self.tterms)
+
+    @property
+    def dim_campus(self) -> DataFrame:
+        name = F.col("r_name")
+        return self.table("region").select(name.alias("campus_code"), name.alias("campus_name"))
+
+    @property
+    def dim_unit(self) -> DataFrame:
+        return self.table("part").select(F.col("p_partkey").alias("unit_code"),
+                                         F.col("p_name").alias("unit_name"))
+
+    @property
     def model(self) -> Model:
-        return Model({
-            "dim_student": self.dim_student, "dim_term": self.terms.unionByName(self.tterms),
-            "dim_campus": self.table("region").select(
-                F.col("r_name").alias("campus_code"), F.col("r_name").alias("campus_name")),
-            "dim_program": self.programs, "dim_advisor": self.advisors,
-            "dim_unit": self.table("part").select(
-                F.col("p_partkey").alias("unit_code"), F.col("p_name").alias("unit_name")),
-            "fact_enrolment": self.fact_enrolment, "fact_engagement_week": self.fact_engagement,
-            "fact_case": self.fact_case, "fact_alert": self.fact_alert,
-            "mart_triage_current": self.triage, "mart_retention_cohort": self.retention,
-            "mart_nbf_funding": self.nbf, "mart_seheef_activity": self.seheef,
-            "mart_engagement_trend": self.trend, "mart_dq_summary": self.dq_summary,
-            "mart_executive": self.executive})
+        return Model(ModelTables(self))
+
+
+MODEL_FRAMES = {
+    "dim_student": "dim_student", "dim_term": "dim_term", "dim_campus": "dim_campus",
+    "dim_program": "programs", "dim_advisor": "advisors", "dim_unit": "dim_unit",
+    "fact_enrolment": "fact_enrolment", "fact_engagement_week": "fact_engagement",
+    "fact_case": "fact_case", "fact_alert": "fact_alert", "mart_triage_current": "triage",
+    "mart_retention_cohort": "retention", "mart_nbf_funding": "nbf",
+    "mart_seheef_activity": "seheef", "mart_engagement_trend": "trend",
+    "mart_dq_summary": "dq_summary", "mart_executive": "executive"}
+
+
+class ModelTables(Mapping):
+    """Model tables by name, bound when first asked for."""
+
+    def __init__(self, bound: Bound):
+        self.bound = bound
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self.bound, MODEL_FRAMES[name])
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(MODEL_FRAMES)
+
+    def __len__(self) -> int:
+        return len(MODEL_FRAMES)

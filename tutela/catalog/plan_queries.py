@@ -213,7 +213,7 @@ add("dm_term", lambda b: b.fact_enrolment.groupBy("term_code").agg(
     "SELECT term_code, term_start, year, semester, is_current, count(*) AS rows FROM f_enrol "
     "JOIN v_terms USING (term_code) GROUP BY ALL")
 add("dm_campus", lambda b: b.fact_enrolment.groupBy("campus_code").agg(
-    F.count(F.lit(1)).alias("rows")).join(b.model.tables["dim_campus"], "campus_code"),
+    F.count(F.lit(1)).alias("rows")).join(b.dim_campus, "campus_code"),
     "SELECT campus_code, r_name AS campus_name, count(*) AS rows FROM f_enrol "
     "JOIN region ON r_name = campus_code GROUP BY ALL")
 add("dm_program", lambda b: b.dim_student.groupBy("program_code").agg(
@@ -229,7 +229,7 @@ add("dm_advisor", lambda b: b.fact_case.groupBy("advisor_id").agg(
     "advisor_id", "advisor_name", "covered_campuses", "cases"),
     "SELECT advisor_id, advisor_name, covered_campuses, count(*) AS cases FROM f_case "
     "JOIN v_advisors USING (advisor_id) GROUP BY ALL")
-add("dm_unit", lambda b: b.model.tables["dim_unit"],
+add("dm_unit", lambda b: b.dim_unit,
     "SELECT p_partkey AS unit_code, p_name AS unit_name FROM part")
 for _id, _col in (("dm_low_ses", "low_ses"), ("dm_regional", "regional_remote"),
                   ("dm_equity", "nbf_equity_cohort"), ("dm_nbf_category", "nbf_category")):
@@ -240,7 +240,7 @@ add("dm_student", lambda b: b.dim_student, "SELECT * FROM d_student")
 # --------------------------------------------------------------- facts, marts --
 add("fa_enrolment", lambda b: b.fact_enrolment, "SELECT * FROM f_enrol")
 add("fa_engagement", lambda b: b.fact_engagement, "SELECT * FROM f_eng")
-add("fa_case", lambda b: b.fact_case, "SELECT * FROM f_case")
+add("fa_case", lambda b: b.fact_case_linked, "SELECT * FROM f_case")
 add("fa_alert", lambda b: b.fact_alert, "SELECT * FROM f_alert")
 add("mt_terms", lambda b: b.fact_enrolment.groupBy("term_code").agg(
     F.count(F.lit(1)).alias("rows")).join(marts.terms_ordered(b.terms), "term_code"),
@@ -274,14 +274,7 @@ add("an_cem", lambda b: evaluation.cem(b.cells).select(
     "FROM v_matched")
 
 
-@query("an_bootstrap")
-def an_bootstrap(b: Bound):
-    naive = evaluation.bootstrap(b.cells, evaluation.naive).withColumn(
-        "estimator", F.lit(evaluation.NAIVE_NAME))
-    return naive.unionByName(evaluation.bootstrap(b.cells, evaluation.cem).withColumn(
-        "estimator", F.lit(evaluation.MATCHED_NAME)))
-
-
+add("an_bootstrap", lambda b: evaluation.bootstrap(b.cells))
 add("an_results", lambda b: b.results())
 add("an_estimates", lambda b: evaluation.estimates(b.effect_input),
     "SELECT 'Naive difference' AS estimator, round_even(100 * "

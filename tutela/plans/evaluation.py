@@ -17,8 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tutela.functions import clip, cut, stratum_key
-from tutela.operators.aggregates import interval_of, weighted_mean
-from tutela.operators.sets import stack
+from tutela.operators.aggregates import weighted_mean
 
 # --- fixed values: bins, labels, replicates and seed ------------------------
 WEEK_EDGES, WEEK_LABELS = (0, 5, 8, 12), ("w3-5", "w6-8", "w9-11")
@@ -55,38 +54,45 @@ def cells(rows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
 
 
-def _arm(arm: int, value: Column) -> Column:
-    return F.sum(F.when(F.col("contacted") == arm, value))
-
-
-def naive(cell_counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Difference in outcome means, contacted minus not."""
-    n, kept = F.col("n"), F.col("n") * F.col("outcome")
-    return cell_counts.groupBy(*by).agg(
-        (F.try_divide(_arm(1, kept), _arm(1, n)) - F.try_divide(_arm(0, kept), _arm(0, n)))
-        .alias("estimate"))
+def both_estimates(cell_counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Both estimators in one pass over the cells.
 
+    * ``naive``: difference in outcome means, contacted minus not
+    * ``matched``: coarsened exact matching, the difference within each stratum
+      that has both arms, weighted by its number of contacted student-terms
+    """
+    def arm(value: int, x: Column) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("contacted") == value, x)), F.lit(0))
 
-def cem(cell_counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Coarsened exact matching: the difference within each stratum that has
-    both arms, weighted by its number of contacted student-terms."""
     n, kept = F.col("n"), F.col("n") * F.col("outcome")
     per = cell_counts.groupBy(*by, "stratum").agg(
-        F.coalesce(_arm(1, n), F.lit(0)).alias("t"), F.coalesce(_arm(0, n), F.lit(0)).alias("c"),
-        F.try_divide(_arm(1, kept), _arm(1, n)).alias("yt"),
-        F.try_divide(_arm(0, kept), _arm(0, n)).alias("yc"))
+        arm(1, n).alias("t"), arm(0, n).alias("c"), arm(1, kept).alias("yt"),
+        arm(0, kept).alias("yc"))
     both = (F.col("t") > 0) & (F.col("c") > 0)
-    effect, weight = F.when(both, F.col("yt") - F.col("yc")), F.when(both, F.col("t"))
+    effect = F.when(both, F.try_divide("yt", "t") - F.try_divide("yc", "c"))
+    weight = F.when(both, F.col("t"))
+    total = {x: F.sum(x) for x in ("t", "c", "yt", "yc")}
     return per.groupBy(*by).agg(
-        weighted_mean(effect, weight).alias("estimate"),
+        (F.try_divide(total["yt"], total["t"]) - F.try_divide(total["yc"], total["c"]))
+        .alias("naive"),
+        weighted_mean(effect, weight).alias("matched"),
         F.count_if(both).alias("n_strata"),
-        F.coalesce(F.sum(weight), F.lit(0)).alias("__matched"), F.sum("t").alias("__treated")) \
-        .withColumn("matched_share", F.col("__matched") / F.greatest("__treated", F.lit(1))) \
-        .drop("__matched", "__treated")
+        (F.coalesce(F.sum(weight), F.lit(0)) / F.greatest(total["t"], F.lit(1)))
+        .alias("matched_share"))
+
+
+def naive(cell_counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return both_estimates(cell_counts, by).select(*by, F.col("naive").alias("estimate"))
+
+
+def cem(cell_counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return both_estimates(cell_counts, by).select(
+        *by, F.col("matched").alias("estimate"), "n_strata", "matched_share")
 
 
 def resample(cell_counts: DataFrame, reps: int = REPLICATES, seed: int = SEED) -> DataFrame:
-    """Cell counts of ``reps`` bootstrap samples, as (replicate, cell columns, n).
+    """Cell counts of bootstrap samples 1 .. ``reps``, as (replicate, cell
+    columns, n); replicate 0 is the data itself.
 
     The cells, a bounded list, ride along with each replicate number; each
     replicate draws from its own seeded stream, so a lost task redraws the same
@@ -94,7 +100,7 @@ def resample(cell_counts: DataFrame, reps: int = REPLICATES, seed: int = SEED) -
     """
     listed = cell_counts.agg(F.array_sort(F.collect_list(
         F.struct("stratum", "contacted", "outcome", "n"))).alias("cells"))
-    tasks = listed.select("cells", F.explode(F.sequence(F.lit(0), F.lit(reps - 1)))
+    tasks = listed.select("cells", F.explode(F.sequence(F.lit(0), F.lit(reps)))
                           .alias("replicate")).repartition("replicate")
 
     @F.pandas_udf("array<bigint>")
@@ -102,6 +108,9 @@ def resample(cell_counts: DataFrame, reps: int = REPLICATES, seed: int = SEED) -
         out = []
         for c, r in zip(counts, replicate):
             c = np.asarray(c, dtype=np.int64)
+            if r == 0:
+                out.append(c)
+                continue
             total = int(c.sum())
             p = c / total if total else np.full(len(c), 1.0 / max(len(c), 1))
             out.append(np.random.default_rng([seed, int(r)]).multinomial(total, p))
@@ -115,41 +124,48 @@ def resample(cell_counts: DataFrame, reps: int = REPLICATES, seed: int = SEED) -
                         F.col("draws").alias("n")).filter(F.col("n") > 0)
 
 
-def bootstrap(cell_counts: DataFrame, estimator, reps: int = REPLICATES,
-              seed: int = SEED) -> DataFrame:
-    """95 % percentile interval (ci_low, ci_high) of an estimator over cells."""
-    return interval_of(estimator(resample(cell_counts, reps, seed), by=["replicate"]),
-                       [], "estimate")
+def bootstrap(cell_counts: DataFrame, reps: int = REPLICATES, seed: int = SEED) -> DataFrame:
+    """One row per estimator: point estimate, 95 % percentile interval, strata
+    and matched share, all from a single pass over the cells."""
+    runs = both_estimates(resample(cell_counts, reps, seed), by=["replicate"])
+    data = F.col("replicate") == 0
+    long = runs.select("replicate", "n_strata", "matched_share", F.inline(F.array(
+        F.struct(F.lit(NAIVE_NAME).alias("estimator"), F.col("naive").alias("estimate")),
+        F.struct(F.lit(MATCHED_NAME).alias("estimator"), F.col("matched").alias("estimate")))))
+    spread = F.percentile(F.when(~data, F.col("estimate")), F.array(F.lit(0.025), F.lit(0.975)))
+    return long.groupBy("estimator").agg(
+        F.max(F.when(data, F.col("estimate"))).alias("estimate"), spread.alias("ci"),
+        F.max(F.when(data, F.col("n_strata"))).alias("n_strata"),
+        F.max(F.when(data, F.col("matched_share"))).alias("matched_share")).select(
+        "estimator", "estimate", F.col("ci")[0].alias("ci_low"), F.col("ci")[1].alias("ci_high"),
+        "n_strata", "matched_share")
+
+
+def _pp(c: str) -> Column:
+    return F.bround(F.col(c) * 100, 2)
+
+
+def _note() -> Column:
+    share = F.bround(F.col("matched_share") * 100, 0).cast("int").cast("string")
+    matched = F.concat(F.col("n_strata").cast("string"), F.lit(" strata; "), share,
+                       F.lit("% of treated matched"))
+    return F.when(F.col("estimator") == NAIVE_NAME, NAIVE_NOTE).otherwise(matched)
 
 
 def estimates(rows: DataFrame) -> DataFrame:
-    """Both point estimates in percentage points, two digits."""
-    c = cells(rows)
-    matched = cem(c)
-    note = F.concat(F.col("n_strata").cast("string"), F.lit(" strata; "),
-                    F.format_number(F.bround(F.col("matched_share") * 100, 0), 0),
-                    F.lit("% of treated matched"))
-    return stack([
-        naive(c).select(F.lit(NAIVE_NAME).alias("estimator"), "estimate",
-                        F.lit(NAIVE_NOTE).alias("note")),
-        matched.select(F.lit(MATCHED_NAME).alias("estimator"), "estimate", note.alias("note")),
-    ]).select("estimator", F.bround(F.col("estimate") * 100, 2).alias("estimate_pp"), "note")
+    """Both point estimates in percentage points, two digits, without intervals."""
+    one = both_estimates(cells(rows))
+    return one.select("n_strata", "matched_share", F.inline(F.array(
+        F.struct(F.lit(NAIVE_NAME).alias("estimator"), F.col("naive").alias("estimate")),
+        F.struct(F.lit(MATCHED_NAME).alias("estimator"), F.col("matched").alias("estimate"))))) \
+        .select("estimator", _pp("estimate").alias("estimate_pp"), _note().alias("note"))
 
 
 def results(rows: DataFrame, reps: int = REPLICATES, seed: int = SEED) -> DataFrame:
     """The published table: estimate, interval and note per estimator."""
-    c = cells(rows)
-    # both estimators are applied to the same samples
-    samples = resample(c, reps, seed)
-    intervals = stack([
-        interval_of(naive(samples, ["replicate"]), [], "estimate")
-        .withColumn("estimator", F.lit(NAIVE_NAME)),
-        interval_of(cem(samples, ["replicate"]), [], "estimate")
-        .withColumn("estimator", F.lit(MATCHED_NAME))])
-    return estimates(rows).join(intervals, "estimator").select(
-        "estimator", "estimate_pp",
-        F.bround(F.col("ci_low") * 100, 2).alias("ci_low_pp"),
-        F.bround(F.col("ci_high") * 100, 2).alias("ci_high_pp"), "note")
+    return bootstrap(cells(rows), reps, seed).select(
+        "estimator", _pp("estimate").alias("estimate_pp"), _pp("ci_low").alias("ci_low_pp"),
+        _pp("ci_high").alias("ci_high_pp"), _note().alias("note"))
 
 
 def verdict(table: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tutela.operators.sets import label_rows
@@ -44,9 +44,13 @@ def fairness(enrol: DataFrame, students: DataFrame, rows: DataFrame, terms: Data
              .fillna(0, ["student_terms", "alerted_n"])
              .withColumn("alert_rate", F.bround(
                  F.col("alerted_n") / F.greatest("student_terms", F.lit(1)), 4)))
-    ref = table.filter(F.col("cohort") == base)
-    base_rate = ref.select("alert_rate").scalar()
-    base_contact = ref.select("contact_rate_given_alert").scalar()
+    # the table has one row per cohort name, so one task can compare them all
+    everyone = Window.partitionBy()
+
+    def base_value(col: str):
+        return F.max(F.when(F.col("cohort") == base, F.col(col))).over(everyone)
+
+    base_rate, base_contact = base_value("alert_rate"), base_value("contact_rate_given_alert")
     return table.select(
         "cohort", "student_terms", "alert_rate", "contact_rate_given_alert",
         "retained_next_term_contacted", "retained_next_term_uncontacted", "alerted_n",

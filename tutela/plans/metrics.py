@@ -9,7 +9,8 @@ histogram of values with their frequencies.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections import ChainMap
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -189,12 +190,12 @@ def related(home: str, target: str) -> bool:
 class Model:
     """Tables by name, the measures over them, and the rows a role may see."""
 
-    def __init__(self, tables: dict[str, DataFrame], measures: dict[str, Measure] | None = None):
+    def __init__(self, tables: Mapping[str, DataFrame], measures: dict[str, Measure] | None = None):
         self.tables = tables
         self.measures = measures or MEASURES
 
     def scoped(self, tables: dict[str, DataFrame]) -> Model:
-        return Model({**self.tables, **tables}, self.measures)
+        return Model(ChainMap(tables, self.tables), self.measures)
 
     def evaluate(self, measures: Sequence[str | tuple[str, Measure]], by: Sequence[str] = (),
                  where: dict[str, Sequence] | None = None,

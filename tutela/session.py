@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CLUSTER_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -49,3 +49,18 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/tutela/{name}-{uuid.uuid4().hex}"
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result with several readers once and read it back.
+
+    The table lies in the shared folder, so a lost executor costs the tasks it
+    was running and nothing upstream; readers prune its columns and the planner
+    sees its true size. It is dropped when the driver ends.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return spark.read.schema(df.schema).parquet(path)
