@@ -60,10 +60,10 @@ def number_text(c) -> Column:
     """A double as plain digits, never in scientific notation."""
     c = col(c)
     size = F.abs(c)
-    plain = (c == 0) | ((size >= F.lit(0.001)) & (size < F.lit(1e7))) | F.isnan(c)
-    digits = F.rtrim(c.cast("decimal(38,10)").cast("string"), F.lit("0"))
+    plain = (c == 0) | ((size >= F.lit(0.001)) & (size < F.lit(1e7)))
+    digits = F.rtrim(c.try_cast("decimal(38,10)").cast("string"), F.lit("0"))
     digits = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
-    return F.when(plain, c.cast("string")).otherwise(digits)
+    return F.when(F.isnan(c), "nan").when(plain, c.cast("string")).otherwise(digits)
 
 
 def starts_with(c, prefix: str) -> Column:

@@ -94,14 +94,14 @@ def resample(cell_counts: DataFrame, reps: int = REPLICATES, seed: int = SEED) -
     """Cell counts of bootstrap samples 1 .. ``reps``, as (replicate, cell
     columns, n); replicate 0 is the data itself.
 
-    The cells, a bounded list, ride along with each replicate number; each
-    replicate draws from its own seeded stream, so a lost task redraws the same
-    numbers wherever it runs again.
+    The cells, a list bounded by the number of strata, ride along with each
+    replicate number; each replicate draws from its own seeded stream, so a lost
+    task redraws the same numbers wherever it runs again.
     """
     listed = cell_counts.agg(F.array_sort(F.collect_list(
         F.struct("stratum", "contacted", "outcome", "n"))).alias("cells"))
     tasks = listed.select("cells", F.explode(F.sequence(F.lit(0), F.lit(reps)))
-                          .alias("replicate")).repartition("replicate")
+                          .alias("replicate"))
 
     @F.pandas_udf("array<bigint>")
     def draw(counts: pd.Series, replicate: pd.Series) -> pd.Series:
