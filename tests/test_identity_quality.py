@@ -150,3 +150,29 @@ def test_orphans_count_missing_keys(spark):
     df = spark.createDataFrame([("a",), (None,)], "k string")
     ref = spark.createDataFrame([("a",)], "k string")
     assert [r.k for r in joins.orphans(df, ref, ["k"]).collect()] == [None]
+
+
+def test_hot_groups_are_split_at_run_time(spark, rows):
+    """A third of all people carry one key: the join back to the group must not
+    end in one task."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+                "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        n = 300_000
+        df = spark.range(n, numPartitions=8).select(
+            F.col("id").alias("student_id"),
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+            .alias("k"))
+        m = identity.survivorship(df, spark.range(1).select(F.col("id").alias("student_id")), ["k"])
+        assert len(m.collect()) == n // 3 - 1
+        assert "skew=true" in m._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
+from tutela.operators.joins import apart
 from tutela.plans import (alerts, dimensions, evaluation, facts, fairness, identity, marts, quality,
                           references, staging)
 from tutela.plans.metrics import Model
@@ -267,13 +268,12 @@ class Bound:
 
     @frame
     def clean(self) -> DataFrame:
-        self.share("judged", "students")
-        rows = self.judged.drop("bad_mark", "bad_campus", "orphan")
-        return quality.clean(rows, self.rejected)
+        self.share("enrolments", "students")
+        return quality.clean(self.enrolments, self.rejected)
 
     @frame
     def fact_enrolment(self) -> DataFrame:
-        self.together("survivors", "judged", after="students")
+        self.together("survivors", "enrolments", after="students")
         return facts.fact_enrolment(self.clean, self.survivors)
 
     # --------------------------------------------------------------- activity --
@@ -345,7 +345,7 @@ class Bound:
         self.share("activity", "alerts")
         first = self.alerts.groupBy("student_id", "term_code").agg(
             F.min("alert_id").alias("first_alert"))
-        return (self.case_rows.join(first, ["student_id", "term_code"], "left")
+        return (self.case_rows.join(apart(first), ["student_id", "term_code"], "left")
                 .withColumn("linked_alert_id", F.when(F.col("source") == "Early alert",
                                                       F.col("first_alert"))).drop("first_alert"))
 
@@ -417,13 +417,13 @@ class Bound:
 
     @frame
     def issues(self) -> DataFrame:
-        self.together("survivors", "judged", after="students")
+        self.together("survivors", "enrolments", after="students")
         return quality.issue_log(self.survivors, self.students_dedup, self.judged, self.activity,
                                  self.students)
 
     @frame
     def dq_summary(self) -> DataFrame:
-        self.share("students", "survivors", "judged")
+        self.share("students", "survivors", "enrolments")
         return quality.summarise(self.issues, self.rejected)
 
     @frame

@@ -53,9 +53,12 @@ def median_of(df: DataFrame, by: Sequence[str], col: str, name: str) -> DataFram
 
 def interval_of(df: DataFrame, by: Sequence[str], col: str, low: float = 0.025,
                 high: float = 0.975) -> DataFrame:
-    """Percentile interval with linear interpolation between neighbours."""
-    both = df.groupBy(*by).agg(
-        F.percentile(F.col(col), F.array(F.lit(low), F.lit(high))).alias("__p"))
+    """Percentile interval with linear interpolation between neighbours, for
+    columns with a bounded number of different values (see ``median_of``)."""
+    counts = (df.filter(F.col(col).isNotNull()).groupBy(*by, col)
+              .agg(F.count(F.lit(1)).alias("__n")))
+    both = counts.groupBy(*by).agg(F.percentile(
+        F.col(col), F.array(F.lit(low), F.lit(high)), F.col("__n")).alias("__p"))
     return both.select(*by, F.col("__p")[0].alias("ci_low"), F.col("__p")[1].alias("ci_high"))
 
 

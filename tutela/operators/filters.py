@@ -23,7 +23,7 @@ def not_in(df: DataFrame, col: str, ref: DataFrame, ref_col: str) -> DataFrame:
     keys = ref.select(F.col(ref_col).alias("__ref"))
     size = keys.agg(F.count(F.lit(1)).alias("n"))
     blanks = keys.agg(F.count_if(F.col("__ref").isNull()).alias("n"))
-    kept = df.join(keys.distinct(), F.col(col) == F.col("__ref"), "left_anti")
+    kept = df.join(keys, F.col(col) == F.col("__ref"), "left_anti")
     return kept.filter((size.scalar() == 0) | (F.col(col).isNotNull() & (blanks.scalar() == 0)))
 
 

@@ -23,6 +23,16 @@ def on_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
     return out
 
 
+def apart(df: DataFrame) -> DataFrame:
+    """Detach an aggregated side from the partitioning of its keys.
+
+    A side that is already partitioned by the join keys gets no exchange of its
+    own, and the runtime can only split the hot partitions of a join whose sides
+    are both fresh exchanges. Costs one more exchange of the reduced side.
+    """
+    return df.hint("rebalance")
+
+
 def left_lookup(df: DataFrame, key: Column, table: DataFrame, table_key: str) -> DataFrame:
     """Left join on an expression of ``df``; ``table_key`` must be unique in ``table``."""
     return df.join(table, key == table[table_key], "left").drop(table[table_key])

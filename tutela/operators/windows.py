@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tutela.operators.joins import apart
+
 
 def sequence_terms(terms: DataFrame, start: str = "term_start") -> DataFrame:
     """Number the terms by start date. Terms are a calendar of a few rows."""
@@ -34,11 +36,11 @@ def first_where(df: DataFrame, by: Sequence[str], order: str, test, name: str) -
 def with_group_min(df: DataFrame, by: Sequence[str], col: str, name: str) -> DataFrame:
     """The group's smallest value next to each row.
 
-    Reduced by an aggregate and joined back, so that a group with a large share
-    of the rows is never gathered in one task.
+    Reduced by an aggregate and joined back: unlike a window, a join can split a
+    group with a large share of the rows over several tasks.
     """
     least = df.groupBy(*by).agg(F.min(col).alias(name))
-    return df.join(least, list(by), "inner")
+    return df.join(apart(least), list(by), "inner")
 
 
 def last_weeks(df: DataFrame, week: str, n: int) -> DataFrame:

@@ -62,15 +62,15 @@ def build(spark: SparkSession, source: str, warehouse: str, quality_dir: str,
         return {n: spark.read.parquet(f"{folder}/{n}") for n in tables}
 
     survivors = keep(quality_dir, {"student_id_survivorship": identity.survivorship(
-        s["students"], s["enrolments"])})["student_id_survivorship"]
+        s["students"], s["enrolments"].select("student_id"))})["student_id_survivorship"]
     students = identity.drop_duplicates_by(s["students"], survivors)
-    judged = keep(quality_dir, {"judged_enrolments": quality.judge_enrolments(
-        s["enrolments"], s["students"], refs.synonyms)})["judged_enrolments"]
+    staged = keep(quality_dir, {"stg_enrolments": s["enrolments"]})["stg_enrolments"]
+    judged = quality.judge_enrolments(staged, s["students"], refs.synonyms)
     q = keep(quality_dir, {
         "dq_issues": quality.stamp(quality.issue_log(survivors, students, judged, s["activity"],
                                                      s["students"])),
         "rej_enrolments": quality.quarantine(judged)})
-    clean = quality.clean(judged.drop("bad_mark", "bad_campus", "orphan"), q["rej_enrolments"])
+    clean = quality.clean(staged, q["rej_enrolments"])
 
     w = keep(warehouse, {
         "dim_student": dimensions.dim_student(students, s["postcodes"])

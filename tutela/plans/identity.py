@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tutela.operators.joins import with_flag
+from tutela.operators.joins import apart, with_flag
 
 PERSON_KEYS = ("first_name", "last_name", "dob", "program_code", "commencing_term")
 
@@ -32,11 +32,11 @@ def survivorship(students: DataFrame, active: DataFrame, keys: Sequence[str] = P
     for k in keys:
         test = F.col(k).eqNullSafe(F.col(f"__k_{k}"))
         same = test if same is None else same & test
-    pairs = (students.select(sid, *keys).join(groups, same, "inner")
+    pairs = (students.select(sid, *keys).join(apart(groups), same, "inner")
              .filter(F.col(sid) != F.col("surviving_id")))
     # an id listed twice must not multiply the rows it is later joined to
-    return (pairs.groupBy(F.col(sid).alias("duplicate_id"))
-            .agg(F.min("surviving_id").alias("surviving_id")))
+    return apart(pairs.groupBy(F.col(sid).alias("duplicate_id"))
+                 .agg(F.min("surviving_id").alias("surviving_id")))
 
 
 def drop_duplicates_by(df: DataFrame, survivors: DataFrame, sid: str = "student_id") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tutela.functions import composite_key, number_text
-from tutela.operators.joins import with_flag
+from tutela.operators.joins import apart
 from tutela.operators.sets import emit_rows, stack
 
 # --- fixed values: rule names, severities and limits -----------------------
@@ -77,8 +77,15 @@ def judge_enrolments(enrolments: DataFrame, students: DataFrame, canonical: Data
 
     ``canonical`` holds the valid campus codes. Students are looked up before
     duplicates are dropped: a duplicate id is still a known person.
+
+    Only the different ids meet the student table. What joins the rows is the
+    list of unknown ids, normally short enough for the planner to send to every
+    task, so the rows themselves are not moved.
     """
-    known = with_flag(enrolments, students, ["student_id"], "__student")
+    strangers = apart(enrolments.select("student_id").distinct().join(
+        students.select("student_id"), "student_id", "left_anti")).withColumn(
+        "__stranger", F.lit(True))
+    known = enrolments.join(strangers, "student_id", "left")
     codes = canonical.select(F.col("canonical").alias("campus_code")).distinct() \
         .withColumn("__campus", F.lit(True))
     both = known.join(codes, "campus_code", "left")
@@ -86,8 +93,8 @@ def judge_enrolments(enrolments: DataFrame, students: DataFrame, canonical: Data
     return both.withColumns({
         "bad_mark": F.coalesce((F.col("mark") < low) | (F.col("mark") > high), F.lit(False)),
         "bad_campus": F.col("campus_code").isNotNull() & F.col("__campus").isNull(),
-        "orphan": ~F.col("__student"),
-    }).drop("__student", "__campus")
+        "orphan": F.col("student_id").isNull() | F.col("__stranger").isNotNull(),
+    }).drop("__stranger", "__campus")
 
 
 def enrolment_issues(judged: DataFrame,
@@ -117,7 +124,7 @@ def clean(enrolments: DataFrame, rejected: DataFrame,
     A key is rejected as a whole; a rejected row with a missing key part
     matches nothing and stays.
     """
-    bad = rejected.select(*keys).distinct()
+    bad = apart(rejected.select(*keys).distinct())
     return enrolments.join(bad, list(keys), "left_anti")
 
 
@@ -198,7 +205,7 @@ def check_constraints(df: DataFrame, table: str, pk: Sequence[str] = (),
         found.append(emit_rows(twice, [
             (F.lit(True), issue(f"PK_{'_'.join(pk)}", FATAL, table, key, text))]))
     for col, ref, ref_key in fks:
-        keys = ref.select(F.col(ref_key).alias(col)).distinct()
+        keys = ref.select(F.col(ref_key).alias(col))
         lost = df.filter(F.col(col).isNotNull()).join(keys, col, "left_anti")
         text = F.concat(F.lit(f"{col}="), F.col(col).cast("string"))
         found.append(emit_rows(lost, [
