@@ -368,10 +368,23 @@ add("an_severity", lambda b: alerts.severity(b.alerts, b.activity, THRESHOLDS, c
 # ------------------------------------------------------------------- measures --
 
 
-def _measure(name: str, by: list[str], select: str, source: str, group: str,
-             where: dict | None = None):
+# query names that are shorter than the measure's
+_SHORT = {
+    "eftsl_certified": "eftsl_cert", "eftsl_passed": "eftsl_pass",
+    "success_rate_all": "success_all", "success_rate": "success_graded",
+    "average_mark": "avg_mark", "pre_census_withdrawals": "withdrawals",
+    "alert_action_rate": "action_rate", "median_days_to_action": "median_days_action",
+    "open_alerts_current": "open_current", "p1_students": "p1", "students_on_list": "on_list",
+    "cases_opened": "cases", "reach_rate": "reach", "median_days_case_open": "median_days_open",
+    "nbf_indicative_funding": "nbf_funding", "nbf_commencing_students": "nbf_students",
+    "nbf_support_coverage": "nbf_coverage", "avg_weekly_logins": "avg_logins",
+    "missed_item_rate": "missed_rate",
+}
+
+
+def _measure(name: str, by: list[str], select: str, source: str, group: str):
     names = [x.split(".")[1] for x in by]
-    add(f"ms_{name}", lambda b: b.model.evaluate([name], by=by, where=where),
+    add(f"ms_{_SHORT.get(name, name)}", lambda b: b.model.evaluate([name], by=by),
         f"SELECT {', '.join(f'{g} AS {n}' for g, n in zip(group.split(', '), names))}, "
         f"{select} AS {name} FROM {source} GROUP BY ALL")
 
@@ -421,7 +434,7 @@ _measure("nbf_commencing_students", _NBY, "CAST(sum(commencing_students) AS BIGI
 _measure("nbf_support_coverage", _NBY, "sum(students_with_support_case) / "
          "nullif(sum(commencing_students), 0)::DOUBLE", "m_nbf", _NG)
 _RBY, _RG = ["mart_retention_cohort.cohort"], "cohort"
-add("ms_retention_rate", lambda b: b.model.evaluate(["retention_rate"], by=_RBY).withColumn(
+add("ms_retention", lambda b: b.model.evaluate(["retention_rate"], by=_RBY).withColumn(
     "retention_rate", F.round("retention_rate", 9)),
     "SELECT cohort, round(avg(retention_rate), 9) AS retention_rate FROM m_retention "
     "GROUP BY cohort")
@@ -524,6 +537,10 @@ def rp_triage_advisors(b: Bound):
     return reports.triage_advisors(b.model.scoped({"dim_advisor": busy}))
 
 
+add("rp_triage_slicers", lambda b: reports.triage_slicers(b.model),
+    "SELECT DISTINCT 'priority_tier' AS slicer, priority_tier AS value FROM m_triage UNION ALL "
+    "SELECT DISTINCT 'advisor_name', advisor_name FROM m_triage JOIN v_advisors "
+    "USING (advisor_id)")
 add("rp_caseload", lambda b: reports.caseload(b.model),
     "SELECT advisor_id, count(DISTINCT student_id) AS students_on_list FROM m_triage "
     "GROUP BY advisor_id")

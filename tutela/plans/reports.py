@@ -99,6 +99,18 @@ def triage_advisors(m: Model) -> DataFrame:
     return m.tables["dim_advisor"].select("advisor_name").distinct()
 
 
+def triage_slicers(m: Model) -> DataFrame:
+    """Both slicers of the page: the tiers present and the advisors with somebody
+    on the list, as a role sees them."""
+    listed = m.tables["mart_triage_current"]
+    busy = m.tables["dim_advisor"].join(listed.select("advisor_id"), "advisor_id", "left_semi")
+    names = triage_advisors(m.scoped({"dim_advisor": busy})).select(
+        F.lit("advisor_name").alias("slicer"), F.col("advisor_name").alias("value"))
+    return triage_tiers(m).select(
+        F.lit("priority_tier").alias("slicer"), F.col("priority_tier").alias("value")) \
+        .unionByName(names)
+
+
 def caseload(m: Model) -> DataFrame:
     return m.evaluate(["students_on_list"], by=["mart_triage_current.advisor_id"])
 
