@@ -136,3 +136,32 @@ def test_run_outcomes(run):
     assert ("All domestic", 3, 0.6667) in flags
     dq = {r.rule_id[:11]: r.issues for r in read("wh", "mart_dq_summary").collect()}
     assert dq["quarantined"] == 3
+
+
+def test_shared_folder_comes_from_the_session():
+    from types import SimpleNamespace
+
+    from tutela.session import shared_dir
+
+    def session(conf, master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)),
+                               sparkContext=SimpleNamespace(master=master))
+    assert shared_dir(session({"spark.checkpoint.dir": "s3a://b/ck/"}, "yarn")) == "s3a://b/ck"
+    assert "tutela" in shared_dir(session({}, "local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session({}, "spark://host"))
+
+
+def test_kept_tables_lie_in_the_shared_folder(spark):
+    from tutela.session import keep, shared_dir
+    kept = keep(spark.range(5), "five")
+    assert kept.count() == 5
+    assert shared_dir(spark) in kept.inputFiles()[0]
+
+
+def test_partitioned_write_gathers_rows_by_partition(spark, tmp_path):
+    df = spark.range(1000, numPartitions=16).select(
+        F.when(F.col("id") % 3 > 0, "T1").otherwise("T2").alias("term_code"), "id")
+    sources.write_table(df, str(tmp_path / "t"), partition_by=["term_code"])
+    files = spark.read.parquet(str(tmp_path / "t")).inputFiles()
+    assert len(files) == 2

@@ -41,14 +41,23 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = os.path.join(tempfile.gettempdir(), f"tutela-{os.getpid()}")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return os.path.join(tempfile.gettempdir(), f"tutela-{os.getpid()}")
+
+
+_roots: set[str] = set()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/tutela/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in a folder of this application that
+    is dropped when its driver ends."""
+    root = f"{shared_dir(spark)}/tutela/{spark.sparkContext.applicationId}"
+    if root not in _roots:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _roots.add(root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
@@ -56,11 +65,8 @@ def keep(df: DataFrame, name: str) -> DataFrame:
 
     The table lies in the shared folder, so a lost executor costs the tasks it
     was running and nothing upstream; readers prune its columns and the planner
-    sees its true size. It is dropped when the driver ends.
+    sees its true size.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -21,11 +21,15 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
                 partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> int:
     """Write once and return the row count the same job observed.
 
-    Rows are ordered inside the tasks that already hold them: no exchange, so a
-    term with most of the rows is still written by many tasks.
+    Rows of a partitioned table are first brought together by partition value
+    in pieces of even size: a term becomes a few full files instead of one
+    small file per task, and a term with most of the rows is split over many
+    writers. Inside each file the rows are ordered.
     """
     seen = Observation()
     out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if partition_by:
+        out = out.hint("rebalance", *partition_by)
     order = [*partition_by, *sort_by]
     if order:
         out = out.sortWithinPartitions(*order)
