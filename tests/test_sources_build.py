@@ -165,3 +165,18 @@ def test_partitioned_write_gathers_rows_by_partition(spark, tmp_path):
     sources.write_table(df, str(tmp_path / "t"), partition_by=["term_code"])
     files = spark.read.parquet(str(tmp_path / "t")).inputFiles()
     assert len(files) == 2
+
+
+def test_audit_of_the_warehouse(run):
+    from tutela.plans.constraints import RULES, audit
+    _, read = run
+    tables = {n: read("dq" if n == "dq_issues" else "wh", n) for n in RULES}
+    assert audit(tables).collect() == []
+    broken = {**tables,
+              "dim_advisor": tables["dim_advisor"].unionByName(tables["dim_advisor"]),
+              "dim_campus": tables["dim_campus"].filter("campus_code <> 'MEL'"),
+              "fact_enrolment": tables["fact_enrolment"].withColumn(
+                  "mark", F.when(F.col("mark").isNotNull(), 101.0))}
+    got = {(r.rule_id, r.table_name) for r in audit(broken).collect()}
+    assert got == {("PK_advisor_id", "dim_advisor"), ("FK_campus_code", "fact_enrolment"),
+                   ("CK_mark", "fact_enrolment")}
