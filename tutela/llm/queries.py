@@ -5,19 +5,43 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tutela.llm import minhash
+from tutela.llm import minhash, substring
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return substring.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_minhash_near_dedup,)}
-
-SQL: dict[str, str] = {}
+    f.__name__: f for f in (op1_substring_dedup, op3_minhash_near_dedup)}
+
+SQL: dict[str, str] = {
+    "op1_substring_dedup": r"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+           FROM documents),
+windows AS (SELECT r, pos, array_to_string(words[pos:pos + 34], ' ') AS passage
+            FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS pos FROM w
+                  WHERE len(words) >= 35)),
+repeated AS (SELECT r, pos FROM (SELECT r, pos, count(*) OVER (PARTITION BY passage) AS n FROM windows)
+             WHERE n > 1),
+gone AS (SELECT r, list_distinct(list(p)) AS places
+         FROM (SELECT r, unnest(range(pos, pos + 35)) AS p FROM repeated) GROUP BY r)
+SELECT doc_id, len(words) AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN places IS NULL THEN words ELSE
+           list_transform(list_filter(range(1, len(words) + 1), lambda p: NOT list_contains(places, p)),
+                          lambda p: words[p]) END, ' ')) AS kept_sha256
+FROM w LEFT JOIN gone USING (r)""",
+}
