@@ -199,6 +199,23 @@ class _Group:
         return 100 * common >= percent * (self.sizes + self.sizes[i] - common)
 
 
+class _Forest:
+    """Of links found one after the other, those that connect something new."""
+
+    def __init__(self, n: int):
+        self.parent = list(range(n))
+
+    def root(self, i: int) -> int:
+        while self.parent[i] != i:
+            self.parent[i] = i = self.parent[self.parent[i]]
+        return i
+
+    def new(self, i: int, j: int) -> bool:
+        a, b = self.root(i), self.root(j)
+        self.parent[b] = a
+        return a != b
+
+
 _FOUND = pa.schema([("leader", pa.int64()), ("block", pa.int64()), ("a", pa.binary()),
                     ("b", pa.binary()), ("stray", pa.bool_())])
 
@@ -212,22 +229,18 @@ def _inside(percent: int):
             group = _Group(table.column("elements").to_pylist())
             head = next((i for i, n in enumerate(nodes) if _short(n) == leader), 0)
             out = {k: [] for k in _FOUND.names}
-            home = np.zeros(len(nodes), bool)
-            home[head] = True
+            forest = _Forest(len(nodes))
 
             def tell(i, js, stray):
                 for j in js:
-                    for k, v in zip(_FOUND.names, (leader, block, nodes[i], nodes[j], stray)):
-                        out[k].append(v)
-
-            with_head = group.linked(head, percent)
-            home |= with_head
-            tell(head, [j for j in np.flatnonzero(with_head) if j != head], False)
-            strays = np.flatnonzero(~home)
-            for i in strays:
-                hits = np.flatnonzero(group.linked(i, percent))
-                body = hits[home[hits]][:1]
-                tell(i, [*body, *(j for j in hits[~home[hits]] if j > i)], False)
+                    if stray or forest.new(i, j):
+                        for k, v in zip(_FOUND.names, (leader, block, nodes[i], nodes[j], stray)):
+                            out[k].append(v)
+
+            home = group.linked(head, percent)
+            tell(head, np.flatnonzero(home), False)
+            for i in np.flatnonzero(~home):
+                tell(i, np.flatnonzero(group.linked(i, percent)), False)
                 tell(i, [i], True)
             if out["a"]:
                 yield pa.RecordBatch.from_pydict(out, schema=_FOUND)
@@ -243,11 +256,12 @@ def _across(percent: int):
             if stray.all() or not stray.any():
                 continue
             group = _Group(table.column("elements").to_pylist())
-            out = {"a": [], "b": []}
+            forest, out = _Forest(len(nodes)), {"a": [], "b": []}
             for i in np.flatnonzero(stray):
-                hits = np.flatnonzero(group.linked(i, percent) & ~stray)
-                out["a"] += [nodes[i]] * len(hits)
-                out["b"] += [nodes[j] for j in hits]
+                for j in np.flatnonzero(group.linked(i, percent) & ~stray):
+                    if forest.new(i, j):
+                        out["a"].append(nodes[i])
+                        out["b"].append(nodes[j])
             if out["a"]:
                 yield pa.RecordBatch.from_pydict(out)
     return run
