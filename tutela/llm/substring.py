@@ -27,7 +27,7 @@ from tutela.session import keep
 
 WINDOW = 35
 GRAM = 3
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 3 << 20
 SAMPLE_ONE_IN = 64
 HEAVY_SHARE = 1 / 16
 

@@ -13,7 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -103,26 +104,36 @@ _known: dict[int, np.ndarray] = {}
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
-    """The first ``n`` powers, kept for the next chunk unless one text is out of size."""
+    """The first ``n`` powers; a usual number of them is kept for the next call."""
     have = _known.get(int(base))
     if have is None or len(have) < n:
-        have = np.full(max(n, CHUNK_BYTES + (1 << 16)), base, np.uint64)
+        have = np.full(max(n, 2 * BLOCK_BYTES), base, np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
-        if len(have) <= 4 * CHUNK_BYTES:
+        if len(have) <= 4 * BLOCK_BYTES:
             _known[int(base)] = have
     return have[:n]
 
 
+_SCATTERED = mix(np.arange(256, dtype=np.uint64) + np.uint64(0xD1B54A32D192ED03))
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each byte span: polynomial prefix sums modulo 2**64, moved to the
-    span's start, then mixed with the span's length."""
-    sums = np.zeros(len(data) + 1, np.uint64)
-    scattered = mix(np.arange(256, dtype=np.uint64) + np.uint64(0xD1B54A32D192ED03))
-    np.cumsum(scattered[data] * _powers(_BASE, len(data)), out=sums[1:])
-    back = _powers(_INVERSE, len(data) + 1)
-    span = (sums[ends] - sums[starts]) * back[starts]
-    return mix(span + (ends - starts).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
+    span's start, then mixed with the span's length. Spans ascend and do not overlap."""
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        begin = starts[i]
+        j = max(i + 1, int(np.searchsorted(ends, begin + BLOCK_BYTES, side="right")))
+        part = data[begin:ends[j - 1]]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.multiply(_SCATTERED[part], _powers(_BASE, len(part)), out=sums[1:])
+        np.cumsum(sums, out=sums)
+        lo = starts[i:j] - begin
+        out[i:j] = (sums[ends[i:j] - begin] - sums[lo]) * _powers(_INVERSE, len(part) + 1)[lo]
+        i = j
+    return mix(out + (ends - starts).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
 
 
 def gram_hashes(words: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
