@@ -7,7 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tutela.llm import minhash, substring
+from tutela.llm import bpe, minhash, packing, substring
+
+
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,8 +29,17 @@ def op3_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op5_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(_table(spark, folder, "documents"), _vocabulary("byte_bpe_50k.tiktoken"))
+
+
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"), _vocabulary("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op3_minhash_near_dedup)}
+    f.__name__: f for f in (op1_substring_dedup, op3_minhash_near_dedup, op5_byte_level_bpe,
+                               op6_packing)}
 
 SQL: dict[str, str] = {
     "op1_substring_dedup": r"""
