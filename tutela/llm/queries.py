@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tutela.llm import bpe, minhash, packing, substring
+from tutela.llm import bpe, minhash, packing, quality_rules, substring
 
 
 def _vocabulary(name: str) -> str:
@@ -37,9 +37,15 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "distance")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op3_minhash_near_dedup, op5_byte_level_bpe,
-                               op6_packing)}
+                               op6_packing, op9_quality_rules)}
 
 SQL: dict[str, str] = {
     "op1_substring_dedup": r"""
