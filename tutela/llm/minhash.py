@@ -276,29 +276,35 @@ def _number() -> Column:
     return F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row of (doc_id, text, ...).
+def _rid() -> Column:
+    return F.xxhash64(F.col("doc_id"), F.col("text"))
 
-    Rows are linked where 100 * intersection >= ``percent`` * union. ``component_id`` is the
-    smallest doc_id of the row's component; rows of equal sets are in one, whatever their ids. A
-    null doc_id counts in the component but cannot name it: alone, its component is null and
-    ``kept`` false. Rows without a word stand alone. Repeated rows come back as often as given.
-    """
+
+def _placed(docs: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, rid, n_shingles, root) for each row; root is null for a row without a word."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text")) \
-        .withColumn("rid", F.xxhash64("doc_id", "text"))
+                       F.col("text").cast("string").alias("text")).withColumn("rid", _rid())
     features = keep(rows.mapInArrow(_features, "doc_id long, rid long, n_shingles long, "
                                                "node binary, bands array<long>"), "sketch")
     nodes = keep(features.filter(F.col("node").isNotNull()).groupBy("node").agg(
         F.min("rid").alias("rid"), F.first("bands").alias("bands"))
         .withColumn("number", _number()), "nodes")
     groups = keep(_groups(nodes), "groups")
-    edges = _verified(rows, nodes, groups, percent)
-    roots = components(edges, "near")
-    home = features.select("doc_id", "n_shingles", "node").join(
-        roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
-    placed = home.select("doc_id", "n_shingles",
-                         F.coalesce("root", "node").alias("root"))
+    roots = components(_verified(rows, nodes, groups, percent), "near")
+    return features.select("doc_id", "rid", "n_shingles", "node").join(
+        roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select(
+        "doc_id", "rid", "n_shingles", F.coalesce("root", "node").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for each row of (doc_id, text, ...).
+
+    Rows are linked where 100 * intersection >= ``percent`` * union. ``component_id`` is the
+    smallest doc_id of the row's component; rows of equal sets are in one, whatever their ids. A
+    null doc_id counts in the component but cannot name it: alone, its component is null and
+    ``kept`` false. Rows without a word stand alone. Repeated rows come back as often as given.
+    """
+    placed = keep(_placed(docs, percent), "placed")
     least = placed.filter(F.col("root").isNotNull()).groupBy("root").agg(
         F.min("doc_id").alias("least")).withColumnRenamed("root", "r")
     named = placed.join(least, F.col("root") == F.col("r"), "left").select(
@@ -309,6 +315,23 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
                                                F.lit(False)))
 
 
+def survivors(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """The rows of (doc_id, text, ...) less all but one of each component of near duplicates: the
+    one of the smallest doc_id (null last). Rows without a word all stay."""
+    placed = keep(_placed(docs, percent), "placed")
+    best = placed.filter(F.col("root").isNotNull()).groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("m")) \
+        .select(F.col("m.rid").alias("place"), F.lit(True).alias("alone"))
+    bare = placed.filter(F.col("root").isNull()).select(F.col("rid").alias("place")).distinct() \
+        .withColumn("alone", F.lit(False))
+    rid = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    found = docs.withColumn("__rid", rid).join(best.unionByName(bare),
+                                               F.col("__rid") == F.col("place"))
+    # a row that is there twice in all respects has one row id: one of them stays
+    return found.withColumn("__copy", F.when(F.col("alone"), F.lit(-1).cast("long")).otherwise(
+        F.monotonically_increasing_id())).dropDuplicates(["__rid", "__copy"]).select(*docs.columns)
+
+
 def _groups(nodes: DataFrame) -> DataFrame:
     """(leader, number): nodes whose buckets share a smallest node, the leader among them."""
     keys = nodes.select(F.explode("bands").alias("key"), "number")

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tutela.llm import bpe, minhash, packing, quality_rules, substring
+from tutela.llm import bpe, minhash, packing, pii, quality_rules, substring
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
 
@@ -30,11 +30,18 @@ def op3_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    return bpe.digests(_table(spark, folder, "documents"), _vocabulary("byte_bpe_50k.tiktoken"))
+    return bpe.digests(_table(spark, folder, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
 
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(_table(spark, folder, "documents"), _vocabulary("byte_bpe_50k.json"))
+    return packing.pack(_table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op7_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.pseudonyms(_table(spark, folder, "documents").select("doc_id", "text"),
+                           pii.session_key(spark))
+    return found.select("doc_id", "text", F.size("kinds").cast("long").alias("n_values"),
+                        F.array_join("kinds", ",").alias("kinds"))
 
 
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -45,7 +52,7 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op3_minhash_near_dedup, op5_byte_level_bpe,
-                               op6_packing, op9_quality_rules)}
+                               op6_packing, op7_pii_pseudonyms, op9_quality_rules)}
 
 SQL: dict[str, str] = {
     "op1_substring_dedup": r"""
