@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tutela.llm import bpe, minhash, packing, pii, quality_rules, substring
+from tutela.llm import bpe, minhash, packing, pii, quality_rules, substring, vectors
 
 
 def vocabulary(name: str) -> str:
@@ -44,6 +44,10 @@ def op7_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
                         F.array_join("kinds", ",").alias("kinds"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(_table(spark, folder, "embeddings"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(_table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -52,7 +56,8 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op3_minhash_near_dedup, op5_byte_level_bpe,
-                               op6_packing, op7_pii_pseudonyms, op9_quality_rules)}
+                               op6_packing, op7_pii_pseudonyms, op8_embedding_near_dedup,
+                               op9_quality_rules)}
 
 SQL: dict[str, str] = {
     "op1_substring_dedup": r"""
