@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tutela.llm import bpe, minhash, packing, pii, quality_rules, substring, vectors
+from tutela.llm import (bpe, licences, minhash, packing, pii, quality_rules, resampling, revisits,
+                        substring, vectors)
 
 
 def vocabulary(name: str) -> str:
@@ -25,10 +26,54 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """Two captures of each page: the response, a minute after the page before it, and one to
+    three days later a not-modified revisit. Some pages answer with a redirect, have no entity
+    tag, or are asked for with a stale one."""
+    tag = F.when(F.col("page_id") % 7 != 0, F.md5(F.coalesce("html", F.lit(""))))
+    at = 1_700_000_000 + F.col("page_id") * 60
+    seen = F.concat(F.lit("t"), at.cast("string"))
+    response = pages.select(
+        (F.col("page_id") * 2).alias("record_id"), "url", F.timestamp_seconds(at).alias("ts"),
+        F.lit("response").alias("kind"),
+        F.when(F.col("page_id") % 11 == 0, 301).otherwise(200).alias("status"),
+        F.map_filter(F.create_map(
+            F.lit("cache-control"), F.lit("max-age=600"), F.lit("content-type"),
+            F.lit("text/html"), F.lit("etag"), tag, F.lit("last-modified"), seen),
+            lambda k, v: v.isNotNull()).alias("headers"),
+        F.sha2(F.coalesce("html", F.lit("")), 256).alias("payload_digest"))
+    again = F.when(F.col("page_id") % 5 == 0, F.lit("stale")).otherwise(
+        F.concat(F.lit("W/"), tag))
+    revisit = pages.select(
+        (F.col("page_id") * 2 + 1).alias("record_id"), "url",
+        F.timestamp_seconds(at + 86_400 * (1 + F.col("page_id") % 3)).alias("ts"),
+        F.lit("revisit").alias("kind"), F.lit(304).alias("status"),
+        F.map_filter(F.create_map(
+            F.lit("cache-control"), F.lit("max-age=60"), F.lit("content-type"),
+            F.lit("text/plain"), F.lit("etag"), again,
+            F.lit("date"), F.concat(F.lit("r"), F.col("page_id").cast("string"))),
+            lambda k, v: v.isNotNull()).alias("headers"),
+        F.lit(None).cast("string").alias("payload_digest"))
+    return response.unionByName(revisit)
+
+
+def op2_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    found = revisits.resolve(captures(_table(spark, folder, "pages")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")),
+                        lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.select("record_id", "canonical", "refers_to", "outcome",
+                        F.array_join(lines, "\n").alias("headers"), "payload_digest")
+
+
 def op3_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op4_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(_table(spark, folder, "documents"),
+                               _table(spark, folder, "labels"))
+
+
 def op5_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(_table(spark, folder, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
 
@@ -54,12 +99,53 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "base_failed", "kept", "distance")
 
 
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(_table(spark, folder, "documents")).select(
+        "doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"),
+        F.array_join("sentence_ids", ",").alias("sentence_ids"),
+        F.array_join("licences", ",").alias("licenses"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op3_minhash_near_dedup, op5_byte_level_bpe,
-                               op6_packing, op7_pii_pseudonyms, op8_embedding_near_dedup,
-                               op9_quality_rules)}
+    f.__name__: f for f in (
+        op1_substring_dedup, op2_warc_revisits, op3_minhash_near_dedup, op4_importance_resampling,
+        op5_byte_level_bpe, op6_packing, op7_pii_pseudonyms, op8_embedding_near_dedup,
+        op9_quality_rules, op10_license_scan)}
+
+def _license_sql() -> str:
+    def text(values) -> str:
+        return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+    named: dict[str, str] = {}
+    for name, ids, _ in licences.RULES:
+        one = ",(?:[^,]+,)*?".join(i.replace(".", "[.]") for i in ids)
+        one = f"regexp_matches(sequence, ',{one},')"
+        named[name] = f"{named[name]} OR {one}" if name in named else one
+    for name, _, covers in licences.RULES:
+        for other in covers:
+            named[name] = f"({named[name]}) AND NOT ({named[other]})"
+    rules = ", ".join(f"CASE WHEN {hit} THEN '{name}' END" for name, hit in named.items())
+    return rf"""
+WITH k AS (SELECT {text(licences.SENTENCES)} AS ids, {text(licences.SENTENCES.values())} AS known),
+w AS (SELECT doc_id, ids, known, unnest(generate_series(1, len(whole))) AS n,
+             unnest(whole) AS part, row_number() OVER () AS r
+      FROM (SELECT *, string_split(regexp_replace(coalesce(text, ''), '{licences.END}', chr(1), 'g'),
+                                   chr(1)) AS whole FROM documents) CROSS JOIN k),
+l AS (SELECT doc_id, ids, known, n, part, list_position(known, trim(regexp_replace(
+          lower(part), '[^a-z0-9]+', ' ', 'g'))) AS spot FROM w),
+f AS (SELECT doc_id, n, CASE WHEN spot > 0 THEN [ids[spot]] ELSE list_transform(
+          regexp_split_to_array(part, '\r?\n'), lambda x: ids[list_position(known,
+              trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g')))]) END AS found FROM l),
+g AS (SELECT doc_id, list_filter(flatten(list(found ORDER BY n)), lambda x: x IS NOT NULL) AS found
+      FROM f GROUP BY doc_id),
+h AS (SELECT doc_id, len(found) AS n_sentences, array_to_string(found, ',') AS sentence_ids,
+             ',' || array_to_string(found, ',') || ',' AS sequence FROM g)
+SELECT doc_id, n_sentences, sentence_ids,
+       array_to_string(list_sort(list_filter([{rules}], lambda x: x IS NOT NULL)), ',') AS licenses
+FROM h"""
+
 
 SQL: dict[str, str] = {
+    "op10_license_scan": _license_sql(),
     "op1_substring_dedup": r"""
 WITH w AS (SELECT row_number() OVER () AS r, doc_id,
                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
@@ -76,4 +162,33 @@ SELECT doc_id, len(words) AS n_words, coalesce(len(places), 0)::BIGINT AS n_remo
            list_transform(list_filter(range(1, len(words) + 1), lambda p: NOT list_contains(places, p)),
                           lambda p: words[p]) END, ' ')) AS kept_sha256
 FROM w LEFT JOIN gone USING (r)""",
+    "op2_warc_revisits": r"""
+WITH p AS (SELECT page_id, html, 1700000000 + page_id * 60 AS t,
+       regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z]+://', '') AS bare FROM pages),
+q AS (SELECT *, regexp_replace(bare, '\?.*$', '') AS place,
+       list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
+           lambda x: x <> '' AND NOT regexp_matches(x,
+               '^(utm_[a-z]+|fbclid|gclid|sessionid)(=|$)'))) AS args FROM p),
+c AS (SELECT page_id, html, t,
+       regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace(place, '/.*$', '')),
+           '^[^@]*@', ''), '^www[0-9]*[.]', ''), ':(80|443)$', '')
+       || regexp_replace(regexp_replace(place, '^[^/]*', ''), '/+$', '')
+       || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END AS canonical,
+       CASE WHEN page_id % 7 <> 0 THEN md5(coalesce(html, '')) END AS tag FROM q),
+f AS (SELECT page_id * 2 AS of_id, t, canonical, tag, sha256(coalesce(html, '')) AS digest,
+             't' || t AS seen FROM c WHERE page_id % 11 <> 0),
+r AS (SELECT page_id, page_id * 2 + 1 AS record_id, canonical, t + 86400 * (1 + page_id % 3) AS t,
+             CASE WHEN page_id % 5 = 0 THEN 'stale' ELSE 'W/' || tag END AS tag FROM c),
+j AS (SELECT r.*, of_id, f.tag AS own, digest, seen,
+             CASE WHEN of_id IS NULL THEN 'no earlier response'
+                  WHEN r.tag IS NULL OR f.tag IS NULL THEN 'no validator'
+                  WHEN regexp_replace(r.tag, '^W/', '') = f.tag THEN 'resolved'
+                  ELSE 'validator mismatch' END AS outcome
+      FROM r ASOF LEFT JOIN f ON r.canonical = f.canonical AND r.t > f.t)
+SELECT record_id, canonical, of_id AS refers_to, outcome,
+       CASE WHEN outcome = 'resolved' THEN 'cache-control: max-age=60' || chr(10)
+           || 'content-type: text/html' || chr(10) || 'date: r' || page_id || chr(10)
+           || 'etag: ' || tag || chr(10) || 'last-modified: ' || seen END AS headers,
+       CASE WHEN outcome = 'resolved' THEN digest END AS payload_digest
+FROM j""",
 }
