@@ -61,7 +61,7 @@ def test_matching_recovers_the_injected_effect(sample):
 
 def test_bootstrap_interval_close_to_row_resampling(sample):
     rows, df = sample
-    got = {r.estimator: r for r in evaluation.bootstrap(evaluation.cells(df), 400).collect()}
+    got = {r.estimator: r for r in evaluation.bootstrap(evaluation.cells(df), reps=400).collect()}
     naive = got[evaluation.NAIVE_NAME]
     data = np.array([(r[4], r[10]) for r in rows])
     rng = np.random.default_rng(0)
@@ -125,3 +125,16 @@ def test_fairness_lists_every_cohort(spark):
     assert got["Low SES"].alert_rate_ratio_vs_nonequity == 1.0
     assert got["Non-equity"].student_terms == 1
     assert fairness.fair_verdict(audit).first().verdict == "REVIEW REQUIRED"
+
+
+def test_replicates_lie_in_many_tasks_and_estimators_are_an_argument(sample):
+    _, df = sample
+    c = evaluation.cells(df)
+    drawn = evaluation.resample(c, 20)
+    assert drawn.rdd.getNumPartitions() > 1
+    one = evaluation.bootstrap(c, {"mine": evaluation.cem}, reps=20).collect()
+    both = {r.estimator: r for r in evaluation.bootstrap(c, reps=20).collect()}
+    assert [r.estimator for r in one] == ["mine"]
+    other = both[evaluation.MATCHED_NAME]
+    assert (one[0].estimate, one[0].ci_low, one[0].replicates) == (
+        other.estimate, other.ci_low, other.replicates)

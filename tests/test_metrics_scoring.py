@@ -218,4 +218,56 @@ def test_unhandled_state_counts_all_or_nothing(spark):
     dim = spark.createDataFrame([(" Ann", date(2000, 1, 1))], "first_name string, dob date")
     got = {r.defect_type: (r.injected, r.handled) for r in scoring.catch_rate(log, issues, dim).collect()}
     assert got == {"name_whitespace_case": (2, 0), "dob_format_dmy": (1, 1),
-                   "campus_code_variant": (1, 0), "TOTAL": (4, 1)}
+                   "campus_code_variant": (1, 0), "TOTAL": (4, 1),
+                   # of these nothing was injected
+                   "duplicate_student": (0, 0), "missing_equity_flag": (0, 0),
+                   "mark_out_of_range": (0, 0)}
+    noted = {r.defect_type: r.share for r in scoring.catch_rate(log, issues, dim).collect()}
+    assert noted["mark_out_of_range"] == 1 and noted["name_whitespace_case"] == 0
+    unknown = spark.createDataFrame([("Ann", None)], "first_name string, dob date")
+    turned = {r.defect_type: r.handled for r in scoring.catch_rate(log, issues, unknown).collect()}
+    assert turned["name_whitespace_case"] == 2 and turned["dob_format_dmy"] == 0
+
+
+def test_pivot_loses_no_value(spark):
+    from tutela.operators.aggregates import pivot_sum
+    df = spark.createDataFrame([("a", 1, 2), ("a", 9, 5), ("a", None, 7)],
+                               "k string, y int, v int")
+    got = pivot_sum(df, ["k"], "y", [1, 2], v="v").first()
+    assert (got.v_1, got.v_2, got.v_other) == (2, None, 12)
+    with pytest.raises(Exception, match="unlisted"):
+        pivot_sum(df, ["k"], "y", [1, 2], rest=None, v="v").collect()
+
+
+def test_group_sizes_count_missing_keys_and_can_be_split(spark):
+    from tutela.operators.joins import with_group_size
+    df = spark.createDataFrame([("a", None), ("a", None), ("b", 1)], "k string, n int")
+    got = sorted(tuple(r)[2] for r in with_group_size(df, ["k", "n"], "size").collect())
+    assert got == [1, 2, 2]
+    rows = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+                                      .alias("k"), F.repeat(F.lit("x"), 200).alias("pad"))
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
+    before = {k: spark.conf.get(k, None) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        out = with_group_size(rows, ["k"], "size")
+        assert out.count() == 40_000
+        out.write.format("noop").mode("overwrite").save()
+        plan = out._jdf.queryExecution()
+        out.collect()
+        assert "skew=true" in plan.executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_calendar_goes_by_date(spark):
+    from tutela.catalog import bindings
+    got = spark.sql("SELECT stack(4, timestamp_ntz'2024-01-01 05:00', timestamp_ntz'2024-01-31', "
+                    "timestamp_ntz'2024-02-01', timestamp_ntz'2023-12-31') AS ts").select(
+        bindings.calendar_day("ts")).collect()
+    assert [r[0] for r in got] == [1, 31, 32, 0]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tutela import sources
 from tutela.plans import build, staging
+from tutela.sources.text import malformed_records, well_formed
 
 
 def test_text_csv(spark, tmp_path):
@@ -18,6 +19,31 @@ def test_text_csv(spark, tmp_path):
         sources.read_text_csv(spark, str(p), ["id", "other", "note"]).collect()
 
 
+def test_records_that_do_not_fit_are_kept_apart_or_stop_the_job(spark, tmp_path):
+    p = tmp_path / "x.csv"
+    p.write_text('id,name\n1,a\n2,b,c\n3\n4,"two\nlines"\n', encoding="utf-8")
+    with pytest.raises(Exception):
+        sources.read_text_csv(spark, str(p), ["id", "name"]).collect()
+    raw = sources.read_text_csv(spark, str(p), ["id", "name"], malformed=True)
+    bad = malformed_records(raw, "x").collect()
+    assert [("2", "2,b,c"), ("3", "3")] == [(r.row_key, r.record) for r in bad][:2]
+    assert 'lines"' in [r.record for r in bad]  # the second half of the broken line
+    raw = sources.read_text_csv(spark, str(p), ["id", "name"], multi_line=True, malformed=True)
+    assert [tuple(r) for r in well_formed(raw).collect()] == [("1", "a"), ("4", "two\nlines")]
+    assert {r.row_key for r in malformed_records(raw, "x").collect()} == {"2", "3"}
+
+
+def test_a_second_run_leaves_no_partition_of_the_first(spark, tmp_path):
+    path = str(tmp_path / "t")
+    two = spark.createDataFrame([("T1", 1), ("T2", 2)], "term_code string, n int")
+    assert sources.write_table(two, path, partition_by=["term_code"]) == 2
+    one = two.filter("term_code = 'T1'")
+    assert sources.write_table(one, path, partition_by=["term_code"], only_partitions=True) == 1
+    assert spark.read.parquet(path).count() == 2
+    assert sources.write_table(one, path, partition_by=["term_code"]) == 1
+    assert spark.read.parquet(path).count() == 1
+
+
 def test_typed_csv_selects_by_header(spark, tmp_path):
     p = tmp_path / "x.csv"
     p.write_text("a,b,c\n1,75F,2024-01-02\nx,3.5,2024\n")

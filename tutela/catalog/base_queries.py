@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tutela import functions as fn
-from tutela.catalog.bindings import Bound
+from tutela.catalog.bindings import MATCH_KEYS, Bound
 from tutela.catalog.registry import add, query
 from tutela.operators import aggregates as ag
 from tutela.operators import filters as flt
@@ -382,17 +382,14 @@ def jn_next_seq(b: Bound):
 @query("jn_list_eq", """
     SELECT student_id, members FROM v_students
     JOIN (SELECT postcode, program_code, match_band, count(*) AS members FROM v_students
-          GROUP BY ALL) USING (postcode, program_code, match_band)""")
+          GROUP BY ALL) g ON g.postcode IS NOT DISTINCT FROM v_students.postcode
+     AND g.program_code IS NOT DISTINCT FROM v_students.program_code
+     AND g.match_band IS NOT DISTINCT FROM v_students.match_band""")
 def jn_list_eq(b: Bound):
     """Members of one duplicate group meet through the group's keys, not its list of ids."""
-    keys = list(identity_keys())
-    groups = b.students.groupBy(*keys).agg(F.count(F.lit(1)).alias("members"))
-    return b.students.select("student_id", *keys).join(groups, keys).select("student_id", "members")
-
-
-def identity_keys():
-    from tutela.catalog.bindings import MATCH_KEYS
-    return MATCH_KEYS
+    keys = list(MATCH_KEYS)
+    return jn.with_group_size(b.students.select("student_id", *keys), keys, "members").select(
+        "student_id", "members")
 
 
 add("jn_multi_left", lambda b: b.fact_alert.select(
@@ -495,13 +492,14 @@ add("ag_rollup_matrix", lambda b: ag.rollup_levels(
     "AS level, count(DISTINCT student_id) AS headcount, sum(eftsl_passed) AS passed FROM f_enrol "
     "JOIN (SELECT student_id, program_code FROM d_student) USING (student_id) "
     "JOIN v_programs USING (program_code) GROUP BY ROLLUP (field, program_name)")
+SHIP_YEARS = list(range(1995, 2003))
 add("ag_pivot", lambda b: ag.pivot_sum(
     b.table("lineitem").withColumn("year", F.year("l_shipdate")), ["l_returnflag"], "year",
-    [1996, 1997, 1998], quantity="l_quantity", lines="l_linenumber"),
+    SHIP_YEARS, rest=None, quantity="l_quantity", lines="l_linenumber"),
     "SELECT l_returnflag, " + ", ".join(
         f"sum(l_quantity) FILTER (WHERE year(l_shipdate) = {y}) AS quantity_{y}, "
         f"CAST(sum(l_linenumber) FILTER (WHERE year(l_shipdate) = {y}) AS BIGINT) AS lines_{y}"
-        for y in (1996, 1997, 1998)) + " FROM lineitem GROUP BY l_returnflag")
+        for y in SHIP_YEARS) + " FROM lineitem GROUP BY l_returnflag")
 add("ag_summarize_default", lambda b: default_totals(b.executive, "mart_executive"),
     "SELECT CAST(sum(headcount) AS BIGINT) AS headcount, sum(eftsl_certified) AS eftsl_certified, "
     "sum(eftsl_passed) AS eftsl_passed, round(sum(success_rate), 6) AS success_rate, "

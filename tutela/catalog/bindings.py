@@ -59,12 +59,25 @@ MATCH_KEYS = ("postcode", "program_code", "match_band")
 MAX_YEAR = 2000
 NBF_YEAR = 1995
 CASE_TERM = "2024T"
+# every fiftieth id of the facts belongs to nobody: it is moved beyond all customers
+STRANGER, SHIFT = (50, 49), 10 ** 12
 
 
 def half_year(day) -> Column:
     return F.concat(F.year(day).cast("string"), F.when(F.month(day) <= 6, "S1").otherwise("S2"))
 
 
+def person(key: Column) -> Column:
+    """The student of a fact row; one class of ids is sent where no customer is."""
+    every, rest = STRANGER
+    return F.when(key % every == rest, key + SHIFT).otherwise(key)
+
+
+def calendar_day(ts) -> Column:
+    """Days since the calendar's first day, from 1; below 1 or above ``DAYS`` is outside."""
+    return F.date_diff(F.to_date(ts), F.lit(TEN_DAYS[0][1]).cast("date")) + 1
+
+
 def ten_day_term(day) -> Column:
     return F.concat(F.lit(CASE_TERM), (F.floor((day - 1) / TERM_DAYS) + 1).cast("string"))
 
@@ -184,12 +197,11 @@ class Bound:
 
     @frame
     def students(self) -> DataFrame:
-        """Staged students; every fiftieth customer is missing, so orphans exist."""
+        """Staged students: all customers."""
         key = F.col("c_custkey")
         first = self.table("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
             half_year(F.min("o_orderdate")).alias("commencing_term"))
-        c = self.table("customer").filter(key % 50 != 49)
-        out = c.join(first, "c_custkey", "left").join(
+        out = self.table("customer").join(first, "c_custkey", "left").join(
             self.regions, F.col("c_nationkey") == F.col("n_nationkey"))
         return out.select(
             key.alias("student_id"), F.substring("c_name", 1, 8).alias("first_name"),
@@ -243,7 +255,7 @@ class Bound:
             "s_suppkey", F.upper(F.trim("n_name")).alias("campus_code_raw"))
         place = staging.resolve_campus(place, self.synonyms)
         order = self.table("orders").select(
-            "o_orderkey", F.col("o_custkey").alias("student_id"),
+            "o_orderkey", person(F.col("o_custkey")).alias("student_id"),
             half_year(F.col("o_orderdate")).alias("term_code"),
             (F.col("o_orderdate") >= F.lit("2001-07-01").cast("timestamp_ntz")).alias("running"))
         rows = (self.table("lineitem").join(place, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -285,20 +297,23 @@ class Bound:
         then meet the calendar as a map, without joining users to days.
         """
         kinds = F.col("event_type")
-        daily = self.table("events").groupBy("user_id", F.dayofmonth("ts").alias("d")).agg(
+        daily = self.table("events").groupBy("user_id", calendar_day("ts").alias("d")).agg(
             F.count_if(kinds.isin("view", "click")).alias("logins"),
             F.count_if(kinds == "purchase").alias("on_time"),
             F.count_if(kinds == "signup").alias("late"),
             F.count_if(kinds == "error").alias("missed"))
-        users = daily.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct(
-            "d", F.struct("logins", "on_time", "late", "missed")))).alias("days"))
+        # a day outside the calendar is counted in ``outside_calendar``, its user stays
+        entry = F.when(F.col("d").between(1, DAYS), F.struct(
+            "d", F.struct("logins", "on_time", "late", "missed")))
+        users = daily.groupBy("user_id").agg(F.map_from_entries(F.collect_list(entry))
+                                             .alias("days"))
         rows = users.select("user_id", "days",
                             F.explode(F.sequence(F.lit(1), F.lit(DAYS))).alias("d"))
         c = F.try_element_at("days", F.col("d"))
         zero = {n: F.coalesce(c[n], F.lit(0)) for n in ("logins", "on_time", "late", "missed")}
         d = F.col("d")
         return rows.select(
-            F.col("user_id").alias("student_id"), ten_day_term(d).alias("term_code"),
+            person(F.col("user_id")).alias("student_id"), ten_day_term(d).alias("term_code"),
             ((d - 1) % TERM_DAYS + 1).alias("week_number"),
             F.date_add(F.lit("2024-01-01").cast("date"), d - 1).alias("week_start"),
             zero["logins"].alias("logins"),
@@ -306,6 +321,13 @@ class Bound:
             zero["on_time"].alias("submitted_on_time"), zero["late"].alias("submitted_late"),
             zero["missed"].alias("missed"))
 
+    @frame
+    def outside_calendar(self) -> DataFrame:
+        """Events of days that the calendar does not have, by kind: known, not silently lost."""
+        return self.table("events").groupBy("event_type").agg(
+            F.count_if(~F.coalesce(calendar_day("ts").between(1, DAYS), F.lit(False)))
+            .alias("outside"), F.count(F.lit(1)).alias("events"))
+
     @frame
     def fact_engagement(self) -> DataFrame:
         self.share("students", "survivors")
@@ -320,13 +342,14 @@ class Bound:
     def case_rows(self) -> DataFrame:
         """Cases without their alerts, which most consumers do not need."""
         e = F.col("event_id")
-        early = e % 8 == 0
-        ev = self.table("events").filter("event_type = 'signup' AND event_id % 8 < 2")
+        day = calendar_day("ts")
+        ev = self.table("events").filter("event_type = 'signup'").filter(day.between(1, DAYS))
         return ev.select(
-            e.alias("case_id"), F.col("user_id").alias("student_id"),
-            ten_day_term(F.dayofmonth("ts")).alias("term_code"),
+            e.alias("case_id"), person(F.col("user_id")).alias("student_id"),
+            ten_day_term(day).alias("term_code"),
             F.col("ts").cast("date").alias("opened_date"),
-            F.when(early, "Early alert").otherwise("Self-referral").alias("source"),
+            F.when(e % 8 == 0, "Early alert").when(e % 8 < 5, "Self-referral")
+            .otherwise("Staff referral").alias("source"),
             F.concat(F.lit("Type "), (e % 4).cast("string")).alias("case_type"),
             F.concat(F.lit("Activity "), (e % 5).cast("string")).alias("seheef_activity"),
             F.concat(F.lit("Stage "), (e % 3).cast("string")).alias("seheef_life_stage"),
@@ -368,9 +391,10 @@ class Bound:
     @frame
     def presence(self) -> DataFrame:
         """Who is there in which ten-day term: a purchase above 60."""
-        bought = self.table("events").filter("event_type = 'purchase' AND value > 60").select(
-            F.col("user_id").alias("student_id"),
-            ten_day_term(F.dayofmonth("ts")).alias("term_code")).distinct()
+        day = calendar_day("ts")
+        bought = self.table("events").filter("event_type = 'purchase' AND value > 60").filter(
+            day.between(1, DAYS)).select(person(F.col("user_id")).alias("student_id"),
+                                         ten_day_term(day).alias("term_code")).distinct()
         return identity.remap(bought, self.survivors)
 
     # ------------------------------------------------------------------- marts --

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tutela.catalog.bindings import MATCH_KEYS, MAX_YEAR, NBF_YEAR, THRESHOLDS, Bound
+from tutela.catalog.bindings import (HALF_YEARS, MATCH_KEYS, MAX_YEAR, NBF_YEAR, TEN_DAYS,
+                                     THRESHOLDS, Bound)
 from tutela.catalog.registry import add, query
-from tutela.plans import (alerts, evaluation, fairness, identity, marts, quality,
-                          realism, reports, scoring, security)
+from tutela.catalog.views import VIEWS
+from tutela.functions import mixed_date, proper_case, tri_state, upper_trim
+from tutela.operators.sets import stack
+from tutela.plans import (alerts, evaluation, fairness, identity, marts, quality, realism,
+                          references, reports, scoring, security, staging)
+from tutela.session import keep
 
 # ------------------------------------------------------------------- quality --
 add("dq_survivorship", lambda b: identity.survivorship(b.students, b.active_ids, MATCH_KEYS),
@@ -163,48 +168,119 @@ def dq_inject(b: Bound):
     return out
 
 
+def _damaged(b: Bound):
+    """Students and enrolments with all six kinds of defect, each written once, and the log."""
+    b.share("students", "enrolments")
+    people, rows = _defect_tables(b)
+    people, rows, log = scoring.inject_all(people, rows, _RATES, SEED)
+    return keep(people, "damaged-students"), keep(rows, "damaged-enrolments"), log
+
+
+_NOISY = (f"CASE WHEN {_hit('name_whitespace_case', 'student_id')} THEN CASE WHEN "
+          f"{_coin('name_whitespace_case', 'student_id')} THEN '  ' || upper(first_name) "
+          "ELSE first_name || ' ' END ELSE first_name END")
+_FLAG_HIT, _FLAG_COIN = (f("missing_equity_flag", "student_id") for f in (_hit, _coin))
+VIEWS |= {
+    "x_copies": f"""
+        SELECT * REPLACE (student_id + (SELECT max(student_id) FROM v_students) AS student_id)
+        FROM v_students WHERE {_hit('duplicate_student', 'student_id')}""",
+    "x_all": "SELECT * FROM v_students UNION ALL SELECT * FROM x_copies",
+    "x_people": f"""
+        SELECT student_id, {_NOISY} AS first_name,
+               CASE WHEN dob IS NOT NULL AND {_hit('dob_format_dmy', 'student_id')}
+                    THEN strftime(dob, '%d/%m/%Y') ELSE CAST(dob AS VARCHAR) END AS dob,
+               CASE WHEN {_FLAG_HIT} AND {_FLAG_COIN} THEN '' ELSE left(first_nations, 1) END
+                   AS first_nations_flag,
+               CASE WHEN {_FLAG_HIT} AND NOT {_FLAG_COIN} THEN '' ELSE left(disability, 1) END
+                   AS disability_flag
+        FROM x_all""",
+    "x_map": VIEWS["v_map"].replace("v_students", "x_all"),
+    "x_rows": f"""
+        SELECT student_id, unit_code, term_code,
+               CASE WHEN mark IS NOT NULL AND {_hit('mark_out_of_range', _KEY3)}
+                    THEN CASE WHEN {_coin('mark_out_of_range', _KEY3)} THEN 105.0 ELSE -1.0 END
+                    ELSE mark END AS mark,
+               CASE WHEN campus IN ('NSY', 'MEL', 'BRI', 'STR')
+                         AND {_hit('campus_code_variant', _KEY3)}
+                    THEN {_variant_sql()} ELSE campus END AS campus_code
+        FROM (SELECT *, {_CAMPUS_SQL} AS campus FROM v_enrol)""",
+}
+
+
+@query("dq_damaged_students", "SELECT * FROM x_people")
+def dq_damaged_students(b: Bound):
+    return _damaged(b)[0].select("student_id", "first_name", "dob", "first_nations_flag",
+                                 "disability_flag")
+
+
+@query("dq_damaged_enrolments", "SELECT student_id, unit_code, term_code, "
+                                "CAST(mark AS DOUBLE) AS mark, campus_code FROM x_rows")
+def dq_damaged_enrolments(b: Bound):
+    return _damaged(b)[1].select("student_id", "unit_code", "term_code", "mark", "campus_code")
+
+
+_KNOWN_SPELLINGS = ", ".join(f"'{v}'" for v in (
+    *(variant for variant, _ in references.CAMPUS_SYNONYMS), "MIDDLE EAST"))
+
+
 @query("dq_catch_rate", f"""
-    WITH_INJECTED
     SELECT coalesce(defect_type, 'TOTAL') AS defect_type, count(*) AS injected,
            count(*) FILTER (WHERE ok) AS handled,
            round(count(*) FILTER (WHERE ok) / count(*)::DOUBLE, 4) AS share
-    FROM (SELECT 'mark_out_of_range' AS defect_type, true AS ok FROM v_enrol
-          WHERE mark IS NOT NULL AND {_hit('mark_out_of_range', _KEY3)}
+    FROM (SELECT 'mark_out_of_range' AS defect_type, {_KEY3} IN (
+                     SELECT {_KEY3} FROM x_rows WHERE mark NOT BETWEEN 0 AND 100) AS ok
+          FROM v_enrol WHERE mark IS NOT NULL AND {_hit('mark_out_of_range', _KEY3)}
+          UNION ALL
+          SELECT 'campus_code_variant', {_KEY3} NOT IN (SELECT {_KEY3} FROM x_rows
+              WHERE upper(trim(campus_code)) NOT IN ({_KNOWN_SPELLINGS}))
+          FROM (SELECT *, {_CAMPUS_SQL} AS campus FROM v_enrol)
+          WHERE campus IN ('NSY', 'MEL', 'BRI', 'STR') AND {_hit('campus_code_variant', _KEY3)}
+          UNION ALL
+          SELECT 'duplicate_student', student_id IN (SELECT duplicate_id FROM x_map) FROM x_copies
           UNION ALL
-          SELECT 'missing_equity_flag', true FROM v_students
-          WHERE {_hit('missing_equity_flag', 'student_id')}
+          SELECT 'missing_equity_flag', student_id NOT IN (SELECT duplicate_id FROM x_map)
+          FROM x_all WHERE {_FLAG_HIT}
           UNION ALL
-          SELECT 'name_whitespace_case', true FROM v_students
-          WHERE {_hit('name_whitespace_case', 'student_id')}
+          SELECT 'name_whitespace_case', (
+              SELECT count(*) = 0 FROM x_people WHERE student_id NOT IN (
+                  SELECT duplicate_id FROM x_map)
+                  AND trim(first_name) <> trim(trim(first_name)))
+          FROM x_all WHERE {_hit('name_whitespace_case', 'student_id')}
           UNION ALL
-          SELECT 'dob_format_dmy', true FROM v_students
-          WHERE dob IS NOT NULL AND {_hit('dob_format_dmy', 'student_id')})
-    GROUP BY ROLLUP (defect_type)""".replace("WITH_INJECTED", ""))
+          SELECT 'dob_format_dmy', (
+              SELECT count(*) = 0 FROM x_people WHERE student_id NOT IN (
+                  SELECT duplicate_id FROM x_map)
+                  AND coalesce(try_strptime(dob, '%d/%m/%Y'), try_cast(dob AS DATE)) IS NULL)
+          FROM x_all WHERE dob IS NOT NULL AND {_hit('dob_format_dmy', 'student_id')})
+    GROUP BY ROLLUP (defect_type)""")
 def dq_catch_rate(b: Bound):
-    """Damage, stage and judge again: marks, flags, names and birth dates.
+    """Damage with all six kinds, stage, find survivors, judge, and look up every defect.
 
-    The staged dimension leaves out the students whose birth date was never
-    known, since that check is all or nothing.
+    Birth dates that were never known stay unknown, so the all-or-nothing check of birth dates
+    fails on these tables; flags of people merged into others are not logged again.
     """
-    from tutela.functions import mixed_date, proper_case, tri_state
-    people, rows = _defect_tables(b)
-    logs = []
-    for kind in ("missing_equity_flag", "name_whitespace_case", "dob_format_dmy"):
-        people, log = scoring.inject(people, kind, _RATES[kind], SEED)
-        logs.append(log)
-    rows, log = scoring.inject(rows, "mark_out_of_range", _RATES["mark_out_of_range"], SEED)
-    injected = log
-    for other in logs:
-        injected = injected.unionByName(other)
+    people, rows, injected = _damaged(b)
     staged = people.withColumns({
         "first_name": proper_case("first_name"), "dob": mixed_date("dob"),
         "first_nations": tri_state("first_nations_flag"),
         "disability": tri_state("disability_flag")})
-    issues = quality.student_issues(staged, [quality.FLAG]).unionByName(
-        quality.enrolment_issues(quality.judge_enrolments(rows, b.students, b.synonyms),
-                                 [quality.MARK]))
-    return scoring.catch_rate(injected, issues, staged.filter("dob IS NOT NULL"))
-
+    survivors = keep(identity.survivorship(staged, b.active_ids, MATCH_KEYS), "survivors")
+    dim = identity.drop_duplicates_by(staged, survivors)
+    synonyms = references.synonym_rows(b.spark, [*references.CAMPUS_SYNONYMS,
+                                                 ("MIDDLE EAST", "MIDDLE EAST")])
+    resolved = staging.resolve_campus(rows.drop("campus_code_raw").withColumn(
+        "campus_code_raw", upper_trim("campus_code")).drop("campus_code"), synonyms)
+    judged = quality.judge_enrolments(resolved, staged, synonyms)
+    issues = stack([quality.duplicate_issues(survivors),
+                    quality.student_issues(dim, [quality.FLAG]),
+                    quality.enrolment_issues(judged, [quality.MARK, quality.CAMPUS])])
+    return scoring.catch_rate(injected, issues, dim)
+
+
+add("dq_calendar", lambda b: b.outside_calendar,
+    "SELECT event_type, count(*) FILTER (WHERE NOT coalesce(CAST(ts AS DATE) BETWEEN "
+    "DATE '2024-01-01' AND DATE '2024-01-30', false)) AS outside, count(*) AS events "
+    "FROM events GROUP BY event_type")
 
 # ---------------------------------------------------------------- dimensions --
 add("dm_term", lambda b: b.fact_enrolment.groupBy("term_code").agg(
@@ -274,9 +350,7 @@ add("an_cem", lambda b: evaluation.cem(b.cells).select(
     "FROM v_matched")
 
 
-add("an_bootstrap", lambda b: evaluation.bootstrap(b.cells))
-add("an_results", lambda b: b.results())
-add("an_estimates", lambda b: evaluation.estimates(b.effect_input),
+_ESTIMATES = (
     "SELECT 'Naive difference' AS estimator, round_even(100 * "
     "(avg(retained_next_term) FILTER (WHERE contacted = 1) "
     "- avg(retained_next_term) FILTER (WHERE contacted = 0)), 2) AS estimate_pp, "
@@ -284,6 +358,31 @@ add("an_estimates", lambda b: evaluation.estimates(b.effect_input),
     "SELECT 'Coarsened exact matching', round_even(100 * estimate, 2), n_strata || ' strata; ' "
     "|| CAST(round_even(100 * matched_share, 0) AS INTEGER) || '% of treated matched' "
     "FROM v_matched")
+# Intervals are random draws: what is compared is that they are complete and hold the estimate.
+_POINTS = ("SELECT 'Naive difference' AS estimator, "
+           "avg(retained_next_term) FILTER (WHERE contacted = 1) "
+           "- avg(retained_next_term) FILTER (WHERE contacted = 0) AS estimate, n_strata, "
+           "matched_share FROM m_effect CROSS JOIN v_matched GROUP BY n_strata, matched_share "
+           "UNION ALL SELECT 'Coarsened exact matching', estimate, n_strata, matched_share "
+           "FROM v_matched")
+
+
+def _holds(low: str, mid: str, high: str):
+    return (F.col(low) <= F.col(mid)) & (F.col(mid) <= F.col(high)) & (F.col(low) < F.col(high))
+
+
+add("an_bootstrap", lambda b: evaluation.bootstrap(b.cells).select(
+    "estimator", F.round("estimate", 9).alias("estimate"), "n_strata",
+    F.round("matched_share", 9).alias("matched_share"),
+    _holds("ci_low", "estimate", "ci_high").alias("in_order"),
+    (F.col("replicates") == evaluation.REPLICATES).alias("complete")),
+    "SELECT estimator, round(estimate, 9) AS estimate, n_strata, "
+    f"round(matched_share, 9) AS matched_share, true AS in_order, true AS complete FROM ({_POINTS})")
+add("an_results", lambda b: b.results().select(
+    "estimator", "estimate_pp", "note",
+    _holds("ci_low_pp", "estimate_pp", "ci_high_pp").alias("in_order")),
+    f"SELECT *, true AS in_order FROM ({_ESTIMATES})")
+add("an_estimates", lambda b: evaluation.estimates(b.effect_input), _ESTIMATES)
 add("an_verdict", lambda b: evaluation.verdict(evaluation.estimates(b.effect_input)),
     "SELECT naive_pp, matched_pp, CASE WHEN matched_pp > 0 AND matched_pp > naive_pp "
     "THEN 'RECOVERED' ELSE 'NOT RECOVERED' END AS verdict, "
@@ -509,10 +608,13 @@ add("rp_nbf_table", lambda b: reports.nbf_table(b.model, NBF_YEAR),
     "AS commencing_students, CAST(sum(indicative_funding) AS BIGINT) AS indicative_funding, "
     "avg(support_coverage) AS support_coverage FROM m_nbf "
     f"WHERE commencing_year = {NBF_YEAR} GROUP BY ALL")
-add("rp_seheef_matrix", lambda b: reports.seheef_matrix(b.model, [2023, 2024]),
+CALENDAR_YEARS = sorted({term[4] for term in HALF_YEARS + TEN_DAYS})
+add("rp_seheef_matrix", lambda b: reports.seheef_matrix(b.model, CALENDAR_YEARS),
     "SELECT seheef_activity, seheef_life_stage, " + ", ".join(
-        f"CAST(sum({c}) FILTER (WHERE year = {y}) AS BIGINT) AS {c}_{y}"
-        for y in (2023, 2024) for c in ("cases", "students"))
+        f"CAST(sum({c}) FILTER (WHERE {test}) AS BIGINT) AS {c}_{y}" for y, test in (
+            *((y, f"year = {y}") for y in CALENDAR_YEARS),
+            ("other", "year IS NULL OR year NOT IN "
+                      f"({', '.join(map(str, CALENDAR_YEARS))})")) for c in ("cases", "students"))
     + " FROM m_seheef GROUP BY seheef_activity, seheef_life_stage")
 add("rp_triage_cards", lambda b: reports.triage_cards(b.model),
     "SELECT count(DISTINCT student_id) AS students_on_list, count(DISTINCT student_id) FILTER "
@@ -550,8 +652,12 @@ def _with_results(b: Bound):
     return b.model.scoped({"mart_effectiveness_results": b.results()})
 
 
-add("rp_effect_table", lambda b: reports.effect_table(_with_results(b)))
-add("rp_effect_bar", lambda b: reports.effect_bar(_with_results(b)),
+add("rp_effect_table", lambda b: reports.effect_table(_with_results(b)).select(
+    "estimator", "note", "estimate_pp",
+    _holds("ci_low_pp", "estimate_pp", "ci_high_pp").alias("in_order")),
+    f"SELECT estimator, note, estimate_pp, true AS in_order FROM ({_ESTIMATES})")
+add("rp_effect_bar", lambda b: reports.effect_bar(b.model.scoped({
+    "mart_effectiveness_results": evaluation.estimates(b.effect_input)})),
     "SELECT 'Naive difference' AS estimator, round_even(100 * "
     "(avg(retained_next_term) FILTER (WHERE contacted = 1) "
     "- avg(retained_next_term) FILTER (WHERE contacted = 0)), 2) AS estimate_pp FROM m_effect "

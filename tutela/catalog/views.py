@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import re
 
-from tutela.catalog.bindings import ADVISORS, HALF_YEARS, PROGRAMS, TEN_DAYS
+from tutela.catalog.bindings import (ADVISORS, DAYS, HALF_YEARS, PROGRAMS, SHIFT, STRANGER,
+                                     TEN_DAYS)
 from tutela.plans.references import FUNDING_RATES
 
 
@@ -35,6 +36,13 @@ def _ten(day: str) -> str:
     return f"CASE WHEN {day} <= 10 THEN '2024T1' WHEN {day} <= 20 THEN '2024T2' ELSE '2024T3' END"
 
 
+def _person(key: str) -> str:
+    return f"CASE WHEN {key} % {STRANGER[0]} = {STRANGER[1]} THEN {key} + {SHIFT} ELSE {key} END"
+
+
+_DAY = f"(CAST(ts AS DATE) - DATE '{TEN_DAYS[0][1]}' + 1)"
+_INSIDE = f"{_DAY} BETWEEN 1 AND {DAYS}"
+
 VIEWS = {
     "v_terms": _values(HALF_YEARS, TERM_COLUMNS, (1, 2)),
     "v_tterms": _values(TEN_DAYS, TERM_COLUMNS, (1, 2)),
@@ -89,8 +97,7 @@ VIEWS = {
                CAST(floor(c_acctbal / 1000) AS BIGINT) AS match_band, commencing_term
         FROM customer JOIN v_regions ON c_nationkey = n_nationkey
         LEFT JOIN (SELECT o_custkey, min({_half('o_orderdate')}) AS commencing_term
-                   FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey
-        WHERE c_custkey % 50 <> 49""",
+                   FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey""",
     "v_map": """
         SELECT s.student_id AS duplicate_id, g.survivor AS surviving_id
         FROM v_students s
@@ -123,7 +130,7 @@ VIEWS = {
         FROM v_dedup s LEFT JOIN v_postcode p ON s.postcode = p.postcode""",
     "v_enrol": f"""
         SELECT e.*, coalesce(v.canonical, e.campus_code_raw) AS campus_code
-        FROM (SELECT o_custkey AS student_id, l_partkey AS unit_code,
+        FROM (SELECT {_person('o_custkey')} AS student_id, l_partkey AS unit_code,
                      {_half('o_orderdate')} AS term_code,
                      upper(trim(n_name)) AS campus_code_raw, 2 * l_quantity + 2 AS mark,
                      CAST(0.125 AS DOUBLE) AS eftsl,
@@ -165,7 +172,7 @@ VIEWS = {
                     ELSE CAST(0 AS DOUBLE) END AS eftsl_passed
         FROM v_clean e LEFT JOIN v_map m ON m.duplicate_id = e.student_id""",
     "v_activity": f"""
-        SELECT u.user_id AS student_id, {_ten('u.d')} AS term_code,
+        SELECT {_person('u.user_id')} AS student_id, {_ten('u.d')} AS term_code,
                CAST(1 + (u.d - 1) % 10 AS INTEGER) AS week_number,
                DATE '2024-01-01' + CAST(u.d - 1 AS INTEGER) AS week_start,
                count(CASE WHEN event_type IN ('view', 'click') THEN 1 END) AS logins,
@@ -176,7 +183,7 @@ VIEWS = {
                count(CASE WHEN event_type = 'error' THEN 1 END) AS missed
         FROM (SELECT user_id, unnest(range(1, 31)) AS d
               FROM (SELECT DISTINCT user_id FROM events)) u
-        LEFT JOIN events e ON e.user_id = u.user_id AND day(e.ts) = u.d
+        LEFT JOIN events e ON e.user_id = u.user_id AND {_DAY.replace('ts', 'e.ts')} = u.d
         GROUP BY u.user_id, u.d""",
     "f_eng": """
         SELECT coalesce(m.surviving_id, a.student_id) AS student_id, a.* EXCLUDE (student_id)
@@ -209,9 +216,11 @@ VIEWS = {
         JOIN v_tterms USING (term_code)""",
     "v_cases": f"""
         SELECT c.*, CASE WHEN source = 'Early alert' THEN first_alert END AS linked_alert_id
-        FROM (SELECT event_id AS case_id, user_id AS student_id, {_ten('day(ts)')} AS term_code,
+        FROM (SELECT event_id AS case_id, {_person('user_id')} AS student_id,
+                     {_ten(_DAY)} AS term_code,
                      CAST(ts AS DATE) AS opened_date,
-                     CASE WHEN event_id % 8 = 0 THEN 'Early alert' ELSE 'Self-referral' END
+                     CASE WHEN event_id % 8 = 0 THEN 'Early alert'
+                          WHEN event_id % 8 < 5 THEN 'Self-referral' ELSE 'Staff referral' END
                          AS source,
                      'Type ' || event_id % 4 AS case_type,
                      'Activity ' || event_id % 5 AS seheef_activity,
@@ -225,7 +234,7 @@ VIEWS = {
                      CASE WHEN value >= 50
                           THEN CAST(ts AS DATE) + CAST(floor(value) AS INTEGER) % 21 END
                          AS closed_date
-              FROM events WHERE event_type = 'signup' AND event_id % 8 < 2) c
+              FROM events WHERE event_type = 'signup' AND {_INSIDE}) c
         LEFT JOIN (SELECT student_id, term_code, min(alert_id) AS first_alert
                    FROM v_alerts GROUP BY student_id, term_code) USING (student_id, term_code)""",
     "f_case": """
@@ -250,10 +259,10 @@ VIEWS = {
                    QUALIFY row_number() OVER (PARTITION BY linked_alert_id ORDER BY case_id) = 1) c
           ON c.linked_alert_id = a.alert_id""",
     "v_presence": f"""
-        SELECT DISTINCT coalesce(surviving_id, user_id) AS student_id,
-               {_ten('day(ts)')} AS term_code
-        FROM events LEFT JOIN v_map ON duplicate_id = user_id
-        WHERE event_type = 'purchase' AND value > 60""",
+        SELECT DISTINCT coalesce(surviving_id, {_person('user_id')}) AS student_id,
+               {_ten(_DAY)} AS term_code
+        FROM events LEFT JOIN v_map ON duplicate_id = {_person('user_id')}
+        WHERE event_type = 'purchase' AND value > 60 AND {_INSIDE}""",
     "v_flags": """
         SELECT d.*, CASE WHEN student_status = 'completed' OR (student_id, commencing_year + 1) IN
                          (SELECT (student_id, CAST(substr(term_code, 1, 4) AS INTEGER))
@@ -457,15 +466,15 @@ VIEWS = {
         FROM v_fair f""",
     "v_tt": "SELECT * FROM v_terms UNION ALL SELECT * FROM v_tterms",
 }
-_NAMES = re.compile(r"\b(" + "|".join(VIEWS) + r")\b")
+_NAME = re.compile(r"\b[a-z]_\w+\b")
 
 
 def sql(text: str) -> str:
     needed: set[str] = set()
     todo = [text]
     while todo:
-        for name in _NAMES.findall(todo.pop()):
-            if name not in needed:
+        for name in _NAME.findall(todo.pop()):
+            if name in VIEWS and name not in needed:
                 needed.add(name)
                 todo.append(VIEWS[name])
     if not needed:

@@ -83,12 +83,25 @@ def rollup_levels(df: DataFrame, levels: Sequence[str], *aggs: Column) -> DataFr
     return out.withColumn("level", F.bit_count("level").cast("int"))
 
 
-def pivot_sum(df: DataFrame, rows: Sequence[str], across: str, values: Sequence, **sums: str) -> DataFrame:
+def pivot_sum(df: DataFrame, rows: Sequence[str], across: str, values: Sequence,
+              rest: str | None = "other", **sums: str) -> DataFrame:
     """Rows by columns. The column values are given, which saves the extra job
-    that would look for them and fixes the schema."""
-    wide = (df.groupBy(*rows).pivot(across, list(values))
-            .agg(*[F.sum(c).alias(name) for name, c in sums.items()]))
+    that would look for them and fixes the schema.
+
+    Values that are not listed, nulls too, are summed into the column ``rest``.
+    With ``rest=None`` the caller vouches for the list: another value ends the
+    job with an error.
+    """
+    listed = [str(v) for v in values]
+    known = F.col(across).cast("string").isin(*listed)
+    name = F.concat(F.lit(f"{across} has an unlisted value: "), F.coalesce(
+        F.col(across).cast("string"), F.lit("NULL")))
+    column = F.when(known, F.col(across).cast("string")).otherwise(
+        F.lit(rest) if rest else F.raise_error(name).cast("string"))
+    shown = [*listed, rest] if rest else listed
+    wide = (df.withColumn(across, column).groupBy(*rows).pivot(across, shown)
+            .agg(*[F.sum(c).alias(n) for n, c in sums.items()]))
     single = len(sums) == 1
     return wide.select(*rows, *[
-        F.col(f"`{v}`" if single else f"`{v}_{name}`").alias(f"{name}_{v}")
-        for v in values for name in sums])
+        F.col(f"`{v}`" if single else f"`{v}_{n}`").alias(f"{n}_{v}")
+        for v in shown for n in sums])

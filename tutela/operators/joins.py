@@ -91,6 +91,19 @@ def with_next(df: DataFrame, seen: DataFrame, key: str, seq: str, flag: str) ->
             .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
 
 
+def with_group_size(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """How many rows share a row's keys; a missing key part equals a missing one.
+
+    Counted before it moves and joined back from a fresh exchange, so the runtime
+    can split a group that holds much of the table.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).select(
+        *[F.col(k).alias(f"__{k}") for k in keys], name)
+    sizes = apart(sizes)
+    tests = on_keys(df, sizes, [(k, f"__{k}") for k in keys], null_safe=True)
+    return df.join(sizes, tests).select(*df.columns, name)
+
+
 def merge_suffixed(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
                    suffix: str) -> DataFrame:
     """Join on shared names; other shared names of the right side get a suffix."""

@@ -11,8 +11,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tutela.operators.sets import stack
 from tutela.plans import dimensions, facts, identity, marts, quality, references, staging
 from tutela.sources import read_text_csv, write_tables
+from tutela.sources.text import malformed_records, well_formed
 
 
 @dataclass(frozen=True)
@@ -32,8 +34,10 @@ class References:
                    references.rate_rows(spark))
 
 
-def read_extracts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: read_text_csv(spark, f"{folder}/{name}.csv", cols)
+def read_extracts(spark: SparkSession, folder: str, multi_line: bool = False) \
+        -> dict[str, DataFrame]:
+    """Extracts with records that do not fit the header marked (``sources.text``)."""
+    return {name: read_text_csv(spark, f"{folder}/{name}.csv", cols, multi_line, malformed=True)
             for name, cols in staging.EXTRACTS.items()}
 
 
@@ -51,24 +55,37 @@ def stage(raw: dict[str, DataFrame], synonyms: DataFrame) -> dict[str, DataFrame
 
 
 def build(spark: SparkSession, source: str, warehouse: str, quality_dir: str,
-          refs: References | None = None, max_year: int = 2025) -> dict[str, int]:
-    """Returns the row count of every table written."""
+          refs: References | None = None, max_year: int = 2025,
+          multi_line: bool = False) -> dict[str, int]:
+    """Returns the row count of every table written.
+
+    Records that do not fit their header go to the issue log and to
+    ``rej_records``; ``multi_line`` reads quoted line breaks as such.
+    """
     refs = refs or References.default(spark)
-    s = stage(read_extracts(spark, source), refs.synonyms)
+    raw = read_extracts(spark, source, multi_line)
+    s = stage({n: well_formed(df) for n, df in raw.items()}, refs.synonyms)
     counts: dict[str, int] = {}
 
-    def keep(folder: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    def keep(folder: str, tables: dict[str, DataFrame], prefix: str = "") -> dict[str, DataFrame]:
         counts.update(write_tables(tables, folder))
-        return {n: spark.read.parquet(f"{folder}/{n}") for n in tables}
+        return {n.removeprefix(prefix): spark.read.schema(df.schema).parquet(f"{folder}/{n}")
+                for n, df in tables.items()}
 
+    # read by several stages each: written once, not parsed again
+    s |= keep(quality_dir, {"stg_students": s["students"], "stg_activity": s["activity"]}, "stg_")
+    records = keep(quality_dir, {"rej_records": stack(
+        [malformed_records(df, n) for n, df in raw.items()])})["rej_records"]
     survivors = keep(quality_dir, {"student_id_survivorship": identity.survivorship(
         s["students"], s["enrolments"].select("student_id"))})["student_id_survivorship"]
     students = identity.drop_duplicates_by(s["students"], survivors)
     staged = keep(quality_dir, {"stg_enrolments": s["enrolments"]})["stg_enrolments"]
-    judged = quality.judge_enrolments(staged, s["students"], refs.synonyms)
+    judged = keep(quality_dir, {"judged_enrolments": quality.judge_enrolments(
+        staged, s["students"], refs.synonyms)})["judged_enrolments"]
     q = keep(quality_dir, {
-        "dq_issues": quality.stamp(quality.issue_log(survivors, students, judged, s["activity"],
-                                                     s["students"])),
+        "dq_issues": quality.stamp(stack([
+            quality.issue_log(survivors, students, judged, s["activity"], s["students"]),
+            quality.malformed_issues(records)])),
         "rej_enrolments": quality.quarantine(judged)})
     clean = quality.clean(staged, q["rej_enrolments"])
 
@@ -82,6 +99,7 @@ def build(spark: SparkSession, source: str, warehouse: str, quality_dir: str,
         "fact_case": facts.fact_case(s["cases"], survivors)})
     w |= keep(warehouse, {"fact_alert": facts.fact_alert(
         s["alerts"], w["fact_case"], refs.terms, survivors)})
+    quality.assert_no_orphans(w["fact_enrolment"], w["dim_student"])  # before any mart is published
     present = marts.presence(w["fact_enrolment"])
     keep(warehouse, {
         "mart_executive": marts.mart_executive(w["fact_enrolment"], w["dim_student"],
@@ -98,5 +116,4 @@ def build(spark: SparkSession, source: str, warehouse: str, quality_dir: str,
             refs.terms),
         "mart_dq_summary": quality.summarise(q["dq_issues"], q["rej_enrolments"]),
         "mart_engagement_trend": marts.trend(w["fact_engagement_week"], w["dim_student"])})
-    quality.assert_no_orphans(w["fact_enrolment"], w["dim_student"])
     return counts

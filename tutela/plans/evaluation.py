@@ -9,7 +9,7 @@ touches the rows again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tutela.functions import clip, cut, stratum_key
 from tutela.operators.aggregates import weighted_mean
+from tutela.operators.sets import stack
 
 # --- fixed values: bins, labels, replicates and seed ------------------------
 WEEK_EDGES, WEEK_LABELS = (0, 5, 8, 12), ("w3-5", "w6-8", "w9-11")
@@ -95,13 +96,16 @@ def resample(cell_counts: DataFrame, reps: int = REPLICATES, seed: int = SEED) -
     columns, n); replicate 0 is the data itself.
 
     The cells, a list bounded by the number of strata, ride along with each
-    replicate number; each replicate draws from its own seeded stream, so a lost
-    task redraws the same numbers wherever it runs again.
+    replicate number, and the numbers are dealt over the cluster; each replicate
+    draws from its own seeded stream, so a lost task redraws the same numbers
+    wherever it runs again.
     """
+    spark = cell_counts.sparkSession
     listed = cell_counts.agg(F.array_sort(F.collect_list(
         F.struct("stratum", "contacted", "outcome", "n"))).alias("cells"))
-    tasks = listed.select("cells", F.explode(F.sequence(F.lit(0), F.lit(reps)))
-                          .alias("replicate"))
+    slices = max(1, min(reps + 1, spark.sparkContext.defaultParallelism))
+    tasks = spark.range(0, reps + 1, 1, slices).select(
+        listed.scalar().alias("cells"), F.col("id").cast("int").alias("replicate"))
 
     @F.pandas_udf("array<bigint>")
     def draw(counts: pd.Series, replicate: pd.Series) -> pd.Series:
@@ -124,21 +128,46 @@ def resample(cell_counts: DataFrame, reps: int = REPLICATES, seed: int = SEED) -
                         F.col("draws").alias("n")).filter(F.col("n") > 0)
 
 
-def bootstrap(cell_counts: DataFrame, reps: int = REPLICATES, seed: int = SEED) -> DataFrame:
-    """One row per estimator: point estimate, 95 % percentile interval, strata
-    and matched share, all from a single pass over the cells."""
-    runs = both_estimates(resample(cell_counts, reps, seed), by=["replicate"])
-    data = F.col("replicate") == 0
-    long = runs.select("replicate", "n_strata", "matched_share", F.inline(F.array(
+Estimator = Callable[[DataFrame, Sequence[str]], DataFrame]
+_DETAILS = ("n_strata", "matched_share")
+
+
+def _both(runs: DataFrame) -> DataFrame:
+    one = both_estimates(runs, by=["replicate"])
+    return one.select("replicate", *_DETAILS, F.inline(F.array(
         F.struct(F.lit(NAIVE_NAME).alias("estimator"), F.col("naive").alias("estimate")),
         F.struct(F.lit(MATCHED_NAME).alias("estimator"), F.col("matched").alias("estimate")))))
+
+
+def _each(runs: DataFrame, estimators: Mapping[str, Estimator]) -> DataFrame:
+    parts = []
+    for name, estimate in estimators.items():
+        one = estimate(runs, ["replicate"])
+        extra = [F.col(c) if c in one.columns else F.lit(None).cast(t).alias(c)
+                 for c, t in zip(_DETAILS, ("bigint", "double"))]
+        parts.append(one.select("replicate", *extra, F.lit(name).alias("estimator"), "estimate"))
+    return stack(parts)
+
+
+def bootstrap(cell_counts: DataFrame, estimators: Mapping[str, Estimator] | None = None,
+              reps: int = REPLICATES, seed: int = SEED) -> DataFrame:
+    """One row per estimator: point estimate, 95 % percentile interval, number of
+    replicates with an estimate, strata and matched share.
+
+    An estimator takes cell counts and grouping columns and returns the groups
+    with a column ``estimate`` (``naive`` and ``cem`` are two). Without a choice
+    both built-in ones are computed in a single pass over the drawn cells.
+    """
+    runs = resample(cell_counts, reps, seed)
+    long = _each(runs, estimators) if estimators else _both(runs)
+    data = F.col("replicate") == 0
     spread = F.percentile(F.when(~data, F.col("estimate")), F.array(F.lit(0.025), F.lit(0.975)))
     return long.groupBy("estimator").agg(
         F.max(F.when(data, F.col("estimate"))).alias("estimate"), spread.alias("ci"),
-        F.max(F.when(data, F.col("n_strata"))).alias("n_strata"),
-        F.max(F.when(data, F.col("matched_share"))).alias("matched_share")).select(
+        F.count(F.when(~data, F.col("estimate"))).alias("replicates"),
+        *(F.max(F.when(data, F.col(c))).alias(c) for c in _DETAILS)).select(
         "estimator", "estimate", F.col("ci")[0].alias("ci_low"), F.col("ci")[1].alias("ci_high"),
-        "n_strata", "matched_share")
+        "replicates", *_DETAILS)
 
 
 def _pp(c: str) -> Column:
@@ -163,7 +192,7 @@ def estimates(rows: DataFrame) -> DataFrame:
 
 def results(rows: DataFrame, reps: int = REPLICATES, seed: int = SEED) -> DataFrame:
     """The published table: estimate, interval and note per estimator."""
-    return bootstrap(cells(rows), reps, seed).select(
+    return bootstrap(cells(rows), None, reps, seed).select(
         "estimator", _pp("estimate").alias("estimate_pp"), _pp("ci_low").alias("ci_low_pp"),
         _pp("ci_high").alias("ci_high_pp"), _note().alias("note"))
 

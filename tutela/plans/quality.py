@@ -17,6 +17,7 @@ from tutela.operators.joins import apart
 from tutela.operators.sets import emit_rows, stack
 
 # --- fixed values: rule names, severities and limits -----------------------
+MALFORMED_ROW = "R00_malformed_record"
 DUPLICATE = "R01_duplicate_student"
 MARK = "R02_mark_out_of_range"
 CAMPUS = "R03_unknown_campus"
@@ -40,6 +41,13 @@ def issue(rule: str, severity: str, table: str, key: Column, detail: Column) ->
     return F.struct(*[v.alias(n) for v, n in zip(values, ISSUE_COLUMNS)])
 
 
+def malformed_issues(records: DataFrame) -> DataFrame:
+    """One issue for each record of an extract that does not fit its header."""
+    return records.select(
+        F.lit(MALFORMED_ROW).alias("rule_id"), F.lit(FATAL).alias("severity"), "table_name",
+        "row_key", F.col("record").alias("detail"))
+
+
 # ----------------------------------------------------------------- students --
 def duplicate_issues(survivors: DataFrame) -> DataFrame:
     detail = F.concat(F.lit("merged into "), F.col("surviving_id").cast("string"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tutela.functions import composite_key
 from tutela.operators.sets import stack
 from tutela.plans.quality import CAMPUS, DUPLICATE, FLAG, MARK
+from tutela.sources import lookup
 
 # --- fixed values: defect kinds, default rates and spelling variants --------
 RATES = {
@@ -156,7 +157,8 @@ def catch_rate(injected: DataFrame, issues: DataFrame, dim: DataFrame) -> DataFr
     variant counts as handled when it was resolved, i.e. is *not* in the log.
     Names and birth dates are judged by the state of the student dimension: all
     or nothing. One pass: the key is looked up once with the rule that should
-    or should not have logged it.
+    or should not have logged it. A kind of which nothing was injected is listed
+    with a share of 1.
     """
     rule = (F.when(F.col("defect_type") == "duplicate_student", DUPLICATE)
             .when(F.col("defect_type") == "mark_out_of_range", MARK)
@@ -177,8 +179,14 @@ def catch_rate(injected: DataFrame, issues: DataFrame, dim: DataFrame) -> DataFr
     counts = keyed.withColumn("__ok", handled).rollup("defect_type").agg(
         F.grouping("defect_type").alias("__all"), F.count(F.lit(1)).alias("injected"),
         F.count_if("__ok").alias("handled"))
-    return counts.select(
+    found = counts.select(
         F.when(F.col("__all") == 1, "TOTAL").otherwise(kind).alias("defect_type"),
-        "injected", "handled",
-        F.round(F.try_divide(F.col("handled").cast("double"), F.col("injected").cast("double")), 4)
-        .alias("share"))
+        "injected", "handled")
+    zero = F.lit(0).cast("bigint")
+    every = lookup(injected.sparkSession, [(k,) for k in RATES], "defect_type string")
+    listed = stack([found, every.select("defect_type", zero.alias("injected"),
+                                        zero.alias("handled"))])
+    share = F.round(F.col("handled").cast("double") / F.col("injected"), 4)
+    return listed.groupBy("defect_type").agg(
+        F.sum("injected").alias("injected"), F.sum("handled").alias("handled")).withColumn(
+        "share", F.when(F.col("injected") == 0, 1.0).otherwise(share))

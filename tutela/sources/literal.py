@@ -6,18 +6,17 @@ from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
-from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def lookup(spark: SparkSession, rows: Iterable[Sequence], schema: str) -> DataFrame:
-    """Rows written in code as a broadcast side.
+    """Rows given as Python values.
 
-    They become a local relation, so the planner knows their true size; the
-    hint is safe because the rows are constants of the program.
+    They become a local relation, so the planner knows their true size and
+    chooses the join by it.
     """
     struct = T._parse_datatype_string(schema)
     rows = list(rows)
     arrow = to_arrow_schema(struct)
     columns = [pa.array([r[i] for r in rows], type=f.type) for i, f in enumerate(arrow)]
-    return F.broadcast(spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), struct))
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), struct)

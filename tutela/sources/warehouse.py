@@ -18,9 +18,14 @@ LAYOUT: dict[str, tuple[list[str], list[str]]] = {
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> int:
+                partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
+                only_partitions: bool = False) -> int:
     """Write once and return the row count the same job observed.
 
+    ``overwrite`` replaces the whole table, partitions of an earlier run
+    included; ``only_partitions`` replaces those that the rows belong to and
+    leaves the others.
+
     Rows of a partitioned table are first brought together by partition value
     in pieces of even size: a term becomes a few full files instead of one
     small file per task, and a term with most of the rows is split over many
@@ -33,7 +38,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     order = [*partition_by, *sort_by]
     if order:
         out = out.sortWithinPartitions(*order)
-    writer = out.write.mode(mode)
+    writer = out.write.mode(mode).option(
+        "partitionOverwriteMode", "dynamic" if only_partitions else "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
