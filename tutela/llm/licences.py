@@ -153,10 +153,9 @@ def licences(sequence: Column) -> Column:
         pattern = "," + ",(?:[^,]+,)*?".join(i.replace(".", r"\.") for i in ids) + ","
         one = sequence.rlike(pattern) if len(ids) > 1 else sequence.contains(f",{ids[0]},")
         hit[name] = hit[name] | one if name in hit else one
-    over = {name: by for name, _, by in RULES}
     named = []
     for name, found in hit.items():
-        for other in over[name]:
+        for other in {o for other_name, _, by in RULES if other_name == name for o in by}:
             found = found & ~hit[other]
         named.append(F.when(found, name))
     return F.array_sort(F.filter(F.array(*named), lambda n: n.isNotNull()))

@@ -50,6 +50,8 @@ def count_statistics(texts: pa.Array) -> dict[str, np.ndarray]:
     out = {"n_words": words.counts,
            "word_chars": word_chars[words.first[1:]] - word_chars[words.first[:-1]],
            "n_symbols": _per_text(np.isin(data, np.frombuffer(SYMBOLS, np.uint8)), offsets)}
+    if not len(data):
+        return out | {c: np.zeros(n, np.int64) for c in ("n_lines", *BASE[3:])}
     breaks = np.flatnonzero(data == 10)
     begin = np.unique(np.concatenate([offsets[:-1], breaks + 1]))
     begin = begin[begin < len(data)]
