@@ -152,7 +152,8 @@ def _each(runs: DataFrame, estimators: Mapping[str, Estimator]) -> DataFrame:
 def bootstrap(cell_counts: DataFrame, estimators: Mapping[str, Estimator] | None = None,
               reps: int = REPLICATES, seed: int = SEED) -> DataFrame:
     """One row per estimator: point estimate, 95 % percentile interval, number of
-    replicates with an estimate, strata and matched share.
+    replicates, strata and matched share. A replicate without an estimate (no
+    stratum has both arms) is left out of the interval.
 
     An estimator takes cell counts and grouping columns and returns the groups
     with a column ``estimate`` (``naive`` and ``cem`` are two). Without a choice
@@ -164,7 +165,7 @@ def bootstrap(cell_counts: DataFrame, estimators: Mapping[str, Estimator] | None
     spread = F.percentile(F.when(~data, F.col("estimate")), F.array(F.lit(0.025), F.lit(0.975)))
     return long.groupBy("estimator").agg(
         F.max(F.when(data, F.col("estimate"))).alias("estimate"), spread.alias("ci"),
-        F.count(F.when(~data, F.col("estimate"))).alias("replicates"),
+        F.count_if(~data).alias("replicates"),
         *(F.max(F.when(data, F.col(c))).alias(c) for c in _DETAILS)).select(
         "estimator", "estimate", F.col("ci")[0].alias("ci_low"), F.col("ci")[1].alias("ci_high"),
         "replicates", *_DETAILS)
