@@ -206,3 +206,23 @@ def test_audit_of_the_warehouse(run):
     got = {(r.rule_id, r.table_name) for r in audit(broken).collect()}
     assert got == {("PK_advisor_id", "dim_advisor"), ("FK_campus_code", "fact_enrolment"),
                    ("CK_mark", "fact_enrolment")}
+
+
+def test_shared_frames_go_when_their_owner_is_done(spark):
+    import os
+
+    from tutela.catalog.bindings import Bound
+    from tutela.session import drop
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("supplied tables not present")
+    first, second = Bound(spark, folder), Bound(spark, folder)
+    for b in (first, second):
+        b.share("students")
+        b.students.count()
+    mine, theirs = (b.written[0].removeprefix("file:") for b in (first, second))
+    assert os.path.isdir(mine)
+    first.close()
+    assert not os.path.isdir(mine) and os.path.isdir(theirs) and second.students.count() > 0
+    with pytest.raises(ValueError):
+        drop(spark, folder)

@@ -18,7 +18,7 @@ from tutela.operators.joins import apart
 from tutela.plans import (alerts, dimensions, evaluation, facts, fairness, identity, marts, quality,
                           references, staging)
 from tutela.plans.metrics import Model
-from tutela.session import keep
+from tutela.session import drop, keep
 from tutela.sources import lookup
 
 HALF_YEARS = [(f"{y}S{h}", f"{y}-{'01' if h == 1 else '07'}-01", f"{y}-{'02' if h == 1 else '08'}-01",
@@ -96,7 +96,7 @@ class frame:
             return self
         df = self.build(bound)
         if self.name in bound.shared:
-            df = keep(df, self.name)
+            df = keep(df, self.name, bound.written)
         bound.__dict__[self.name] = df
         return df
 
@@ -112,11 +112,18 @@ class Bound:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
         self.shared: set[str] = set()
+        self.written: list[str] = []
         self._tables: dict[str, DataFrame] = {}
 
     def share(self, *names: str) -> None:
         self.shared.update(names)
 
+    def close(self) -> None:
+        """Remove what was written for this folder's frames; they cannot be read any more."""
+        for path in self.written:
+            drop(self.spark, path)
+        self.written.clear()
+
     def together(self, *names: str, after: str) -> None:
         """Write shared frames that build on ``after`` but not on each other at the
         same time, so that one with few tasks does not keep the cluster waiting."""
@@ -447,7 +454,7 @@ class Bound:
 
     @frame
     def dq_summary(self) -> DataFrame:
-        self.share("students", "survivors", "enrolments")
+        self.share("students", "survivors", "enrolments", "judged")
         return quality.summarise(self.issues, self.rejected)
 
     @frame

@@ -66,6 +66,7 @@ add("dq_integrity", lambda b: quality.integrity(b.enrolments, b.dim_student),
            || term_code, 'term_code=' || term_code
     FROM v_enrol WHERE term_code NOT IN (SELECT term_code FROM v_terms)""")
 def dq_constraints(b: Bound):
+    b.share("enrolments", "students")
     rows = b.enrolments.withColumn("grade", F.nullif(F.col("grade"), F.lit("IP")))
     return quality.check_constraints(
         rows, "enrolments", pk=["student_id", "unit_code", "term_code"],
@@ -119,6 +120,7 @@ _CAMPUS_SQL = "CASE campus_code " + " ".join(
 
 
 def _defect_tables(b: Bound):
+    b.share("students", "enrolments")  # every kind of defect reads them
     people = b.students.withColumns({
         "first_nations_flag": F.left("first_nations", F.lit(1)),
         "disability_flag": F.left("disability", F.lit(1)),
@@ -170,7 +172,6 @@ def dq_inject(b: Bound):
 
 def _damaged(b: Bound):
     """Students and enrolments with all six kinds of defect, each written once, and the log."""
-    b.share("students", "enrolments")
     people, rows = _defect_tables(b)
     people, rows, log = scoring.inject_all(people, rows, _RATES, SEED)
     return keep(people, "damaged-students"), keep(rows, "damaged-enrolments"), log
@@ -419,8 +420,14 @@ _OUTREACH = """
                           ELSE 0 END) AS effect
                FROM f_case WHERE source = 'Early alert' GROUP BY student_id, term_code) c
       ON c.student_id = k.student_id AND c.term_code = k.term_code"""
-add("an_realism", lambda b: realism.realism(
-    b.dim_student, b.fact_enrolment, b.fact_engagement, b.fact_alert, b.fact_case, MAX_YEAR), f"""
+def _realism(b: Bound):
+    # each is read by several of the sections
+    b.share("fact_enrolment", "fact_engagement", "fact_alert", "dim_student")
+    return realism.realism(b.dim_student, b.fact_enrolment, b.fact_engagement, b.fact_alert,
+                           b.fact_case, MAX_YEAR)
+
+
+add("an_realism", _realism, f"""
     SELECT 'retention' AS section, cohort AS label, round(avg(CASE WHEN back THEN 1.0::DOUBLE
            ELSE 0 END), 4) AS value
     FROM (SELECT d.student_id, d.mode, d.student_status = 'completed'

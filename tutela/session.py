@@ -59,13 +59,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
+def keep(df: DataFrame, name: str, written: list[str] | None = None) -> DataFrame:
     """Write an intermediate result with several readers once and read it back.
 
     The table lies in the shared folder, so a lost executor costs the tasks it
     was running and nothing upstream; readers prune its columns and the planner
-    sees its true size.
+    sees its true size. Its path is added to ``written``, for an owner that
+    removes it before the application ends.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if written is not None:
+        written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a table that ``keep`` has written; nothing outside the scratch folder."""
+    if not path.startswith(f"{shared_dir(spark)}/tutela/"):
+        raise ValueError(f"{path} is no scratch table")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
