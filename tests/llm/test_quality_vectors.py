@@ -179,6 +179,42 @@ def test_a_torn_graph_loses_no_link(spark, monkeypatch):
     assert len(found) == sum(map(len, brute_links(rows).values())) / 2
 
 
+def test_own_points_and_samples_without_a_link_are_no_evidence():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(600, 24))
+    x[590:] = x[:10] + rng.normal(size=(10, 24)) * 0.005
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    graph, own = vectors.Graph(x), np.arange(600)
+    assert vectors.audited_beam(graph, x[10:500], 0.98, 32, 48, 0.99, 3, own[10:500]) is None
+    elsewhere = rng.normal(size=(48, 24))
+    elsewhere /= np.linalg.norm(elsewhere, axis=1)[:, None]
+    assert vectors.audited_beam(graph, elsewhere, 0.98) is None
+    assert vectors.audited_beam(graph, x[:10], 0.98, 32, 48, 0.99, 3, own[:10]) is not None
+
+
+def test_rare_links_between_and_within_shards_are_all_found(monkeypatch):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(3000, 16))
+    x[2990:] = x[:10] + rng.normal(size=(10, 16)) * 0.01
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    monkeypatch.setattr(vectors, "GRAPH_VALUES", 0)
+    # a graph that finds nothing but the query's own point: a cut that only an audit can notice
+    monkeypatch.setattr(vectors.Graph, "above", lambda self, q, t, beam: np.flatnonzero(
+        self.points @ q.astype(np.float32) > 0.99999).tolist())
+
+    def batch(block, which):
+        return pa.RecordBatch.from_pydict({
+            "label": [1] * len(which), "dims": [16] * len(which), "shard": [0] * len(which),
+            "lane": [0] * len(which), "block": [block] * len(which),
+            "node": [b"%d" % i for i in which], "unit": [x[i].tobytes() for i in which]})
+    for shard in (range(3000), range(2500, 3000)):
+        found = {(int(r["a"]), int(r["b"])) for out in vectors._search(0.98)(
+            iter([batch(-1, shard), batch(0, range(3000))])) for r in out.to_pylist()}
+        near = np.argwhere(x @ x[list(shard)].T >= 0.98)
+        assert found == {(int(i), shard[j]) for i, j in near if i != shard[j]}
+        assert len(found) >= 10
+
+
 # ----------------------------------------------------------------- resampling --
 def test_k_th_largest_is_exact(spark):
     rng = random.Random(7)
