@@ -62,6 +62,22 @@ def test_whole_run_against_brute_force(spark, docs, tmp_path):
     assert found == {i: len(own) for i, own in expected.items()}
 
 
+def test_near_duplicates_are_linked_from_a_similarity_of_80_percent(spark, docs, tmp_path):
+    rng = random.Random(2)
+    texts, similar = [], []
+    for changes in (6, 6, 6, 9):
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(300)]
+        copy = list(words)
+        for k in range(changes):
+            copy[10 + 30 * k] = f"other{rng.randrange(10 ** 6)}"
+        sets = [{tuple(t[i:i + 5]) for i in range(296)} for t in (words, copy)]
+        similar.append(len(sets[0] & sets[1]) / len(sets[0] | sets[1]))
+        texts += [" ".join(words), " ".join(copy)]
+    assert all(0.80 <= s < 0.85 for s in similar[:3]) and similar[3] < 0.80
+    got = corpus_pipeline.near_dedup(spark, docs(texts), str(tmp_path))
+    assert sorted(r.doc_id for r in got.collect()) == [0, 2, 4, 6, 7]
+
+
 def test_every_stage_but_the_last_returns_documents(spark, docs, tmp_path):
     table = docs([(1, "x"), (None, None), (2, "a b " * 30), (2, "a b " * 30)])
     for name, stage in corpus_pipeline.STAGES[:-1]:
