@@ -39,7 +39,7 @@ def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_plan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in training sequences."""
-    return packing.pack(docs, vocabulary("byte_bpe_50k.json"))
+    return packing.pack(docs, vocabulary("byte_bpe_50k.json"), added=True)
 
 
 STAGES = [("quality rules", quality), ("near duplicates", near_dedup),

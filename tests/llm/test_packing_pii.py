@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tutela.llm import cutting, packing, pii
+import corpus_pipeline
+from tutela.llm import cutting, packing, pii, queries
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 KEY = b"a test key"
@@ -89,6 +90,24 @@ def test_pieces_against_the_tokenizers_library(docs):
     assert packing.pack(docs([]), JSON).collect() == []
 
 
+def test_added_tokens_get_the_ids_of_the_librarys_encode(spark, docs, tmp_path):
+    texts = ["hello <|endoftext|> world", "<|endoftext|><|endoftext|>", "plain", None,
+             "a <|endoftext|" + " b" * 1500 + "<|endoftext|>c"]
+    docs(texts).write.parquet(str(tmp_path / "documents.parquet"))
+    library = Tokenizer.from_file(JSON)
+    ids = [np.array([*library.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
+           for t in texts]
+    assert ids[0].tolist() == [31373, 220, 50256, 995, 0]
+    for got in (queries.op6_packing(spark, str(tmp_path)),
+                corpus_pipeline.packing_plan(spark, docs(texts), str(tmp_path))):
+        rows = got.collect()
+        assert {r.doc_id for r in rows} == set(range(len(texts)))
+        for r in rows:
+            own = ids[r.doc_id]
+            assert r.doc_tokens == len(own)
+            assert r.ids_crc32 == zlib.crc32(own[r.start:r.start + r.length].tobytes())
+
+
 def test_rows_that_repeat_are_packed_each_for_itself(docs):
     got = packing.pack(docs([(None, "a b"), (None, "a b"), (1, "c")]), JSON).collect()
     assert len(got) == 3 and len({(r.sequence_id, r.offset) for r in got}) == 3

@@ -15,6 +15,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,17 +49,41 @@ def tokenizer_encoder(path: str) -> Encoder:
     return Encoder(encode)
 
 
+@cache
+def _added(path: str):
+    """Ids of texts that hold an added token of the file (such as <|endoftext|>), by the library."""
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(path)
+    contents = [t.content for t in library.get_added_tokens_decoder().values()]
+
+    def mend(texts: pa.Array, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        hits: set[int] = set()
+        for content in contents:
+            found = pc.match_substring(texts, content).fill_null(False)
+            hits |= set(np.flatnonzero(found.to_numpy(zero_copy_only=False)).tolist())
+        if not hits:
+            return ids, first
+        own = np.split(ids, first[1:-1])
+        for i in hits:
+            own[i] = np.array(library.encode(texts[i].as_py(), add_special_tokens=False).ids,
+                              ids.dtype)
+        return np.concatenate(own), np.concatenate([[0], np.cumsum([len(o) for o in own])])
+    return mend
+
+
 _PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
            "task long, class int, place long")
 
 
-def _cut(path: str, capacity: int, unit: int):
+def _cut(path: str, capacity: int, unit: int, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, task = tokenizer_encoder(path), TaskContext.get().partitionId()
         seen = np.zeros(capacity // unit + 1, np.int64)
         for batch in batches:
             for part in chunks(batch, "text"):
                 ids, first = encoder(part.column("text"))
+                if added:
+                    ids, first = _added(path)(part.column("text"), ids, first)
                 sizes = np.diff(first) + 1
                 raw = np.insert(ids, first[1:], END_ID).astype("<u4").tobytes()
                 begin = first[:-1] + np.arange(len(sizes))
@@ -105,10 +130,13 @@ def _seat(table: np.ndarray):
     return run
 
 
-def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, unit: int = UNIT) -> DataFrame:
+def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, unit: int = UNIT,
+         added: bool = False) -> DataFrame:
     """A row for each piece of each row of (doc_id, text, ...): doc_id, start, length, ids_crc32,
     doc_tokens, sequence_id, offset.
 
+    With ``added``, the file's added tokens that a text holds get their own ids, as the library's
+    encode gives them; else they are text like any other (encode_special_tokens of the library).
     A document is its ids and a closing id 0; a null or empty text is the closing id alone. Rows
     that repeat, or have a null doc_id, are packed each for itself. An empty table gives none.
     Offsets are gapless: pieces of a sequence follow each other by their actual lengths, which
@@ -116,7 +144,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, unit: int = UNIT)
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
-    pieces = keep(rows.mapInArrow(_cut(path, capacity, unit), _PIECES), "pieces")
+    pieces = keep(rows.mapInArrow(_cut(path, capacity, unit, added), _PIECES), "pieces")
     counts = pieces.groupBy("class", "task").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("class").orderBy("task").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)) - F.col("n")

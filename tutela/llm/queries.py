@@ -79,7 +79,8 @@ def op5_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(_table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+    return packing.pack(_table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"),
+                        added=True)
 
 
 def op7_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
