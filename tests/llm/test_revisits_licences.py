@@ -112,6 +112,61 @@ def test_rules(docs, text, found):
     assert licences.scan(table).first().licences == found
 
 
+APACHE = """Copyright 2020 Some Body
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+MIT = """The tool
+Copyright (c) 2019 A Body and others
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+GPL = """tool.py - does a thing
+Copyright (C) 2021 Some Body
+
+This {1} is free software{2} you can redistribute it and/or modify
+it under the terms of the GNU {3}General Public License as published by
+the Free Software Foundation{4} either version {0} of the License, or
+(at your option) any later version."""
+
+
+@pytest.mark.parametrize("mark", ["# ", "// ", " * "])
+@pytest.mark.parametrize("text, found", [
+    (APACHE, "Apache-2.0"), (APACHE[APACHE.index("you may not"):], "Apache-2.0"),
+    (MIT, "MIT"), (GPL.format(3, "program", ":", "", ","), "GPL-3.0-or-later"),
+    (GPL.format(2, "program", ";", "", ";"), "GPL-2.0-or-later"),
+    (GPL.format("2.1", "library", ";", "Lesser ", ";"), "LGPL-2.1-or-later"),
+    (GPL.format(3, "program", ":", "Affero ", ","), "AGPL-3.0-or-later"),
+    ("Copyright (c) 2020 Body\n" + MIT[MIT.index("Permission"):], "MIT")])
+def test_commented_headers(docs, mark, text, found):
+    lines = "\n".join(mark.rstrip() if not line else mark + line for line in text.split("\n"))
+    assert licences.scan(docs([f"import os\n{lines}\n\nx = 1"])).first().licences == [found]
+
+
+@pytest.mark.parametrize("tag", ["GPL-3.0-or-later", "LGPL-2.1-only", "AGPL-3.0-or-later"])
+def test_tags(docs, tag):
+    assert licences.scan(docs([f"# SPDX-License-Identifier: {tag}\nx"])).first().licences == [tag]
+    # a sentence on the line of a copyright notice stays
+    assert licences.scan(docs(["Copyright 2020 X. Released under the MIT License."])) \
+        .first().licences == ["MIT"]
+
+
 def test_order_of_sentences_matters(docs):
     parts = [licences.SENTENCES[i] for i in ("bsd-source", "bsd-grant", "bsd-binary")]
     assert licences.scan(docs([". ".join(parts)])).first().licences == []

@@ -1,6 +1,7 @@
 """Licence scans: known sentences, and ordered rules over them.
 
-A text is cut into sentences; each is normalised (small letters and digits, one space between
+A text is cut into sentences, at punctuation, lines without a letter or digit (as between the
+paragraphs of a comment), copyright lines and web addresses; each is normalised (small letters and digits, one space between
 words) and looked up among known licence sentences. A sentence that goes over several lines is
 looked up whole and, if it is not known, line by line. The identifiers found, in order, are matched
 against the rules: a rule's identifiers must come up in its order, others may lie between. All of it
@@ -12,6 +13,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Names of tags, as in "SPDX-License-Identifier: MIT".
+TAGS = ("MIT", "Apache-2.0", "GPL-3.0-only", "GPL-2.0-only", "BSD-2-Clause", "BSD-3-Clause", "ISC",
+        "MPL-2.0", "Unlicense", "GPL-3.0-or-later", "GPL-2.0-or-later", "LGPL-3.0-only",
+        "LGPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "AGPL-3.0-only",
+        "AGPL-3.0-or-later")
+_FREE = ("this {} is free software you can redistribute it and or modify it under the terms of the gnu "
+         "{} general public license as published by the free software foundation")
+_TERMS = ("you can redistribute it and or modify it under the terms of the gnu {}general public "
+          "license as published by the free software foundation")
+_LATER = "either version {} of the license or at your option any later version"
+#: Notices that go on after "free software;".
+GNU = [(name, kind, version) for name, kind, versions in (
+    ("gpl", "", ("2", "3")), ("lgpl", "lesser ", ("2.1", "3")), ("agpl", "affero ", ("3",)))
+    for version in versions]
 #: Sentences of public licence texts and notices.
 SENTENCES = {
     "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this "
@@ -32,6 +47,7 @@ SENTENCES = {
     "apache-header": "licensed under the apache license version 2 0",
     "apache-header-long": "licensed under the apache license version 2 0 the license you may not use "
                           "this file except in compliance with the license",
+    "apache-header-named": "licensed under the apache license version 2 0 the license",
     "apache-may-not": "you may not use this file except in compliance with the license",
     "apache-unless": "unless required by applicable law or agreed to in writing software distributed "
                      "under the license is distributed on an as is basis without warranties or "
@@ -52,6 +68,14 @@ SENTENCES = {
                         "later version",
     "either-3-later": "either version 3 of the license or at your option any later version",
     "either-2-later": "either version 2 of the license or at your option any later version",
+    "either-2.1-later": "either version 2 1 of the license or at your option any later version",
+    "lgpl-free": _FREE.format("library", "lesser"),
+    "lgpl-free-program": _FREE.format("program", "lesser"),
+    "lgpl-free-program-3-later": _FREE.format("program", "lesser") + " either version 3 of the license "
+                                 "or at your option any later version",
+    "lgpl-free-2.1-later": _FREE.format("library", "lesser") + " either version 2 1 of the license or "
+                           "at your option any later version",
+    "agpl-free": _FREE.format("program", "affero"),
     "lgpl-free-3-later": "this library is free software you can redistribute it and or modify it "
                          "under the terms of the gnu lesser general public license as published by "
                          "the free software foundation either version 3 of the license or at your "
@@ -84,9 +108,11 @@ SENTENCES = {
      for how, words in (("short", "licensed under cc {} {}"),
                         ("work", "this work is licensed under cc {} {}"),
                         ("tag", "spdx license identifier cc {} {}"))} \
+  | {f"{name}-terms": _TERMS.format(kind) for name, kind, _ in GNU} \
+  | {f"{name}-terms-{v}-later": f"{_TERMS.format(kind)} {_LATER.format(v.replace('.', ' '))}"
+     for name, kind, v in GNU} \
   | {f"spdx-{name.lower()}": "spdx license identifier " + name.lower().replace("-", " ").replace(
-      ".", " ") for name in ("MIT", "Apache-2.0", "GPL-3.0-only", "GPL-2.0-only", "BSD-2-Clause",
-                             "BSD-3-Clause", "ISC", "MPL-2.0", "Unlicense")}
+      ".", " ") for name in TAGS}
 
 #: (licence, identifiers in order, licences that include this one and take its place)
 RULES: list[tuple[str, tuple[str, ...], tuple[str, ...]]] = [
@@ -94,6 +120,7 @@ RULES: list[tuple[str, tuple[str, ...], tuple[str, ...]]] = [
     *(("MIT", (i,), ()) for i in ("mit-name", "mit-under", "mit-project", "mit-title")),
     ("Apache-2.0", ("apache-header",), ()),
     ("Apache-2.0", ("apache-header-long",), ()),
+    ("Apache-2.0", ("apache-header-named",), ()),
     ("Apache-2.0", ("apache-may-not", "apache-unless", "apache-see"), ()),
     ("GPL-3.0-only", ("gpl-3-work",), ()),
     ("GPL-2.0-only", ("gpl-2-work",), ()),
@@ -102,7 +129,16 @@ RULES: list[tuple[str, tuple[str, ...], tuple[str, ...]]] = [
     ("GPL-2.0-or-later", ("gpl-free-2-later",), ()),
     ("GPL-2.0-or-later", ("gpl-free", "either-2-later"), ()),
     ("LGPL-3.0-or-later", ("lgpl-free-3-later",), ()),
+    ("LGPL-3.0-or-later", ("lgpl-free-program-3-later",), ()),
+    ("LGPL-3.0-or-later", ("lgpl-free", "either-3-later"), ()),
+    ("LGPL-3.0-or-later", ("lgpl-free-program", "either-3-later"), ()),
+    ("LGPL-2.1-or-later", ("lgpl-free-2.1-later",), ()),
+    ("LGPL-2.1-or-later", ("lgpl-free", "either-2.1-later"), ()),
+    ("LGPL-2.1-or-later", ("lgpl-free-program", "either-2.1-later"), ()),
     ("AGPL-3.0-or-later", ("agpl-free-3-later",), ()),
+    ("AGPL-3.0-or-later", ("agpl-free", "either-3-later"), ()),
+    *((f"{name.upper()}-{v if '.' in v else v + '.0'}-or-later", ids, ()) for name, _, v in GNU
+      for ids in ((f"{name}-terms", f"either-{v}-later"), (f"{name}-terms-{v}-later",))),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary"), ("BSD-3-Clause",)),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names"), ()),
     ("ISC", ("isc-grant",), ()),
@@ -110,16 +146,15 @@ RULES: list[tuple[str, tuple[str, ...], tuple[str, ...]]] = [
     ("MPL-2.0", ("mpl-form-short",), ()),
     ("Unlicense", ("unlicense",), ()),
     *((f"CC-{i[3:].rsplit('-', 1)[0].upper()}", (i,), ()) for i in SENTENCES if i.startswith("cc-")),
-    *((name, (f"spdx-{name.lower()}",), ()) for name in (
-        "MIT", "Apache-2.0", "GPL-3.0-only", "GPL-2.0-only", "BSD-2-Clause", "BSD-3-Clause", "ISC",
-        "MPL-2.0", "Unlicense")),
+    *((name, (f"spdx-{name.lower()}",), ()) for name in TAGS),
 ]
 
 #: Every known sentence has one of these; a text without them has none and is not cut.
 ANCHORS = ("licens", "permi", "copyright", "redistribut", "warrant", "license", "public domain",
            "free software", "version")
 
-END = r"[.;!?]+(\s|$)|:(\s*(\r?\n|$))|\r?\n[ \t]*\r?\n"
+END = (r"[.;!?]+(\s|$)|:(\s*(\r?\n|$))|\r?\n[^\p{L}\p{N}\n]*\n|https?://\S+"
+       r"|(?:[Cc]opyright|COPYRIGHT)[^\p{L}\p{N}\n]+(?:[cC]\)|[0-9]{4})[^\n.;!?]*")
 MARK = "\u0001"
 
 
