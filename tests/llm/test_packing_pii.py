@@ -153,6 +153,31 @@ def test_valid_values_change_within_their_format_and_come_back():
     assert len(pii.pseudonymise('token = "' + "0a" * 20 + '"', KEY)[1]) == 1
 
 
+@pytest.mark.parametrize("value, rest", [
+    ("1985-04-12", "T08:30:00Z"), ("1985-04-12", " 08:30"), ("4/12/1985", ""), ("25/12/1985", ""),
+    ("12/4/1985", ""), ("25/4/1985", ""), ("4.12.1985", ""), ("04/5/1985", ""),
+    ("1985-4-12", ""), ("(212) 555-0187", ""), ("212-555-0187", ""), ("212.555.0187", ""),
+    ("1-212-555-0187", ""), ("BE68539007547034", " EUR"), ("AT611904300234573201", " IBAN"),
+    ("BE68 5390 0754 7034", " EUR"), ("NO9386011117947", " NOK")])
+def test_every_spelling_changes_and_comes_back(value, rest):
+    for other in range(40):
+        key = b"key %d" % other
+        text, kinds = pii.pseudonymise(f"x {value}{rest}, y", key)
+        assert len(kinds) == 1 and value not in text and text.endswith(f"{rest}, y")
+        assert re.sub(r"\d", "9", text) == re.sub(r"\d", "9", f"x {value}{rest}, y")
+        assert pii.pseudonymise(text, key, back=True)[0] == f"x {value}{rest}, y"
+
+
+def test_one_day_has_one_pseudonym_in_all_spellings_and_two_ibans_have_two():
+    new = [pii.pseudonymise(t, KEY)[0] for t in ("1985-04-25", "25/4/1985", "4/25/1985", "25.04.1985")]
+    day = date.fromisoformat(new[0])
+    assert new[1:] == [f"{day.day}/{day.month}/{day.year}", f"{day.month}/{day.day}/{day.year}",
+                       f"{day:%d.%m.%Y}"]
+    assert pii.pseudonymise("BE68539007547034 DE89 3704 0044 0532 0130 00", KEY)[1] == ["iban"] * 2
+    for value in ("112-555-0187", "211-555-0187", "212-411-0187", "31/31/1985"):
+        assert pii.pseudonymise(value, KEY) == (value, [])
+
+
 def test_values_that_fail_their_check_stay():
     for value in INVALID:
         assert pii.pseudonymise(f"x {value} y", KEY) == (f"x {value} y", []), value

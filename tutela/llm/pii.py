@@ -105,6 +105,23 @@ def phone(text: str, key: bytes, back: bool = False) -> str | None:
     return _reform(text, kept + _digits(digits[len(kept):], key, f"phone{kept}", back))
 
 
+#: Three digits that can begin an area or exchange of the North American plan.
+PLAN = [n for n in range(200, 1000) if n % 100 != 11]
+
+
+def national(text: str, key: bytes, back: bool = False) -> str | None:
+    """A number of the North American plan without a plus: area and exchange begin with 2 to 9 and
+    do not end with 11. The spelling with +1 is a kind of its own."""
+    digits = re.sub(r"\D", "", text)
+    lead, area, exchange, line = digits[:-10], int(digits[-10:-7]), int(digits[-7:-4]), digits[-4:]
+    if area not in PLAN or exchange not in PLAN:
+        return None
+    n = len(PLAN)
+    value = (PLAN.index(area) * n + PLAN.index(exchange)) * 10_000 + int(line)
+    value, last = divmod(permute(value, n * n * 10_000, key, "national", back), 10_000)
+    return _reform(text, f"{lead}{PLAN[value // n]}{PLAN[value % n]}{last:04}")
+
+
 def address(text: str, key: bytes, back: bool = False) -> str | None:
     """Four numbers up to 255 without leading zeros: an IPv4 address."""
     parts = text.split(".")
@@ -130,6 +147,25 @@ def _iban_check(country: str, account: str) -> int:
     return 98 - int("".join(str(int(ch, 36)) for ch in account + country + "00")) % 97
 
 
+#: Lengths of the countries' account numbers (ISO 13616).
+IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 "
+    "EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IS26 IT27 JO30 KW30 "
+    "KZ20 LB28 LC32 LI21 LT20 LU20 LV21 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 "
+    "PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+).split()}
+
+
+def own_length(text: str) -> str:
+    """The part of a text that has the length of its country's account numbers, if it ends a word
+    there; a capital word may follow it."""
+    ends = [i + 1 for i, ch in enumerate(text) if ch != " "]
+    n = IBAN_LENGTHS.get(text[:2], len(ends))
+    if n >= len(ends) or text[ends[n - 1]] != " ":
+        return text
+    return text[:ends[n - 1]]
+
+
 def iban(text: str, key: bytes, back: bool = False) -> str | None:
     """Country and account with right check digits, which follow the pseudonym."""
     plain = text.replace(" ", "")
@@ -141,21 +177,33 @@ def iban(text: str, key: bytes, back: bool = False) -> str | None:
     return "".join(" " if ch == " " else next(fresh) for ch in text)
 
 
+def _widths(day: datetime.date) -> tuple[bool, bool, bool]:
+    return day.month < 10, day.day < 10, day.day > 12
+
+
 def day(text: str, key: bytes, back: bool = False) -> str | None:
-    """A day of 1900 to 2099 as year-month-day, day.month.year or month/day/year. One day has
-    one pseudonym in all three spellings."""
+    """A day of 1900 to 2099 as year-month-day, day.month.year, month/day/year or, where that is
+    none, day/month/year, with or without leading zeros. One day has one pseudonym in all
+    spellings; the widths of month and day, and a day above 12, are kept, so each can be undone."""
     parts = re.split(r"\D", text)
-    order = {"-": (0, 1, 2), ".": (2, 1, 0), "/": (2, 0, 1)}[re.search(r"\D", text).group()]
-    try:
-        value = datetime.date(*(int(parts[i]) for i in order)).toordinal()
-    except ValueError:
+    mark = re.search(r"\D", text).group()
+    for order in {"-": ((0, 1, 2),), ".": ((2, 1, 0),), "/": ((2, 0, 1), (2, 1, 0))}[mark]:
+        try:
+            old = datetime.date(*(int(parts[i]) for i in order))
+            break
+        except ValueError:
+            continue
+    else:
         return None
+    value = old.toordinal()
     if not FIRST_DAY <= value <= LAST_DAY:
         return None
-    new = datetime.date.fromordinal(FIRST_DAY + permute(
-        value - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "day", back))
-    fresh = dict(zip(order, (f"{new.year:04}", f"{new.month:02}", f"{new.day:02}")))
-    mark = re.search(r"\D", text).group()
+    while True:  # walked on while the day is not of the same widths
+        value = FIRST_DAY + permute(value - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "day", back)
+        new = datetime.date.fromordinal(value)
+        if _widths(new) == _widths(old):
+            break
+    fresh = {i: f"{v:0{len(parts[i])}}" for i, v in zip(order, (new.year, new.month, new.day))}
     return mark.join(fresh[i] for i in range(3))
 
 
@@ -179,9 +227,11 @@ KINDS: dict[str, tuple[str, Callable]] = {
     "secret": (r"(?<=[=:])(?P<lead>\s*[\"']?)[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])", secret),
     "iban": (r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)", iban),
     "address": (r"(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])(?![A-Za-z_])", address),
-    "day": (r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}"
-            r"|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![\w/-])(?!\.[0-9])", day),
+    "day": (r"(?<![\w./-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}"
+            r"|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?:(?=T[0-9]{2}:?[0-9]{2})|(?![\w/-])(?!\.[0-9]))", day),
     "social": (r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])", social),
+    "national": (r"(?<![\w+(.-])(?:1[ .-])?(?:\([2-9][0-9]{2}\) ?[2-9][0-9]{2}[ .-]|[2-9][0-9]{2}([ .-])"
+                 r"[2-9][0-9]{2}\1)[0-9]{4}(?![\w-])(?!\.[0-9])", national),
     "phone": (r"(?<!\w)\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,5}"
               r"(?![0-9])", phone),
     "card": (r"(?<![0-9.-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}"
@@ -214,17 +264,22 @@ _ALL = _pattern()
 def pseudonymise(text: str, key: bytes, back: bool = False) -> tuple[str, list[str]]:
     """The text with pseudonyms, and the kind of each value replaced, in order."""
     kinds: list[str] = []
-
-    def swap(found: re.Match) -> str:
+    out: list[str] = []
+    at = 0
+    while found := _ALL.search(text, at):
         kind = found.lastgroup if found.lastgroup != "lead" else "secret"
-        lead = found["lead"] or "" if kind == "secret" else ""
-        value = found.group()[len(lead):]
-        new = KINDS[kind][1](value, key, back)
-        if new is None:
-            return found.group()
-        kinds.append(kind)
-        return lead + new
-    return _ALL.sub(swap, text), kinds
+        begin = found.start() + (len(found["lead"] or "") if kind == "secret" else 0)
+        value, new = text[begin:found.end()], None
+        if kind == "iban":  # what follows the country's own length is searched again
+            own = own_length(value)
+            new = iban(own, key, back)
+            value = own if new is not None else value
+        new = KINDS[kind][1](value, key, back) if new is None else new
+        out += [text[at:begin], value if new is None else new]
+        if new is not None:
+            kinds.append(kind)
+        at = begin + len(value)
+    return "".join([*out, text[at:]]), kinds
 
 
 _HINT = re.compile(r"[0-9@]")
