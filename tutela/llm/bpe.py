@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import secrets
 from collections.abc import Iterator
 from functools import cache
 
@@ -21,10 +22,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tutela.llm.words import chunks, span_hashes, text_bytes
+from tutela.llm.words import chunks, same_spans, span_hashes, text_bytes
 
 SIDE_BY_SIDE = 64
-REMEMBERED = 1_500_000  # pieces a worker remembers, about 60 MB
+REMEMBERED = 1_000_000  # pieces a worker remembers, about 60 MB with their bytes
+REMEMBERED_BYTES = 16 << 20
 
 LETTER, NUMBER, SPACE, OTHER = range(4)
 NONE = np.int64(1) << 40
@@ -238,48 +240,65 @@ def segment_tree(ranks: Ranks):
 
 
 class Encoder:
-    """Texts to ids; remembers the ids of pieces by a 64-bit hash of their bytes.
+    """Texts to ids; remembers pieces and their ids.
 
     ``encode_pieces(data, starts, ends)`` gives the ids of distinct pieces end to end and their
-    number for each.
+    number for each; ``spans(data, offsets)`` cuts texts into pieces. Pieces are looked up by a
+    keyed hash and every one is compared with the bytes remembered. Should two of one hash differ,
+    everything is forgotten and another key drawn.
     """
 
-    def __init__(self, encode_pieces):
-        self.encode_pieces = encode_pieces
+    def __init__(self, encode_pieces, spans=piece_spans):
+        self.encode_pieces, self.spans = encode_pieces, spans
         self._forget()
 
     def _forget(self):
+        self.seed = secrets.randbits(64)
         self.keys = np.zeros(0, np.uint64)
         self.slot = np.zeros(0, np.int64)
         self.first = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
+        self.data = np.zeros(0, np.uint8)  # the remembered pieces end to end
+        self.ends = np.zeros(1, np.int64)
 
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts end to end, and where each text's begin (and the last end)."""
-        data, offsets = text_bytes(texts)
-        spans, per_text = piece_spans(data, offsets)
-        if not len(spans):
-            return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
-        hashes = span_hashes(data, spans[:-1], spans[1:])
+    def _slots(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray | None:
+        """The slot of each piece, new ones encoded; None if unequal pieces have one hash."""
+        hashes = span_hashes(data, starts, ends, self.seed)
         distinct, example, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) > REMEMBERED:
-            self._forget()
         place = np.searchsorted(self.keys, distinct)
         new = np.ones(len(distinct), bool)
         inside = place < len(self.keys)
         new[inside] = self.keys[place[inside]] != distinct[inside]
         if new.any():
             at = example[new]
-            ids, sizes = self.encode_pieces(data, spans[at], spans[at + 1])
+            ids, sizes = self.encode_pieces(data, starts[at], ends[at])
             slots = len(self.first) + np.arange(len(at))
             self.first = np.append(self.first, len(self.ids) + np.cumsum(sizes) - sizes)
             self.sizes = np.append(self.sizes, sizes)
             self.ids = np.append(self.ids, ids)
+            taken = ends[at] - starts[at]
+            stop = np.cumsum(taken)
+            self.data = np.append(self.data, data[
+                np.repeat(starts[at] - (stop - taken), taken) + np.arange(stop[-1])])
+            self.ends = np.append(self.ends, self.ends[-1] + stop)
             self.keys = np.insert(self.keys, place[new], distinct[new])
             self.slot = np.insert(self.slot, place[new], slots)
             place = np.searchsorted(self.keys, distinct)
         slot = self.slot[place][which]
+        known = same_spans(data, starts, ends, self.data, self.ends[slot], self.ends[slot + 1])
+        return slot if known.all() else None
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and where each text's begin (and the last end)."""
+        data, offsets = text_bytes(texts)
+        spans, per_text = self.spans(data, offsets)
+        if len(spans) < 2:
+            return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
+        if len(self.keys) > REMEMBERED or len(self.data) > REMEMBERED_BYTES:
+            self._forget()
+        while (slot := self._slots(data, spans[:-1], spans[1:])) is None:
+            self._forget()
         sizes = self.sizes[slot]
         ends = np.cumsum(sizes)
         take = np.repeat(self.first[slot] - (ends - sizes), sizes) + np.arange(ends[-1])

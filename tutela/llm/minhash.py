@@ -7,6 +7,9 @@ rounds at most, and coordinates of two sets agree with the probability of their
 similarity, concentrated as for independent draws. ``BANDS`` bands of ``ROWS`` coordinates are
 matched; at 0.85 a pair misses all bands with a probability of 3e-7.
 
+Shingles are 64-bit hashes under a key drawn for each run, so that unequal ones are taken for equal
+only by chance (2**-64 for each two of them).
+
 Documents of equal sets are one node. Buckets of one leader (smallest node) form a group; every
 member is verified against the leader, and what is not linked with it (a stray) against every
 member of the group, block against block, so no pair is emitted and no group is one task.
@@ -15,6 +18,7 @@ member of the group, block against block, so no pair is emitted and no group is
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,13 +38,14 @@ BLOCK = 256
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(texts: pa.Array, size: int = SHINGLE, seed: int = 0) \
+        -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each text end to end, and where each text's begin.
 
-    Fewer words than ``size`` are one shingle, no words none.
+    Fewer words than ``size`` are one shingle, no words none. ``seed`` keys the hashes.
     """
     words = split(texts, lower=True)
-    hashes = words.hashes()
+    hashes = words.hashes(seed)
     grams = gram_hashes(hashes, size)
     counts = words.counts
     owner = np.repeat(np.arange(len(counts)), np.maximum(counts - size + 1, 0))
@@ -56,7 +61,7 @@ def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.n
             at = words.first[:-1][short[have]]
             total = np.full(len(at), np.uint64(n), np.uint64)
             for i in range(n):
-                total = total * _STEP + hashes[at + i]
+                total = mix(total * _STEP + hashes[at + i])
             whole[have] = mix(total)
         owner, value = np.concatenate([owner, short]), np.concatenate([value, whole])
     order = np.lexsort((value, owner))
@@ -111,19 +116,21 @@ _FEATURES = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("n_shingles
                        ("node", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in chunks(batch, "text"):
-            values, first = shingle_sets(part.column("text"))
-            sizes = np.diff(first)
-            keys = band_keys(sketches(values, first)).view(np.int64)
-            nodes = [_node(values[a:b]) if b > a else None for a, b in zip(first, first[1:])]
-            offsets = np.arange(len(nodes) + 1, dtype=np.int32) * BANDS
-            yield pa.RecordBatch.from_arrays([
-                part.column("doc_id"), part.column("rid"), pa.array(sizes),
-                pa.array(nodes, pa.binary()),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))],
-                schema=_FEATURES)
+def _features(seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                values, first = shingle_sets(part.column("text"), seed=seed)
+                sizes = np.diff(first)
+                keys = band_keys(sketches(values, first)).view(np.int64)
+                nodes = [_node(values[a:b]) if b > a else None for a, b in zip(first, first[1:])]
+                offsets = np.arange(len(nodes) + 1, dtype=np.int32) * BANDS
+                yield pa.RecordBatch.from_arrays([
+                    part.column("doc_id"), part.column("rid"), pa.array(sizes),
+                    pa.array(nodes, pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))],
+                    schema=_FEATURES)
+    return run
 
 
 def _node(values: np.ndarray) -> bytes:
@@ -154,27 +161,29 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) \
         yield now, pa.Table.from_batches(held)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(seed: int):
     """A row (leader, block, node, set) for each leader a document's text has."""
-    for batch in batches:
-        for part in chunks(batch, "text"):
-            values, first = shingle_sets(part.column("text"))
-            out, held = {k: [] for k in _SETS.names}, 0
-            rows = zip(part.column("node").to_pylist(), part.column("groups").to_pylist(),
-                       first, first[1:])
-            for node, groups, a, b in rows:
-                if _node(values[a:b]) != node:
-                    continue
-                for g in groups:
-                    out["leader"].append(g["leader"])
-                    out["blocks"].append(g["blocks"])
-                    out["node"].append(node)
-                    out["elements"].append(values[a:b].tobytes())
-                    held += b - a
-                    if held > CHUNK_BYTES:
-                        yield pa.RecordBatch.from_pydict(out, schema=_SETS)
-                        out, held = {k: [] for k in out}, 0
-            yield pa.RecordBatch.from_pydict(out, schema=_SETS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                values, first = shingle_sets(part.column("text"), seed=seed)
+                out, held = {k: [] for k in _SETS.names}, 0
+                rows = zip(part.column("node").to_pylist(), part.column("groups").to_pylist(),
+                           first, first[1:])
+                for node, groups, a, b in rows:
+                    if _node(values[a:b]) != node:
+                        continue
+                    for g in groups:
+                        out["leader"].append(g["leader"])
+                        out["blocks"].append(g["blocks"])
+                        out["node"].append(node)
+                        out["elements"].append(values[a:b].tobytes())
+                        held += b - a
+                        if held > CHUNK_BYTES:
+                            yield pa.RecordBatch.from_pydict(out, schema=_SETS)
+                            out, held = {k: [] for k in out}, 0
+                yield pa.RecordBatch.from_pydict(out, schema=_SETS)
+    return run
 
 
 _SETS = pa.schema([("leader", pa.int64()), ("blocks", pa.int64()), ("node", pa.binary()),
@@ -284,13 +293,14 @@ def _placed(docs: DataFrame, percent: int) -> DataFrame:
     """(doc_id, rid, n_shingles, root) for each row; root is null for a row without a word."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text")).withColumn("rid", _rid())
-    features = keep(rows.mapInArrow(_features, "doc_id long, rid long, n_shingles long, "
+    seed = secrets.randbits(64)  # of this run: no text can be made to collide
+    features = keep(rows.mapInArrow(_features(seed), "doc_id long, rid long, n_shingles long, "
                                                "node binary, bands array<long>"), "sketch")
     nodes = keep(features.filter(F.col("node").isNotNull()).groupBy("node").agg(
         F.min("rid").alias("rid"), F.first("bands").alias("bands"))
         .withColumn("number", _number()), "nodes")
     groups = keep(_groups(nodes), "groups")
-    roots = components(_verified(rows, nodes, groups, percent), "near")
+    roots = components(_verified(rows, nodes, groups, percent, seed), "near")
     return features.select("doc_id", "rid", "n_shingles", "node").join(
         roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select(
         "doc_id", "rid", "n_shingles", F.coalesce("root", "node").alias("root"))
@@ -341,7 +351,8 @@ def _groups(nodes: DataFrame) -> DataFrame:
     return keys.join(buckets, "key").select("leader", "number").distinct()
 
 
-def _verified(rows: DataFrame, nodes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+def _verified(rows: DataFrame, nodes: DataFrame, groups: DataFrame, percent: int,
+              seed: int) -> DataFrame:
     sizes = groups.groupBy("leader").agg(F.count("*").alias("n")).select(
         "leader", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks"))
     listed = groups.join(sizes, "leader").groupBy("number").agg(
@@ -351,7 +362,7 @@ def _verified(rows: DataFrame, nodes: DataFrame, groups: DataFrame, percent: int
     # rows that are equal in all are read once: the join leaves them side by side
     texts = rows.select("rid", "text").join(wanted, "rid").dropDuplicates(["rid", "node"])
     sets = keep(texts.select("text", "node", "groups").mapInArrow(
-        _sets, "leader long, blocks long, node binary, elements binary"), "sets")
+        _sets(seed), "leader long, blocks long, node binary, elements binary"), "sets")
     block = F.pmod(F.xxhash64("node"), F.col("blocks"))
     is_head = _number() == F.col("leader")
     dealt = sets.withColumn("block", F.explode(

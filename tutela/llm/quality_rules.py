@@ -11,6 +11,7 @@ than its partial sums.
 from __future__ import annotations
 
 import math
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tutela.llm.words import chunks, gram_hashes, span_hashes, split, text_bytes
+from tutela.llm.words import chunks, gram_hashes, same_spans, span_hashes, split, text_bytes
 from tutela.session import keep
 
 SYMBOLS = b"#*$%&|<>"
@@ -40,8 +41,21 @@ def _per_text(flags: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return total[edges[1:]] - total[edges[:-1]]
 
 
+class _Collision(Exception):
+    """Unequal lines or words of one hash."""
+
+
 def count_statistics(texts: pa.Array) -> dict[str, np.ndarray]:
-    """The base counts and ``n_lines`` (lines with a word) of each text."""
+    """The base counts and ``n_lines`` (lines with a word) of each text. What has one hash is
+    compared by its bytes; should any differ, all is counted again under another key."""
+    while True:
+        try:
+            return _statistics(texts, secrets.randbits(64))
+        except _Collision:
+            continue
+
+
+def _statistics(texts: pa.Array, seed: int) -> dict[str, np.ndarray]:
     data, offsets = text_bytes(texts)
     words = split(texts)
     n = len(offsets) - 1
@@ -61,13 +75,25 @@ def count_statistics(texts: pa.Array) -> dict[str, np.ndarray]:
     begin, end = begin[has], end[has]
     owner = np.searchsorted(offsets, begin, side="right") - 1
     out["n_lines"] = np.bincount(owner, minlength=n)
-    out["n_dup_lines"] = np.bincount(owner[_again(owner, span_hashes(data, begin, end), False)],
-                                     minlength=n)
-    grams = gram_hashes(words.hashes(), REPEAT)
+    def same_lines(i, j):
+        return same_spans(data, begin[i], end[i], data, begin[j], end[j])
+
+    again = _again(owner, span_hashes(data, begin, end, seed), False, same_lines)
+    out["n_dup_lines"] = np.bincount(owner[again], minlength=n)
+    grams = gram_hashes(words.hashes(seed), REPEAT)
     owner = words.document()[:len(grams)]
     inside = words.first[1:][owner] - np.arange(len(grams)) >= REPEAT
     at = np.flatnonzero(inside)
-    at = at[_again(owner[at], grams[at], True)]
+
+    def same_windows(i, j):
+        a, b = at[i], at[j]
+        same = np.ones(len(a), bool)
+        for k in range(REPEAT):
+            same &= same_spans(data, words.starts[a + k], words.ends[a + k],
+                               data, words.starts[b + k], words.ends[b + k])
+        return same
+
+    at = at[_again(owner[at], grams[at], True, same_windows)]
     cover = np.zeros(len(words.starts) + 1, np.int32)
     cover[at] += 1
     cover[at + REPEAT] -= 1
@@ -75,12 +101,16 @@ def count_statistics(texts: pa.Array) -> dict[str, np.ndarray]:
     return out
 
 
-def _again(owner: np.ndarray, value: np.ndarray, first_too: bool) -> np.ndarray:
-    """Which values come up in the same text before (or, ``first_too``, at another place)."""
+def _again(owner: np.ndarray, value: np.ndarray, first_too: bool, equal) -> np.ndarray:
+    """Which values come up in the same text before (or, ``first_too``, at another place);
+    ``equal(i, j)`` compares what those of one hash stand for."""
     order = np.lexsort((owner, value)) if len(owner) and (np.diff(owner) < 0).any() \
         else np.argsort(value, kind="stable")
     same = np.zeros(len(order) + 1, bool)
     same[1:-1] = (value[order[1:]] == value[order[:-1]]) & (owner[order[1:]] == owner[order[:-1]])
+    pairs = np.flatnonzero(same[1:-1])
+    if not equal(order[pairs + 1], order[pairs]).all():
+        raise _Collision
     out = np.zeros(len(order), bool)
     out[order] = same[:-1] | same[1:] if first_too else same[:-1]
     return out

@@ -7,6 +7,7 @@ megabytes of text at a time.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -67,8 +68,8 @@ class Words:
         """For each word, the place of its text."""
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
-    def hashes(self) -> np.ndarray:
-        return span_hashes(self.data, self.starts, self.ends)
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        return span_hashes(self.data, self.starts, self.ends, seed)
 
 
 def split(texts: pa.Array, lower: bool = False) -> Words:
@@ -115,25 +116,59 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return have[:n]
 
 
-_SCATTERED = mix(np.arange(256, dtype=np.uint64) + np.uint64(0xD1B54A32D192ED03))
+LANED_BYTES = 64  # spans of up to so many bytes are hashed and compared eight bytes at a time
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number (zeros beyond the end)."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(data) + 1, np.dtype("<u8"), padded, strides=(1,))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) \
+        -> np.ndarray:
+    """A 64-bit hash of each byte span under a key drawn from ``seed``.
+
+    Every eight bytes are mixed into the state, which the key has scattered, so no text collides by
+    its form whatever the key; longer spans than ``LANED_BYTES`` take a keyed byte hash. Where a
+    result rests on equality, draw the seed anew for each run or compare bytes (``same_spans``).
+    """
+    sizes = ends - starts
+    key = mix(np.array([seed % (1 << 64)], np.uint64) + np.uint64(0xD1B54A32D192ED03))[0]
+    out = mix(sizes.astype(np.uint64) ^ key)
+    eights, at = _eights(data), 0
+    live = np.flatnonzero((sizes > 0) & (sizes <= LANED_BYTES))
+    while len(live):
+        left = sizes[live] - at
+        lane = eights[starts[live] + at] & _MASKS[np.minimum(left, 8)]
+        out[live] = mix((out[live] ^ lane) * _BASE + key)
+        at += 8
+        live = live[left > 8]
+    word = int(key).to_bytes(8, "little")
+    for i in np.flatnonzero(sizes > LANED_BYTES):
+        digest = hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8, key=word)
+        out[i] = int.from_bytes(digest.digest(), "little")
+    return out
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span: polynomial prefix sums modulo 2**64, moved to the
-    span's start, then mixed with the span's length. Spans ascend and do not overlap."""
-    out = np.empty(len(starts), np.uint64)
-    i = 0
-    while i < len(starts):
-        begin = starts[i]
-        j = max(i + 1, int(np.searchsorted(ends, begin + BLOCK_BYTES, side="right")))
-        part = data[begin:ends[j - 1]]
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.multiply(_SCATTERED[part], _powers(_BASE, len(part)), out=sums[1:])
-        np.cumsum(sums, out=sums)
-        lo = starts[i:j] - begin
-        out[i:j] = (sums[ends[i:j] - begin] - sums[lo]) * _powers(_INVERSE, len(part) + 1)[lo]
-        i = j
-    return mix(out + (ends - starts).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
+def same_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray,
+               other_starts: np.ndarray, other_ends: np.ndarray) -> np.ndarray:
+    """Whether each span of ``data`` has the bytes of its partner in ``other``."""
+    sizes = ends - starts
+    same = sizes == other_ends - other_starts
+    mine, theirs, at = _eights(data), _eights(other), 0
+    live = np.flatnonzero(same & (sizes > 0) & (sizes <= LANED_BYTES))
+    while len(live):
+        left = sizes[live] - at
+        differ = (mine[starts[live] + at] ^ theirs[other_starts[live] + at]) \
+            & _MASKS[np.minimum(left, 8)]
+        same[live[differ != 0]] = False
+        at += 8
+        live = live[(left > 8) & (differ == 0)]
+    for i in np.flatnonzero(same & (sizes > LANED_BYTES)):
+        same[i] = np.array_equal(data[starts[i]:ends[i]], other[other_starts[i]:other_ends[i]])
+    return same
 
 
 def gram_hashes(words: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
@@ -143,7 +178,8 @@ def gram_hashes(words: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
         return np.zeros(0, np.uint64)
     total = np.full(n, np.uint64(seed), np.uint64)
     for i in range(size):
-        total = total * _BASE + words[i:i + n]
+        total = (total ^ words[i:i + n]) * _BASE
+        total ^= total >> np.uint64(29)
     return mix(total)
 
 
