@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tutela.llm import (bpe, licences, minhash, packing, pii, quality_rules, resampling, revisits,
-                        substring, vectors)
+from tutela.llm import (alignment, bpe, licences, minhash, occurrences, packing, pii, quality_rules,
+                        resampling, revisits, substring, vectors, whitening)
 
 
 def vocabulary(name: str) -> str:
@@ -107,11 +107,26 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.array_join("licences", ",").alias("licenses"))
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_corpus(_table(spark, folder, "documents"),
+                                  vocabulary("byte_bpe_50k.json"),
+                                  vocabulary("piece_bpe_32k.model"))
+
+
+def op12_pair_index_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return occurrences.digests(_table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_warc_revisits, op3_minhash_near_dedup, op4_importance_resampling,
         op5_byte_level_bpe, op6_packing, op7_pii_pseudonyms, op8_embedding_near_dedup,
-        op9_quality_rules, op10_license_scan)}
+        op9_quality_rules, op10_license_scan, op11_token_alignment, op12_pair_index_bpe,
+        op13_embedding_whitening)}
 
 def _license_sql() -> str:
     def text(values) -> str:
