@@ -7,13 +7,16 @@ executor repeats tasks of one stage, never the run.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tutela.operators.sets import stack
 from tutela.plans import dimensions, facts, identity, marts, quality, references, staging
-from tutela.sources import read_text_csv, write_tables
+from tutela.sources import Store, read_text_csv, write_tables
+from tutela.sources.publication import Files, Version
 from tutela.sources.text import malformed_records, well_formed
 
 
@@ -27,6 +30,11 @@ class References:
     programs: DataFrame
     rates: DataFrame
 
+    def fingerprint(self) -> dict[str, list[str]]:
+        """The rows, which are constants of a few lines each."""
+        return {f.name: sorted(r.row for r in getattr(self, f.name).select(
+            F.to_json(F.struct("*")).alias("row")).collect()) for f in fields(self)}
+
     @classmethod
     def default(cls, spark: SparkSession) -> References:
         return cls(references.term_rows(spark), references.synonym_rows(spark),
@@ -54,66 +62,98 @@ def stage(raw: dict[str, DataFrame], synonyms: DataFrame) -> dict[str, DataFrame
     }
 
 
-def build(spark: SparkSession, source: str, warehouse: str, quality_dir: str,
-          refs: References | None = None, max_year: int = 2025,
-          multi_line: bool = False) -> dict[str, int]:
-    """Returns the row count of every table written.
+Put = Callable[[str, str, Callable[[], dict[str, DataFrame]]], dict[str, DataFrame]]
+QUALITY, WAREHOUSE, RESULTS = "quality", "warehouse", "results"
+
+
+def stages(spark: SparkSession, source: str, put: Put, refs: References | None = None,
+           max_year: int = 2025, multi_line: bool = False) -> None:
+    """The run as a chain of stages. ``put(stage, layer, build)`` writes the tables that ``build``
+    plans, or finds them written, and gives them back as read from their files.
 
-    Records that do not fit their header go to the issue log and to
-    ``rej_records``; ``multi_line`` reads quoted line breaks as such.
+    Records that do not fit their header go to the issue log and to ``rej_records``;
+    ``multi_line`` reads quoted line breaks as such.
     """
     refs = refs or References.default(spark)
     raw = read_extracts(spark, source, multi_line)
     s = stage({n: well_formed(df) for n, df in raw.items()}, refs.synonyms)
-    counts: dict[str, int] = {}
-
-    def keep(folder: str, tables: dict[str, DataFrame], prefix: str = "") -> dict[str, DataFrame]:
-        counts.update(write_tables(tables, folder))
-        return {n.removeprefix(prefix): spark.read.schema(df.schema).parquet(f"{folder}/{n}")
-                for n, df in tables.items()}
 
     # read by several stages each: written once, not parsed again
-    s |= keep(quality_dir, {"stg_students": s["students"], "stg_activity": s["activity"]}, "stg_")
-    records = keep(quality_dir, {"rej_records": stack(
-        [malformed_records(df, n) for n, df in raw.items()])})["rej_records"]
-    survivors = keep(quality_dir, {"student_id_survivorship": identity.survivorship(
+    staged = put("staged", QUALITY, lambda: {
+        "stg_students": s["students"], "stg_activity": s["activity"],
+        "stg_enrolments": s["enrolments"],
+        "rej_records": stack([malformed_records(df, n) for n, df in raw.items()])})
+    s |= {n.removeprefix("stg_"): df for n, df in staged.items() if n.startswith("stg_")}
+    survivors = put("identity", QUALITY, lambda: {"student_id_survivorship": identity.survivorship(
         s["students"], s["enrolments"].select("student_id"))})["student_id_survivorship"]
     students = identity.drop_duplicates_by(s["students"], survivors)
-    staged = keep(quality_dir, {"stg_enrolments": s["enrolments"]})["stg_enrolments"]
-    judged = keep(quality_dir, {"judged_enrolments": quality.judge_enrolments(
-        staged, s["students"], refs.synonyms)})["judged_enrolments"]
-    q = keep(quality_dir, {
+    judged = put("judged", QUALITY, lambda: {"judged_enrolments": quality.judge_enrolments(
+        s["enrolments"], s["students"], refs.synonyms)})["judged_enrolments"]
+    q = put("issues", QUALITY, lambda: {
         "dq_issues": quality.stamp(stack([
             quality.issue_log(survivors, students, judged, s["activity"], s["students"]),
-            quality.malformed_issues(records)])),
+            quality.malformed_issues(staged["rej_records"])])),
         "rej_enrolments": quality.quarantine(judged)})
-    clean = quality.clean(staged, q["rej_enrolments"])
+    clean = quality.clean(s["enrolments"], q["rej_enrolments"])
 
-    w = keep(warehouse, {
+    w = put("dimensions", WAREHOUSE, lambda: {
         "dim_student": dimensions.dim_student(students, s["postcodes"])
         .select(*dimensions.DIM_STUDENT_COLUMNS),
         "dim_term": refs.terms, "dim_campus": refs.campuses, "dim_program": refs.programs,
-        "dim_unit": s["units"], "dim_advisor": s["advisors"],
+        "dim_unit": s["units"], "dim_advisor": s["advisors"]})
+    w |= put("facts", WAREHOUSE, lambda: {
         "fact_enrolment": facts.fact_enrolment(clean, survivors),
         "fact_engagement_week": facts.fact_engagement(s["activity"], s["students"], survivors),
         "fact_case": facts.fact_case(s["cases"], survivors)})
-    w |= keep(warehouse, {"fact_alert": facts.fact_alert(
+    w |= put("alerts", WAREHOUSE, lambda: {"fact_alert": facts.fact_alert(
         s["alerts"], w["fact_case"], refs.terms, survivors)})
-    quality.assert_no_orphans(w["fact_enrolment"], w["dim_student"])  # before any mart is published
-    present = marts.presence(w["fact_enrolment"])
-    keep(warehouse, {
-        "mart_executive": marts.mart_executive(w["fact_enrolment"], w["dim_student"],
-                                               refs.programs),
-        "mart_retention_cohort": marts.retention(marts.retention_flag(
-            w["dim_student"], present, max_year)),
-        "mart_nbf_funding": marts.nbf(w["dim_student"], refs.rates, w["fact_case"]),
-        "mart_seheef_activity": marts.seheef(w["fact_case"], w["dim_student"]),
-        "mart_triage_current": marts.triage(
-            w["fact_alert"], w["fact_engagement_week"], w["dim_student"], refs.programs,
-            w["fact_case"], w["dim_advisor"], refs.terms),
-        "mart_effectiveness_input": marts.effect_input(
-            w["fact_alert"], w["fact_engagement_week"], w["dim_student"], w["fact_enrolment"],
-            refs.terms),
-        "mart_dq_summary": quality.summarise(q["dq_issues"], q["rej_enrolments"]),
-        "mart_engagement_trend": marts.trend(w["fact_engagement_week"], w["dim_student"])})
+
+    def decision_tables() -> dict[str, DataFrame]:
+        quality.assert_no_orphans(w["fact_enrolment"], w["dim_student"])  # before any mart
+        present = marts.presence(w["fact_enrolment"])
+        return {
+            "mart_executive": marts.mart_executive(w["fact_enrolment"], w["dim_student"],
+                                                   refs.programs),
+            "mart_retention_cohort": marts.retention(marts.retention_flag(
+                w["dim_student"], present, max_year)),
+            "mart_nbf_funding": marts.nbf(w["dim_student"], refs.rates, w["fact_case"]),
+            "mart_seheef_activity": marts.seheef(w["fact_case"], w["dim_student"]),
+            "mart_triage_current": marts.triage(
+                w["fact_alert"], w["fact_engagement_week"], w["dim_student"], refs.programs,
+                w["fact_case"], w["dim_advisor"], refs.terms),
+            "mart_effectiveness_input": marts.effect_input(
+                w["fact_alert"], w["fact_engagement_week"], w["dim_student"],
+                w["fact_enrolment"], refs.terms),
+            "mart_dq_summary": quality.summarise(q["dq_issues"], q["rej_enrolments"]),
+            "mart_engagement_trend": marts.trend(w["fact_engagement_week"], w["dim_student"])}
+    put("marts", WAREHOUSE, decision_tables)
+
+
+def build(spark: SparkSession, source: str, warehouse: str, quality_dir: str,
+          refs: References | None = None, max_year: int = 2025,
+          multi_line: bool = False) -> dict[str, int]:
+    """Writes all tables into two plain folders and returns the row count of each. A folder is
+    replaced table by table; ``build_version`` publishes them together."""
+    counts: dict[str, int] = {}
+    folders = {WAREHOUSE: warehouse, QUALITY: quality_dir}
+
+    def put(name: str, layer: str, plan: Callable[[], dict[str, DataFrame]]):
+        tables = plan()
+        counts.update(write_tables(tables, folders[layer]))
+        return {n: spark.read.schema(df.schema).parquet(f"{folders[layer]}/{n}")
+                for n, df in tables.items()}
+
+    stages(spark, source, put, refs, max_year, multi_line)
     return counts
+
+
+def build_version(spark: SparkSession, source: str, store: Store, refs: References | None = None,
+                  max_year: int = 2025, multi_line: bool = False) -> Version:
+    """The same run as one version of ``store``. Over unchanged extracts it takes up where a run
+    that failed stopped; one that is published already costs no job."""
+    inputs = {"extracts": Files(spark, source).fingerprint(f"{n}.csv" for n in staging.EXTRACTS),
+              "max_year": max_year, "multi_line": multi_line,
+              "references": None if refs is None else refs.fingerprint()}
+    run = store.begin(inputs)
+    stages(spark, source, run.stage, refs, max_year, multi_line)
+    return run.publish()

@@ -7,6 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tutela.sources.digest import digest
+
 # Physical layout of the large facts: partition columns, then the order of rows
 # inside each file, so that footers prune by lifecycle, student and week.
 LAYOUT: dict[str, tuple[list[str], list[str]]] = {
@@ -19,8 +21,9 @@ LAYOUT: dict[str, tuple[list[str], list[str]]] = {
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
-                only_partitions: bool = False) -> int:
-    """Write once and return the row count the same job observed.
+                only_partitions: bool = False, digested: bool = False) -> int | tuple[int, str]:
+    """Write once and return the row count the same job observed, with ``digested`` also the
+    table's digest (``digest``).
 
     ``overwrite`` replaces the whole table, partitions of an earlier run
     included; ``only_partitions`` replaces those that the rows belong to and
@@ -32,7 +35,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     writers. Inside each file the rows are ordered.
     """
     seen = Observation()
-    out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    more = [digest(df.schema).alias("digest")] if digested else []
+    out = df.observe(seen, F.count(F.lit(1)).alias("rows"), *more)
     if partition_by:
         out = out.hint("rebalance", *partition_by)
     order = [*partition_by, *sort_by]
@@ -48,7 +52,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
          .csv(path))
     else:
         writer.format(fmt).save(path)
-    return seen.get["rows"]
+    got = seen.get
+    return (got["rows"], got["digest"]) if digested else got["rows"]
 
 
 def write_tables(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, int]:
