@@ -351,7 +351,7 @@ add("an_cem", lambda b: evaluation.cem(b.cells).select(
     "FROM v_matched")
 
 
-_ESTIMATES = (
+ESTIMATES = (
     "SELECT 'Naive difference' AS estimator, round_even(100 * "
     "(avg(retained_next_term) FILTER (WHERE contacted = 1) "
     "- avg(retained_next_term) FILTER (WHERE contacted = 0)), 2) AS estimate_pp, "
@@ -382,28 +382,30 @@ add("an_bootstrap", lambda b: evaluation.bootstrap(b.cells).select(
 add("an_results", lambda b: b.results().select(
     "estimator", "estimate_pp", "note",
     _holds("ci_low_pp", "estimate_pp", "ci_high_pp").alias("in_order")),
-    f"SELECT *, true AS in_order FROM ({_ESTIMATES})")
-add("an_estimates", lambda b: evaluation.estimates(b.effect_input), _ESTIMATES)
-add("an_verdict", lambda b: evaluation.verdict(evaluation.estimates(b.effect_input)),
+    f"SELECT *, true AS in_order FROM ({ESTIMATES})")
+add("an_estimates", lambda b: evaluation.estimates(b.effect_input), ESTIMATES)
+VERDICT = (
     "SELECT naive_pp, matched_pp, CASE WHEN matched_pp > 0 AND matched_pp > naive_pp "
     "THEN 'RECOVERED' ELSE 'NOT RECOVERED' END AS verdict, "
     "CASE WHEN naive_pp < 0 THEN 'wrong' ELSE 'attenuated' END AS naive_sign "
     "FROM (SELECT (SELECT round_even(100 * (avg(retained_next_term) FILTER (WHERE contacted = 1) "
     "- avg(retained_next_term) FILTER (WHERE contacted = 0)), 2) FROM m_effect) AS naive_pp, "
     "(SELECT round_even(100 * estimate, 2) FROM v_matched) AS matched_pp)")
+add("an_verdict", lambda b: evaluation.verdict(evaluation.estimates(b.effect_input)), VERDICT)
 add("an_fairness", lambda b: b.fairness, "SELECT * FROM m_fair")
 add("an_fair_verdict", lambda b: fairness.fair_verdict(b.fairness),
     "SELECT max(abs(contact_rate_gap_pp_vs_nonequity)) AS max_gap_pp, CASE WHEN "
     "max(abs(contact_rate_gap_pp_vs_nonequity)) <= 3.0 THEN 'PASS' ELSE 'REVIEW REQUIRED' END "
     "AS verdict FROM m_fair WHERE cohort <> 'All domestic'")
-add("an_headline", lambda b: reports.headline(b.retention, b.triage, b.nbf, NBF_YEAR), f"""
+HEADLINE = f"""
     SELECT 'retention' AS metric, CAST(commencing_year AS VARCHAR) AS label,
            retention_rate AS value FROM m_retention WHERE cohort = 'All domestic'
     UNION ALL SELECT 'triage_size', 'current', CAST(count(*) AS DOUBLE) FROM m_triage
     UNION ALL SELECT 'tier', priority_tier, CAST(count(*) AS DOUBLE) FROM m_triage
               GROUP BY priority_tier
     UNION ALL SELECT 'funding', '{NBF_YEAR}', CAST(coalesce(sum(indicative_funding), 0) AS DOUBLE)
-              FROM m_nbf WHERE commencing_year = {NBF_YEAR}""")
+              FROM m_nbf WHERE commencing_year = {NBF_YEAR}"""
+add("an_headline", lambda b: reports.headline(b.retention, b.triage, b.nbf, NBF_YEAR), HEADLINE)
 
 _OUTREACH = """
     SELECT k.student_id, k.term_code, CASE WHEN a.student_id IS NULL THEN 0 ELSE 1 END AS alerted,
@@ -662,7 +664,7 @@ def _with_results(b: Bound):
 add("rp_effect_table", lambda b: reports.effect_table(_with_results(b)).select(
     "estimator", "note", "estimate_pp",
     _holds("ci_low_pp", "estimate_pp", "ci_high_pp").alias("in_order")),
-    f"SELECT estimator, note, estimate_pp, true AS in_order FROM ({_ESTIMATES})")
+    f"SELECT estimator, note, estimate_pp, true AS in_order FROM ({ESTIMATES})")
 add("rp_effect_bar", lambda b: reports.effect_bar(b.model.scoped({
     "mart_effectiveness_results": evaluation.estimates(b.effect_input)})),
     "SELECT 'Naive difference' AS estimator, round_even(100 * "

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from tutela.catalog.bindings import Bound
-from tutela.catalog.extracts import run_version
+from tutela.catalog.bindings import NBF_YEAR, Bound
+from tutela.catalog.extracts import run_store, run_version
+from tutela.catalog.plan_queries import ESTIMATES, HEADLINE, VERDICT
 from tutela.catalog.registry import add
-from tutela.catalog.run_views import RUN_TABLES, layer_sql
+from tutela.catalog.run_views import RUN_TABLES, digest_sql, layer_sql, renamed
 from tutela.operators.sets import stack
+from tutela.plans.analysis import analyse
+from tutela.plans.constraints import KEYS, RULES, audit_summary
 from tutela.sources import table_digest
 
 
@@ -18,3 +21,71 @@ def _layer(b: Bound, layer: str):
 
 for _layer_name in RUN_TABLES:
     add(f"run_{_layer_name}", lambda b, n=_layer_name: _layer(b, n), layer_sql(_layer_name))
+
+
+# --------------------------------------------------------------- constraints --
+_VIEW = {t: v for layer in RUN_TABLES.values() for t, (v, _) in layer.items()}
+
+
+def _rule_sql(table: str) -> list[str]:
+    """One statement for each declared rule: how many keys break it, in how many rows."""
+    r, view, out = RULES[table], _VIEW[table], []
+    # no part of these keys holds the separator
+    key = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in r.key) or "''"
+
+    def say(rule: str, keys: str, rows: str, where: str) -> None:
+        out.append(f"SELECT '{table}' AS table_name, '{rule}' AS rule_id, {keys} AS broken_keys, "
+                   f"CAST({rows} AS BIGINT) AS broken_rows FROM {where}")
+
+    if r.key:
+        say(f"PK_{'_'.join(r.key)}", "count(*)", "coalesce(sum(n), 0)",
+            f"(SELECT count(*) AS n FROM {view} GROUP BY {', '.join(r.key)} HAVING count(*) > 1)")
+    for c in dict.fromkeys((*r.key, *r.required)):
+        say(f"NN_{c}", f"count(DISTINCT {key})", "count(*)", f"{view} WHERE {c} IS NULL")
+    for name, test in r.checks.items():
+        say(f"CK_{name}", f"count(DISTINCT {key})", "count(*)", f"{view} WHERE NOT ({test})")
+    for c, target in r.refs.items():
+        say(f"FK_{c}", f"count(DISTINCT {c})", "count(*)",
+            f"{view} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {KEYS[target]} "
+            f"FROM {_VIEW[target]} WHERE {KEYS[target]} IS NOT NULL)")
+    return out
+
+
+def _audited(b: Bound):
+    version = run_version(b)
+    return audit_summary({t: version.read(t) for t in RULES})
+
+
+add("run_audit", _audited, " UNION ALL ".join(s for t in RULES for s in _rule_sql(t)))
+
+
+# ------------------------------------------------------------------ analyses --
+#: table -> (SQL, columns that are no random draws)
+ANALYSES = {
+    "effectiveness_arms": (
+        "SELECT count(*) AS alerted_terms, count(*) FILTER (WHERE contacted = 1) AS contacted, "
+        "count(*) FILTER (WHERE contacted = 0) AS uncontacted FROM r_effect",
+        "alerted_terms contacted uncontacted"),
+    "effectiveness_results": (renamed(ESTIMATES), "estimator estimate_pp note"),
+    "effectiveness_verdict": (renamed(VERDICT), "naive_pp matched_pp verdict naive_sign"),
+    "fairness_audit": (
+        "SELECT * FROM r_m_fair",
+        "cohort student_terms alert_rate contact_rate_given_alert retained_next_term_contacted "
+        "retained_next_term_uncontacted alerted_n alert_rate_ratio_vs_nonequity "
+        "contact_rate_gap_pp_vs_nonequity"),
+    "fairness_verdict": (
+        "SELECT max(abs(contact_rate_gap_pp_vs_nonequity)) AS max_gap_pp, CASE WHEN "
+        "max(abs(contact_rate_gap_pp_vs_nonequity)) <= 3.0 THEN 'PASS' ELSE 'REVIEW REQUIRED' "
+        "END AS verdict FROM r_m_fair WHERE cohort <> 'All domestic'", "max_gap_pp verdict"),
+    "headline": (renamed(HEADLINE), "metric label value"),
+}
+
+
+def _analysed(b: Bound):
+    done = analyse(b.spark, run_version(b), run_store(b, "results"), funded_year=NBF_YEAR)
+    return stack([table_digest(done.read(t).select(*columns.split()), t)
+                  for t, (_, columns) in ANALYSES.items()])
+
+
+add("run_analysis", _analysed, " UNION ALL ".join(
+    digest_sql(t, f"({text})", columns) for t, (text, columns) in ANALYSES.items()))

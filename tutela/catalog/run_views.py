@@ -221,6 +221,7 @@ def renamed(text: str) -> str:
 for _name, _new in _NAMES.items():
     if _new not in RUN_VIEWS:
         RUN_VIEWS[_new] = renamed(VIEWS[_name])
+RUN_VIEWS["r_fair"] = RUN_VIEWS["r_fair"].replace("r_f_eng", "r_f_enrol")  # of enrolled students
 # a view stands behind those it names
 _order = ["r_flags", "r_cohorts", "r_executive", "r_retention", "r_nbf", "r_seheef", "r_triage",
           "r_alerted", "r_effect", "r_trend", "r_issues", "r_dq", "r_cells", "r_matched", "r_fair",
@@ -231,7 +232,10 @@ VIEWS |= RUN_VIEWS
 
 #: Columns of floating numbers, which digests take in ten-thousandths.
 FLOATS = {"atar", "mark", "eftsl", "eftsl_certified", "eftsl_passed", "success_rate", "avg_mark",
-          "retention_rate", "support_coverage", "reach_rate", "avg_logins", "missed_rate"}
+          "retention_rate", "support_coverage", "reach_rate", "avg_logins", "missed_rate",
+          "estimate_pp", "naive_pp", "matched_pp", "alert_rate", "contact_rate_given_alert",
+          "retained_next_term_contacted", "retained_next_term_uncontacted", "value", "max_gap_pp",
+          "alert_rate_ratio_vs_nonequity", "contact_rate_gap_pp_vs_nonequity"}
 #: layer -> table -> (view, columns)
 RUN_TABLES: dict[str, dict[str, tuple[str, str]]] = {
     "dimensions": {

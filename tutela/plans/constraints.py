@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tutela.operators.sets import stack
-from tutela.plans.quality import check_constraints
+from tutela.plans.quality import FATAL
+from tutela.sources import lookup
+from tutela.sources.digest import escaped
 
 
 @dataclass(frozen=True)
@@ -63,20 +65,115 @@ RULES: dict[str, Rules] = {
 # ---------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class _Slot:
+    """What is counted for a key of a table: its own rows (``PK``), rows of it that break a rule of
+    their own, or rows of another table that refer to it (``FK``)."""
+
+    table: str
+    rule: str
+    kind: str
+    detail: str
+
+
+def _key_text(columns: Sequence[str]) -> Column:
+    """The parts of a key, told apart whatever they hold; a null part is marked."""
+    parts = [F.coalesce(escaped(F.col(c).cast("string")), F.lit("\\N")) for c in columns]
+    return F.concat_ws("|", *parts) if parts else F.lit("")
+
+
+def _slots(tables: Mapping[str, DataFrame], rules: Mapping[str, Rules]) -> dict[str, list[_Slot]]:
+    out: dict[str, list[_Slot]] = {}
+    for name in rules:
+        if name in tables:
+            r = rules[name]
+            out[name] = [_Slot(name, f"PK_{'_'.join(r.key)}", "PK", "")]
+            out[name] += [_Slot(name, f"NN_{c}", "NN", "missing")
+                          for c in dict.fromkeys((*r.key, *r.required))]
+            out[name] += [_Slot(name, f"CK_{c}", "CK", "check failed") for c in r.checks]
+    for name, r in rules.items():
+        for column, target in r.refs.items():
+            if name in out and target in out:
+                out[target].append(_Slot(name, f"FK_{column}", "FK", column))
+    return out
+
+
+def _entries(df: DataFrame, name: str, r: Rules, slots: dict[str, list[_Slot]],
+             numbers: dict[str, int]) -> DataFrame:
+    """(target, key, slot) of all that a row says about its own key and those it refers to."""
+    def entry(target: str, key: Column, slot: _Slot) -> Column:
+        return F.struct(F.lit(numbers[target]).alias("target"), key.alias("key"),
+                        F.lit(slots[target].index(slot)).alias("slot"))
+
+    own, found = _key_text(r.key), []
+    for slot in slots[name]:
+        if slot.kind == "PK" and r.key:
+            found.append(entry(name, own, slot))
+        elif slot.kind == "NN":
+            found.append(F.when(F.col(slot.rule[3:]).isNull(), entry(name, own, slot)))
+        elif slot.kind == "CK":
+            found.append(F.when(~F.expr(r.checks[slot.rule[3:]]), entry(name, own, slot)))
+    for column, target in r.refs.items():
+        if target in slots:
+            slot = _Slot(name, f"FK_{column}", "FK", column)
+            found.append(F.when(F.col(column).isNotNull(),
+                                entry(target, _key_text([column]), slot)))
+    listed = F.filter(F.array(*found), lambda e: e.isNotNull())
+    return df.select(F.inline(listed))
+
+
 def audit(tables: Mapping[str, DataFrame], rules: Mapping[str, Rules] = RULES) -> DataFrame:
-    """Broken constraints of all given tables as issue rows.
+    """Broken constraints of all given tables: rule_id, severity, table_name, row_key, detail,
+    rows (how many break the rule at this key; for a reference the key is the one that is missing).
 
-    A table takes part if it is given; so does a reference if both its tables
-    are. Facts may fail: cases and alerts of unknown people are kept on purpose.
+    A table takes part if it is given; so does a reference if both its tables are. Facts may fail:
+    cases and alerts of unknown people are kept on purpose. As in SQL, a null refers to nothing
+    and a check that is unknown counts as met.
+
+    Every table is scanned once, whatever the number of its rules. A row is turned into entries on
+    its own key and on the keys it refers to; keys of both kinds meet in one aggregation, which
+    counts them within the map tasks before they move, so a key with any share of the rows is
+    one row of each task. A filter of known keys would only save the exchange of keys that are
+    missing, since it proves absence and not presence.
     """
-    found = []
-    for name, r in rules.items():
-        if name not in tables:
-            continue
-        refs = [(c, tables[t], KEYS[t]) for c, t in r.refs.items() if t in tables]
-        df = tables[name]
-        part = check_constraints(
-            df, name, r.key, refs, [*r.key, *r.required],
-            {n: F.expr(test) for n, test in r.checks.items()})
-        found.append(part)
-    return stack(found)
+    slots = _slots(tables, rules)
+    numbers = {name: i for i, name in enumerate(slots)}
+    entries = stack([_entries(tables[n], n, rules[n], slots, numbers) for n in slots])
+    width = max(map(len, slots.values()))
+    counts = entries.groupBy("target", "key").agg(
+        F.array(*(F.count_if(F.col("slot") == i) for i in range(width))).alias("n"))
+    held, verdict = F.col("n")[0], None
+    for name, listed in slots.items():
+        found = []
+        for i, slot in enumerate(listed):
+            n = F.col("n")[i]
+            broken = {"PK": n > 1, "FK": (n > 0) & (held == 0)}.get(slot.kind, n > 0)
+            detail = {"PK": F.concat(n.cast("string"), F.lit(" rows")),
+                      "FK": F.concat(F.lit(f"{slot.detail}="), F.col("key"))}.get(
+                slot.kind, F.lit(slot.detail))
+            row = F.struct(
+                F.lit(slot.rule).alias("rule_id"), F.lit(FATAL).alias("severity"),
+                F.lit(slot.table).alias("table_name"), F.col("key").alias("row_key"),
+                detail.alias("detail"), n.alias("rows"))
+            found.append(F.when(broken, row))
+        array, here = F.array(*found), F.col("target") == numbers[name]
+        verdict = F.when(here, array) if verdict is None else verdict.when(here, array)
+    return counts.select(F.inline(F.filter(verdict, lambda e: e.isNotNull())))
+
+
+def rule_list(tables: Mapping[str, DataFrame], rules: Mapping[str, Rules] = RULES) \
+        -> list[tuple[str, str]]:
+    """(table_name, rule_id) of all that ``audit`` looks at."""
+    found = {(s.table, s.rule) for listed in _slots(tables, rules).values() for s in listed}
+    return sorted(f for f in found if f[1] != "PK_")
+
+
+def audit_summary(tables: Mapping[str, DataFrame], rules: Mapping[str, Rules] = RULES) \
+        -> DataFrame:
+    """(table_name, rule_id, broken_keys, broken_rows) for every declared rule, met ones too."""
+    found = audit(tables, rules).groupBy("table_name", "rule_id").agg(
+        F.count(F.lit(1)).alias("broken_keys"), F.sum("rows").alias("broken_rows"))
+    spark = next(iter(tables.values())).sparkSession
+    names = lookup(spark, rule_list(tables, rules), "table_name string, rule_id string")
+    return names.join(found, ["table_name", "rule_id"], "left").fillna(
+        0, ["broken_keys", "broken_rows"])
