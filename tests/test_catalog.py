@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from tutela.catalog import base_queries, plan_queries  # noqa: F401
+from tutela.catalog import base_queries, plan_queries, run_queries  # noqa: F401
 from tutela.catalog.bindings import Bound
 from tutela.catalog.registry import REGISTRY, callables, oracles
 
@@ -14,7 +14,8 @@ FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="supplied tables not present")
 SAMPLE = ["mt_executive", "mt_triage", "mt_effect_input", "mt_retention", "dq_summary",
           "dq_inject", "dq_constraints", "dq_catch_rate", "dq_calendar", "an_results", "ag_pivot", "an_fairness", "an_realism", "rp_program_matrix",
-          "ms_retention_gap", "src_csv_text"]
+          "ms_retention_gap", "src_csv_text", "run_dimensions", "run_facts", "run_marts",
+          "run_quality", "run_audit", "run_analysis", "layout_by_student", "fn_sql_text", "rl_sql"]
 
 
 @pytest.fixture(scope="module")

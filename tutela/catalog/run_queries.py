@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from tutela.catalog.bindings import NBF_YEAR, Bound
-from tutela.catalog.extracts import run_store, run_version
+from tutela.catalog.extracts import run_store, run_version, write_extracts
 from tutela.catalog.plan_queries import ESTIMATES, HEADLINE, VERDICT
-from tutela.catalog.registry import add
+from tutela.catalog.registry import add, query
 from tutela.catalog.run_views import RUN_TABLES, digest_sql, layer_sql, renamed
+from tutela.functions import sql
 from tutela.operators.sets import stack
+from tutela.plans import security
 from tutela.plans.analysis import analyse
 from tutela.plans.constraints import KEYS, RULES, audit_summary
-from tutela.sources import table_digest
+from tutela.plans.staging import EXTRACTS
+from tutela.session import scratch_path
+from tutela.sources import read_text_csv, table_digest
+from tutela.sources.by_student import write_by_student
 
 
 def _layer(b: Bound, layer: str):
@@ -89,3 +97,65 @@ def _analysed(b: Bound):
 
 add("run_analysis", _analysed, " UNION ALL ".join(
     digest_sql(t, f"({text})", columns) for t, (text, columns) in ANALYSES.items()))
+
+
+# ------------------------------------------------------- layout, SQL surface --
+BUCKETS = 16
+
+
+@query("layout_by_student", """
+    SELECT student_id, mode, term_code, count(*) AS units, CAST(sum(count(*)) OVER (
+               PARTITION BY student_id ORDER BY term_code) AS BIGINT) AS units_so_far,
+           first(commencing_term) AS commencing_term
+    FROM r_f_enrol JOIN (SELECT student_id, mode, commencing_term FROM r_dim_student)
+         USING (student_id) GROUP BY student_id, mode, term_code""")
+def layout_by_student(b: Bound):
+    """Terms of each student with the units so far: join, groups and window within buckets."""
+    version, path = run_version(b), scratch_path(b.spark, "by-student")
+    people = write_by_student(version.read("dim_student").select(
+        "student_id", "mode", "commencing_term"), f"{path}/dim_student", BUCKETS)
+    units = write_by_student(version.read("fact_enrolment"), f"{path}/fact_enrolment", BUCKETS,
+                             order=["term_code"])
+    terms = units.join(people).groupBy("student_id", "mode", "term_code").agg(
+        F.count(F.lit(1)).alias("units"), F.first("commencing_term").alias("commencing_term"))
+    so_far = Window.partitionBy("student_id").orderBy("term_code")
+    return terms.withColumn("units_so_far", F.sum("units").over(so_far))
+
+
+@query("fn_sql_text", """
+    SELECT student_id, full_name, dob, flag, year FROM (
+        SELECT c_custkey AS k, coalesce(surviving_id, s.student_id) AS student_id,
+               first_name || ' ' || last_name AS full_name, dob, first_nations AS flag,
+               CAST(left(commencing_term, 4) AS INTEGER) AS year
+        FROM r_students s JOIN customer ON CAST(c_custkey AS VARCHAR) = s.student_id
+        LEFT JOIN r_map ON duplicate_id = s.student_id)""")
+def fn_sql_text(b: Bound):
+    """The student extract cleaned and remapped by SQL text alone."""
+    source, version = write_extracts(b), run_version(b)
+    sql.register(b.spark)
+    sql.register_surviving(b.spark, version.read("student_id_survivorship"))
+    read_text_csv(b.spark, f"{source}/banner_students.csv",
+                  EXTRACTS["banner_students"]).createOrReplaceTempView("raw_student_text")
+    return b.spark.sql("""
+        SELECT surviving(trim(student_id)) AS student_id,
+               full_name(proper_case(first_name), trim(last_name)) AS full_name,
+               mixed_date(dob) AS dob, tri_state(first_nations_flag) AS flag,
+               term_year(commencing_term) AS year FROM raw_student_text""")
+
+
+@query("rl_sql", """
+    SELECT 'advisor' AS who, case_id, advisor_id FROM r_f_case WHERE advisor_id = 'ADV03'
+    UNION ALL SELECT 'manager', case_id, advisor_id FROM r_f_case""")
+def rl_sql(b: Bound):
+    """What the user who runs this sees as an advisor and as a manager, by SQL text."""
+    cases = run_version(b).read("fact_case")
+    mine = b.advisors.select(
+        F.when(F.col("advisor_id") == "ADV03", F.current_user()).otherwise(F.col("upn"))
+        .alias("principal"), "advisor_id")
+    boss = mine.select("principal", F.when(F.col("advisor_id") != "ADV03", F.col("advisor_id"))
+                       .alias("advisor_id"))
+    security.declare_restricted(b.spark, "advisor_cases", cases, mine)
+    security.declare_restricted(b.spark, "manager_cases", cases, boss)
+    return b.spark.sql("""
+        SELECT 'advisor' AS who, case_id, advisor_id FROM advisor_cases()
+        UNION ALL SELECT 'manager', case_id, advisor_id FROM manager_cases()""")

@@ -8,7 +8,7 @@ plain count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tutela.functions import rounded, safe_ratio, term_year
@@ -34,20 +34,33 @@ def terms_ordered(terms: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- executive --
+def exact(c) -> Column:
+    """A load or mark in millionths: sums of them do not depend on the order of rows. A number that
+    has no place there (not finite, or of more than twelve digits before the point) is NULL."""
+    return (F.col(c) if isinstance(c, str) else c).try_cast("decimal(18,6)")
+
+
 def mart_executive(enrol: DataFrame, students: DataFrame, programs: DataFrame) -> DataFrame:
+    """Loads and marks are added as fixed-point numbers, so the same rows give the same table to the
+    last bit, however they are partitioned."""
     valid = F.col("mark").between(0, 100)
     per_student = enrol.groupBy("student_id", "term_code", "campus_code").agg(
-        F.sum("eftsl_certified").alias("cert"), F.sum("eftsl_passed").alias("pass"),
-        F.sum(F.when(valid, F.col("mark"))).alias("marks"), F.count_if(valid).alias("n_marks"),
+        F.sum(exact("eftsl_certified")).alias("cert"), F.sum(exact("eftsl_passed")).alias("pass"),
+        F.sum(exact(F.when(valid, F.col("mark")))).alias("marks"),
+        F.count_if(valid).alias("n_marks"),
         sum_when(F.col("enrolment_status") == WITHDRAWN_PRE_CENSUS).alias("withdrawn"))
     rows = (per_student.join(students.select("student_id", "mode", "program_code"), "student_id")
             .join(programs.select("program_code", "field"), "program_code"))
+
+    def total(c: str) -> Column:
+        return F.sum(c).cast("double")
+
     return rows.groupBy("term_code", "campus_code", "mode", "field").agg(
         F.count("student_id").alias("headcount"),
-        rounded(F.sum("cert"), 1).alias("eftsl_certified"),
-        rounded(F.sum("pass"), 1).alias("eftsl_passed"),
-        rounded(safe_ratio(F.sum("pass"), F.sum("cert")), 4).alias("success_rate"),
-        rounded(safe_ratio(F.sum("marks"), F.sum("n_marks")), 1).alias("avg_mark"),
+        rounded(total("cert"), 1).alias("eftsl_certified"),
+        rounded(total("pass"), 1).alias("eftsl_passed"),
+        rounded(safe_ratio(total("pass"), total("cert")), 4).alias("success_rate"),
+        rounded(safe_ratio(total("marks"), F.sum("n_marks")), 1).alias("avg_mark"),
         F.sum("withdrawn").alias("withdrawals_pre_census"))
 
 
