@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from tutela.catalog.bindings import NBF_YEAR, Bound
 from tutela.catalog.extracts import run_store, run_version, write_extracts
 from tutela.catalog.plan_queries import ESTIMATES, HEADLINE, VERDICT
-from tutela.catalog.registry import add, query
+from tutela.catalog.registry import REGISTRY, add, query
 from tutela.catalog.run_views import RUN_TABLES, digest_sql, layer_sql, renamed
 from tutela.functions import sql
 from tutela.operators.sets import stack
-from tutela.plans import security
+from tutela.plans import reports, security
 from tutela.plans.analysis import analyse
 from tutela.plans.constraints import KEYS, RULES, audit_summary
 from tutela.plans.staging import EXTRACTS
-from tutela.session import scratch_path
+from tutela.session import keep, scratch_path
 from tutela.sources import read_text_csv, table_digest
 from tutela.sources.by_student import write_by_student
 
@@ -159,3 +159,47 @@ def rl_sql(b: Bound):
     return b.spark.sql("""
         SELECT 'advisor' AS who, case_id, advisor_id FROM advisor_cases()
         UNION ALL SELECT 'manager', case_id, advisor_id FROM manager_cases()""")
+
+
+# ----------------------------------------------------------- pages of visuals --
+#: visual -> (columns of its groups, measures)
+VISUALS = {
+    "exec_cards": ("", "headcount success_rate eftsl_certified average_mark "
+                       "pre_census_withdrawals"),
+    "success_term_mode": ("term_code mode", "success_rate"),
+    "success_campus": ("campus_name", "success_rate"),
+    "program_matrix": ("field program_name level", "headcount success_rate average_mark "
+                                                   "pre_census_withdrawals"),
+    "triage_cards": ("", "students_on_list p1_students alert_action_rate median_days_to_action"),
+    "caseload": ("advisor_id", "students_on_list"),
+    "effect_cards": ("", "alerts_raised alerts_actioned reach_rate"),
+    "engagement": ("week_number mode", "avg_logins"),
+}
+
+
+def _long(visual: str, df):
+    groups, measures = (c.split() for c in VISUALS[visual])
+    label = F.concat_ws("|", F.lit(""), *(F.coalesce(F.col(c).cast("string"), F.lit("-"))
+                                          for c in groups))
+    rows = F.array(*(F.struct(F.lit(m).alias("measure"), F.round(F.col(m).cast("double"), 6)
+                              .alias("value")) for m in measures))
+    return df.select(F.lit(visual).alias("visual"), label.alias("label"), F.inline(rows))
+
+
+def _long_sql(visual: str) -> str:
+    groups, measures = (c.split() for c in VISUALS[visual])
+    label = " || ".join(["''", *(f"'|' || coalesce(CAST({c} AS VARCHAR), '-')" for c in groups)])
+    return " UNION ALL ".join(
+        f"SELECT '{visual}' AS visual, {label} AS label, '{m}' AS measure, "
+        f"round(CAST({m} AS DOUBLE), 6) AS value FROM ({REGISTRY[f'rp_{visual}'].sql})"
+        for m in measures)
+
+
+def _page(b: Bound, name: str):
+    found = reports.page(b.model, name, lambda df, home: keep(df, f"page-{home}", b.written))
+    return stack([_long(visual, df) for visual, df in found.items()])
+
+
+for _page_name, _visuals in reports.PAGES.items():
+    add(f"rp_page_{_page_name}", lambda b, n=_page_name: _page(b, n),
+        " UNION ALL ".join(_long_sql(v.__name__) for v in _visuals))

@@ -187,15 +187,87 @@ def related(home: str, target: str) -> bool:
         return False
 
 
+@dataclass(frozen=True)
+class Wanted:
+    """What a visual needs of a table: keys to group by and aggregates."""
+
+    home: str
+    keys: tuple[str, ...]
+    parts: tuple[Part, ...]
+
+
+@dataclass(frozen=True)
+class Reduced:
+    """A table reduced to some keys: ``names`` holds the column of each aggregate, ``__rows`` how
+    many rows it had. Distinct ids and values of medians are keys too."""
+
+    frame: DataFrame
+    keys: tuple[str, ...]
+    names: dict[Part, str]
+
+    @classmethod
+    def of(cls, df: DataFrame, keys: Sequence[str], parts: Sequence[Part]) -> Reduced:
+        names = {p: f"__part{i}" for i, p in enumerate(parts)}
+        return cls(_reduce(df, keys, {n: p for p, n in names.items()}, {}), tuple(keys), names)
+
+    def serves(self, keys: Sequence[str], parts) -> bool:
+        return set(keys) <= set(self.keys) and all(p in self.names for p in parts)
+
+
+def _reduce(source: DataFrame | Reduced, keys: Sequence[str], parts: Mapping[str, Part],
+            filters: Mapping[str, Sequence]) -> DataFrame:
+    """One row for each combination of keys, counted ids and values of medians, with the aggregates
+    under their names and ``__rows``; of a table or of a finer reduction."""
+    again = isinstance(source, Reduced)
+    df = source.frame if again else source
+    for name, values in filters.items():
+        df = df.filter(F.col(name).isin(*values))
+    spread = {n: p for n, p in parts.items() if p.kind in ("distinct", "median")}
+    ready = df.withColumns({n: F.col(source.names[p]) if again else p.column()
+                            for n, p in spread.items()}) if spread else df
+    sums = [(_merge(p, source.names[p]) if again else _partial(p)).alias(n)
+            for n, p in parts.items() if n not in spread]
+    rows = F.sum("__rows") if again else F.count(F.lit(1))
+    return ready.groupBy(*keys, *spread).agg(*sums, rows.alias("__rows"))
+
+
 class Model:
     """Tables by name, the measures over them, and the rows a role may see."""
 
-    def __init__(self, tables: Mapping[str, DataFrame], measures: dict[str, Measure] | None = None):
+    def __init__(self, tables: Mapping[str, DataFrame], measures: dict[str, Measure] | None = None,
+                 reduced: Mapping[str, Reduced] | None = None):
         self.tables = tables
         self.measures = measures or MEASURES
+        self.reduced = reduced or {}
+        self.wanted: list[Wanted] | None = None
 
     def scoped(self, tables: dict[str, DataFrame]) -> Model:
-        return Model(ChainMap(tables, self.tables), self.measures)
+        """With other tables, such as the rows that a role may see; what was reduced for a page
+        holds for the tables it was made from only."""
+        kept = {home: r for home, r in self.reduced.items() if home not in tables}
+        return Model(ChainMap(tables, self.tables), self.measures, kept)
+
+    def for_page(self, visuals: Sequence[Callable[[Model], object]],
+                 write: Callable[[DataFrame, str], DataFrame] | None = None) -> Model:
+        """A model that answers all given visuals from one reduction of each table they use.
+
+        The visuals are planned once to learn the keys and aggregates they need. Each table is then
+        reduced to all of these keys together: sums and counts add up from there, counted ids and
+        values of medians stay as keys, so every coarser visual is exact. ``write`` stores a
+        reduction (as ``session.keep`` does), so that its table is scanned once for the page.
+        """
+        learner = Model(self.tables, self.measures)
+        learner.wanted = []
+        for visual in visuals:
+            visual(learner)
+        out: dict[str, Reduced] = {}
+        for home in dict.fromkeys(w.home for w in learner.wanted):
+            mine = [w for w in learner.wanted if w.home == home]
+            parts = list(dict.fromkeys(p for w in mine for p in w.parts))
+            keys = sorted({k for w in mine for k in w.keys})
+            one = Reduced.of(self.tables[home], keys, parts)
+            out[home] = Reduced(write(one.frame, home), one.keys, one.names) if write else one
+        return Model(self.tables, self.measures, out)
 
     def evaluate(self, measures: Sequence[str | tuple[str, Measure]], by: Sequence[str] = (),
                  where: dict[str, Sequence] | None = None,
@@ -245,21 +317,20 @@ class Model:
         inner = sorted({t for p in parts.values() for t in _dimension_columns(p)})
         filters = {k: v for k, v in where.items() if related(home, k.split(".")[0])}
         needed = list(dict.fromkeys([*by, *filters, *inner]))
-        df = self.tables[home]
         own = [n.split(".")[1] for n in needed if n.startswith(home + ".")]
         chains = [path(home, n.split(".")[0]) for n in needed if not n.startswith(home + ".")]
-        for name, values in filters.items():
-            if name.startswith(home + "."):
-                df = df.filter(F.col(name.split(".")[1]).isin(*values))
         late = {n: p for n, p in parts.items() if _dimension_columns(p)}
         early = {n: p for n, p in parts.items() if n not in late}
-        keys = list(dict.fromkeys([*own, *[c[0][1] for c in chains]]))
-        spread = {n: p for n, p in early.items() if p.kind in ("distinct", "median")}
-        raw = sorted({c for p in late.values() for c in _home_columns(p, df.columns)})
-        ready = df.withColumns({n: p.column() for n, p in spread.items()}) if spread else df
-        sums = [_partial(p).alias(n) for n, p in early.items() if n not in spread]
-        small = ready.groupBy(*dict.fromkeys([*keys, *raw]), *spread).agg(
-            *sums, F.count(F.lit(1)).alias("__rows"))
+        raw = sorted({c for p in late.values()
+                      for c in _home_columns(p, self.tables[home].columns)})
+        keys = list(dict.fromkeys([*own, *[c[0][1] for c in chains], *raw]))
+        if self.wanted is not None:
+            self.wanted.append(Wanted(home, tuple(keys), tuple(early.values())))
+        source = self.reduced.get(home)
+        if source is None or not source.serves(keys, early.values()):
+            source = self.tables[home]
+        own_filters = {n.split(".")[1]: v for n, v in filters.items() if n.startswith(home + ".")}
+        small = _reduce(source, keys, early, own_filters)
         wide = self._join_dimensions(small, home, needed, chains)
         for name, values in filters.items():
             if not name.startswith(home + "."):
@@ -314,6 +385,10 @@ def _partial(p: Part) -> Column:
     raise ValueError(p.kind)
 
 
+def _merge(p: Part, name: str) -> Column:
+    return F.min(name) if p.kind == "min" else F.sum(name)
+
+
 def _final(p: Part, name: str) -> Column:
     """Second reduction over the pre-reduced rows (``__rows`` source rows each)."""
     if _dimension_columns(p):

@@ -164,6 +164,20 @@ VISUALS: dict[str, Callable[..., DataFrame]] = {
         effect_cards, dq_card, dq_table, dq_bar)}
 
 
+#: Visuals of one page over the same tables.
+PAGES: dict[str, tuple[Callable[[Model], DataFrame], ...]] = {
+    "executive": (exec_cards, success_term_mode, success_campus, program_matrix),
+    "triage": (triage_cards, caseload),
+    "effectiveness": (effect_cards, engagement)}
+
+
+def page(m: Model, name: str, write: Callable[[DataFrame, str], DataFrame] | None = None) \
+        -> dict[str, DataFrame]:
+    """The visuals of a page, all from one reduction of each table (``Model.for_page``)."""
+    model = m.for_page(PAGES[name], write)
+    return {visual.__name__: visual(model) for visual in PAGES[name]}
+
+
 def headline(retention_mart: DataFrame, triage_mart: DataFrame, nbf_mart: DataFrame,
              year: int = FUNDED_YEAR) -> DataFrame:
     """The handful of figures printed after a run, as (metric, label, value)."""
