@@ -51,7 +51,7 @@ def test_quantiles_of_the_chi_square_distribution():
 def test_start_ignores_a_quarter_of_outliers():
     rng = np.random.default_rng(2)
     x = np.concatenate([rng.normal(size=(300, 4)), rng.normal(8, 0.1, (80, 4))])
-    centre, scatter = rules.start(x)
+    centre, scatter = rules.start(x, np.zeros(4))
     assert np.abs(centre).max() < 0.4 and np.diag(scatter).max() < 2
 
 
@@ -84,6 +84,95 @@ def test_small_groups_null_groups_and_repeated_rows(docs):
     assert rules.judge(docs([])).collect() == []
 
 
+def lines(rng, n, words=9):
+    return [" ".join(prose(rng, words).split()[:words]) for _ in range(n)]
+
+
+def test_each_statistic_alone_makes_an_outlier(docs):
+    """In a source where no text repeats a line or a word or holds a symbol."""
+    rng = random.Random(5)
+    good = ["\n".join(lines(rng, 20)) for _ in range(400)]
+    own = lines(rng, 9)
+    one_each = [
+        "\n".join([*own, own[0], *own[:8], own[0], own[1]]),           # 11 of 20 lines again
+        " ".join([*" ".join(lines(rng, 20)).split(), *"a b c d e f g h i j".split() * 3]),
+        " ".join("".join(rng.choice("etaoin") for _ in range(25)) for _ in range(180)),
+        "\n".join(lines(rng, 20)).replace(" ", " ## ")]
+    got = rules.judge(docs([*good, *one_each])).orderBy("doc_id").collect()
+    assert sum(not r.kept for r in got[:400]) <= 2
+    counts = [(r.n_dup_lines, r.n_repeat_words > 0, r.n_symbols > 0) for r in got[400:]]
+    assert counts[0][0] == 11 and counts[1:] == [(0, True, False), (0, False, False),
+                                                 (0, False, True)]
+    assert [r.base_failed for r in got[401:]] == [False] * 3
+    assert not any(r.kept for r in got[400:])
+
+
+def test_few_texts_are_judged_by_their_language_or_the_corpus(docs):
+    rng = random.Random(6)
+    marked = " ".join(w + "##" for w in prose(rng).split())
+    large = docs([prose(rng) for _ in range(200)], source="large")
+    few = docs([(1000 + i, prose(rng)) for i in range(9)] + [(1009, marked)], source="few")
+    other = docs([(2000 + i, prose(rng)) for i in range(9)] + [(2009, marked)], lang="xx")
+    got = {r.doc_id: r.kept for r in rules.judge(large.unionByName(few).unionByName(other))
+           .collect()}
+    assert {i for i, kept in got.items() if not kept and i >= 1000} == {1009, 2009}
+    alone = rules.judge(few.unionByName(other)).collect()  # no language has enough texts
+    assert {r.doc_id for r in alone if not r.kept} == {1009, 2009}
+
+
+def brute_verdict(x, sample):
+    """The estimates of one group in numpy: the same start, then whole-row concentration."""
+    n, usual = len(x), [0.0]
+    spread = [rules.LENGTH_SHARE ** 2 * x[:, 0].var()]
+    for i in range(1, 4):
+        some = np.sort(np.floor(np.log2(x[x[:, i] > 0, i]) * rules.BINS))
+        usual = 2.0 ** ((some[int(np.ceil(len(some) / 2)) - 1] + 0.5) / rules.BINS) \
+            if len(some) else 0.0
+        spread.append(min(usual ** 2, rules.RARE * (x[:, i] ** 2).mean()))
+    spread = np.maximum(spread, 1e-8)
+
+    def far(c, s):
+        d = x - c
+        return (d @ np.linalg.inv(s) * d).sum(axis=1)
+    c, s = rules.start(x[sample], spread)
+    for _ in range(rules.STEPS):
+        bins = np.floor(np.log2(np.maximum(far(c, s), 1e-9)) * 16)
+        order = np.unique(bins)
+        before = np.array([(bins < b).sum() for b in order])
+        near = x[np.isin(bins, order[before < rules.SHARE * n])]
+        c, s = near.mean(axis=0), np.cov(near.T, bias=True) * rules._consistency() \
+            + np.diag(spread)
+    near = x[far(c, s) <= rules.chi2_quantile(4, 0.975)]
+    c, s = near.mean(axis=0), np.cov(near.T, bias=True) + np.diag(spread)
+    return far(c, s)
+
+
+def test_distances_of_one_group_against_numpy(docs):
+    rng = random.Random(7)
+    texts = []
+    for i in range(300):
+        part = lines(rng, 12)
+        if i % 4 == 0:
+            part[3] = part[2]
+        if i % 5 == 0:
+            part[5] = part[5].replace(" ", " # ", 1 + i % 7)
+        if i % 25 == 0:
+            part = [w.replace(" ", " ### ") for w in part]
+        texts.append("\n".join(part))
+    got = rules.judge(docs(texts)).orderBy("doc_id").collect()
+    fair = [r for r in got if not r.base_failed]
+    x = np.array([[np.log(max(r.word_chars, 1) / max(r.n_words, 1)),
+                   np.sqrt(r.n_symbols / max(r.word_chars, 1)), np.sqrt(r.n_dup_lines / 12),
+                   np.sqrt(r.n_repeat_words / r.n_words)] for r in fair])
+    # below SAMPLE rows all are in the sample; the start sorts them by their hashed ids
+    want = brute_verdict(x, np.arange(len(x)))
+    distance = np.array([r.distance for r in fair])
+    limit = rules.chi2_quantile(4, rules.CUT)
+    assert (want > limit).tolist() == [not r.kept for r in fair]
+    assert 5 <= (want > limit).sum() <= 20
+    assert distance == pytest.approx(want, rel=0.25)
+
+
 # -------------------------------------------------------------------- vectors --
 def brute_links(rows):
     out = {}

@@ -6,6 +6,12 @@ starts on a bounded sample of each group (``SAMPLE`` rows or so), then concentra
 all rows. One step is one aggregation: counts and moments by group and by bin of the distance, so
 the texts nearest to the centre are summed up without sorting them, and a hot group costs no more
 than its partial sums.
+
+Most texts have no symbol, repeated line or repeated word at all, so the nearest rows of a group
+often have no spread there. What is added to the scatter is the group's own (``spreads``): the size
+that values usually have where they are not zero, but no more than ``RARE`` times the mean square
+over all its rows. A value of usual size is thus no outlier where many texts have one, and is one
+where less than about a text in ``RARE`` times the cut has any.
 """
 
 from __future__ import annotations
@@ -27,12 +33,14 @@ SYMBOLS = b"#*$%&|<>"
 REPEAT = 8
 SHARE = 0.75          # of a group's rows the estimates rest on
 SAMPLE = 500
-LEAST_ROWS = 60       # smaller groups are judged together
+LEAST_ROWS = 60       # smaller groups are judged by their language, and that by the corpus
+LEAST_CORPUS = 20     # texts; fewer say nothing about a fifth in four dimensions
 STEPS = 8
 CUT = 0.99999
-#: Smallest standard deviations: most texts have no symbol, repeated line or repeated word at all.
-FLOORS = (0.03, 0.05, 0.15, 0.15)
-P = len(FLOORS)
+RARE = 4.0
+LENGTH_SHARE = 0.1    # of the standard deviation of word lengths
+BINS = 8              # of a doubling, for the usual size of values that are not zero
+P = 4
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -151,29 +159,27 @@ def _consistency() -> float:
     return SHARE / inner
 
 
-def _floored(scatter: np.ndarray) -> np.ndarray:
-    return scatter + np.diag(np.square(FLOORS))
-
-
-def _concentrate(x: np.ndarray, centre: np.ndarray, scatter: np.ndarray, h: int):
+def _concentrate(x: np.ndarray, centre: np.ndarray, scatter: np.ndarray, h: int,
+                 spread: np.ndarray):
     d = x - centre
     near = np.argsort((d @ np.linalg.inv(scatter) * d).sum(axis=1), kind="stable")[:h]
-    return x[near].mean(axis=0), _floored(np.cov(x[near].T, bias=True))
+    return x[near].mean(axis=0), np.cov(x[near].T, bias=True) + np.diag(spread)
 
 
-def start(x: np.ndarray, tries: int = 40, best: int = 5, seed: int = 7):
-    """MCD of a small sample: random subsets of P + 1 rows, two steps each; the best to the end."""
+def start(x: np.ndarray, spread: np.ndarray, tries: int = 40, best: int = 5, seed: int = 7):
+    """MCD of a small sample: random subsets of P + 1 rows, two steps each; the best to the end.
+    ``spread`` are the variances added to every scatter."""
     rng, h, found = np.random.default_rng(seed), max(1, math.ceil(SHARE * len(x))), []
     for _ in range(tries):
         some = x[rng.choice(len(x), min(P + 1, len(x)), replace=False)]
-        c, s = some.mean(axis=0), _floored(np.cov(some.T, bias=True))
+        c, s = some.mean(axis=0), np.cov(some.T, bias=True) + np.diag(spread)
         for _ in range(2):
-            c, s = _concentrate(x, c, s, h)
+            c, s = _concentrate(x, c, s, h, spread)
         found.append((np.linalg.slogdet(s)[1], c, s))
     done = []
     for value, c, s in sorted(found, key=lambda f: f[0])[:best]:
         for _ in range(20):
-            c, s = _concentrate(x, c, s, h)
+            c, s = _concentrate(x, c, s, h, spread)
             now = np.linalg.slogdet(s)[1]
             if now >= value - 1e-9:
                 break
@@ -193,7 +199,7 @@ def _model(key: str, centre: np.ndarray, scatter: np.ndarray) -> pd.DataFrame:
 
 def _start(group: pd.DataFrame) -> pd.DataFrame:
     group = group.sort_values("rid")
-    centre, scatter = start(np.stack(group["x"].to_numpy()))
+    centre, scatter = start(np.stack(group["x"].to_numpy()), np.array(group["spread"].iloc[0]))
     return _model(group["key"].iloc[0], centre, scatter)
 
 
@@ -225,35 +231,100 @@ def _step(bins: pd.DataFrame) -> pd.DataFrame:
     bins = bins.sort_values("bin")
     inside = bins["n"].cumsum() - bins["n"] < SHARE * bins["n"].sum()
     centre, scatter = _estimate(bins[inside])
-    return _model(bins["key"].iloc[0], centre, _floored(scatter * _consistency()))
+    return _model(bins["key"].iloc[0], centre,
+                  scatter * _consistency() + np.diag(bins["spread"].iloc[0]))
 
 
 def _reweight(total: pd.DataFrame) -> pd.DataFrame:
     centre, scatter = _estimate(total)
-    return _model(total["key"].iloc[0], centre, _floored(scatter))
+    return _model(total["key"].iloc[0], centre, scatter + np.diag(total["spread"].iloc[0]))
 
 
-def _verdicts(rows: DataFrame) -> DataFrame:
-    """(rid, far) for rows (rid, key, x)."""
-    counts = rows.groupBy("key").agg(F.count("*").alias("n"))
+def _spread(bins: pd.DataFrame) -> pd.DataFrame:
+    """The variances added to a group's scatter, from counts and squares by dimension and bin."""
+    out = []
+    for i in range(P):
+        part = bins[bins["dimension"] == i].sort_values("bin")
+        n, squares, total = (part[c].sum() for c in ("n", "squares", "total"))
+        if i == 0:
+            out.append(LENGTH_SHARE ** 2 * max(squares / n - (total / n) ** 2, 0.0))
+            continue
+        some = part[part["bin"].notna()]
+        if some.empty:
+            out.append(0.0)
+            continue
+        middle = int(np.searchsorted(some["n"].cumsum(), some["n"].sum() / 2))
+        usual = 2.0 ** ((some["bin"].iloc[middle] + 0.5) / BINS)
+        out.append(min(usual ** 2, RARE * squares / n))
+    # where nothing varies, nothing can be far: any value but one is
+    return pd.DataFrame({"key": [bins["key"].iloc[0]], "spread": [[max(v, 1e-8) for v in out]]})
+
+
+def spreads(rows: DataFrame) -> DataFrame:
+    """(key, spread) for rows (key, x): see the module. Exact: counts by eighths of a doubling."""
+    long = rows.select("key", F.posexplode("x").alias("dimension", "value"))
+    bin_of = F.when((F.col("dimension") > 0) & (F.col("value") > 0),
+                    F.floor(F.log2("value") * BINS))
+    return long.groupBy("key", "dimension", bin_of.alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("value") * F.col("value")).alias("squares"),
+        F.sum("value").alias("total")).groupBy("key").applyInPandas(
+        _spread, "key string, spread array<double>")
+
+
+def _models(rows: DataFrame) -> DataFrame:
+    """Centre and inverse scatter of each group of rows (key, rid, x)."""
+    counts = keep(rows.groupBy("key").agg(F.count("*").alias("n")), "counts")
+    spread = keep(spreads(rows), "spreads")
     draw = F.pmod(F.xxhash64("rid", F.lit("sample")), F.lit(1_000_003)) / 1_000_003
-    sample = rows.join(counts, "key").filter(draw < F.lit(float(SAMPLE)) / F.col("n"))
-    model = keep(sample.select("key", "rid", "x").groupBy("key").applyInPandas(_start, _MODEL),
-                 "start")
+    # counted and written first: the planner knows how few groups are large and sends their counts
+    # to the rows, which are thinned before any of them moves
+    sample = rows.join(counts.filter(F.col("n") > SAMPLE), "key", "left").filter(
+        F.col("n").isNull() | (draw < F.lit(float(SAMPLE)) / F.col("n")))
+    model = keep(sample.join(spread, "key").select("key", "rid", "x", "spread").groupBy("key")
+                 .applyInPandas(_start, _MODEL), "start")
     bin_of = F.floor(F.log2(F.greatest(F.col("d"), F.lit(1e-9))) * 16)
     before = None
     for _ in range(STEPS):
         near = rows.join(model, "key").withColumn("d", _distance()).withColumn("bin", bin_of)
-        model = keep(_moments(near, ["key", "bin"]).groupBy("key").applyInPandas(_step, _MODEL),
-                     "step")
+        model = keep(_moments(near, ["key", "bin"]).join(spread, "key").groupBy("key")
+                     .applyInPandas(_step, _MODEL), "step")
         size = model.agg(F.sum("size")).first()[0]
         if before is not None and size is not None and size > before - 1e-6 * abs(before):
             break
         before = size
     near = rows.join(model, "key").filter(_distance() <= chi2_quantile(P, 0.975))
-    model = keep(_moments(near, ["key"]).groupBy("key").applyInPandas(_reweight, _MODEL), "final")
-    return rows.join(model, "key").select("rid", (_distance() > chi2_quantile(P, CUT))
-                                          .alias("far"), _distance().alias("distance"))
+    return keep(_moments(near, ["key"]).join(spread, "key").groupBy("key")
+                .applyInPandas(_reweight, _MODEL), "final")
+
+
+def _plan(fair: DataFrame) -> DataFrame:
+    """(key, judged_by, fitted) for each language and source: the group that judges its texts, and the
+    groups whose estimates they take part in. A source of few texts is judged by its language, and
+    a language of few by the whole corpus; what is larger takes part in these where they are
+    needed. ``judged_by`` is null if the corpus has fewer than ``LEAST_CORPUS`` texts."""
+    counts = fair.groupBy("lang", "key").agg(F.count("*").alias("n"))
+    by_lang = counts.groupBy("lang").agg(
+        F.sum("n").alias("n_lang"), F.bool_or(F.col("n") < LEAST_ROWS).alias("few"))
+    total = counts.agg(F.sum("n").alias("n")).scalar()
+    both = counts.join(by_lang, counts["lang"].eqNullSafe(by_lang["lang"])).drop(by_lang["lang"])
+    lang = F.concat(F.lit("lang "), F.to_json(F.struct("lang"), {"ignoreNullFields": "false"}))
+    own, large = F.col("n") >= LEAST_ROWS, F.col("n_lang") >= LEAST_ROWS
+    judge = F.when(own, F.col("key")).when(large, lang).when(total >= LEAST_CORPUS, F.lit("all"))
+    corpus = by_lang.filter(F.col("n_lang") < LEAST_ROWS).agg(F.count("*").alias("n")).scalar() > 0
+    fitted = F.array(F.when(own, F.col("key")), F.when(F.col("few") & large, lang),
+                     F.when(corpus & (total >= LEAST_CORPUS), F.lit("all")))
+    return both.select("key", judge.alias("judged_by"), fitted.alias("fitted"))
+
+
+def _verdicts(fair: DataFrame) -> DataFrame:
+    """(rid, far, distance) for rows (rid, lang, key, x)."""
+    plan = keep(_plan(fair), "groups")
+    rows = keep(fair.join(plan, "key").select("rid", "x", "judged_by", "fitted"), "vectors")
+    model = _models(rows.select("rid", "x", F.explode("fitted").alias("key")).filter(
+        F.col("key").isNotNull()))
+    found = rows.select("rid", "x", F.col("judged_by").alias("key")).join(model, "key")
+    return found.select("rid", (_distance() > chi2_quantile(P, CUT)).alias("far"),
+                        _distance().alias("distance"))
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -263,8 +334,10 @@ def judge(docs: DataFrame) -> DataFrame:
     Fails a text of fewer than 20 words, or with more than 30 % of its words in repeated windows
     of ``REPEAT`` words; such texts take no part in the estimates and have a null distance. A null
     text has no words. Null languages and sources are values of their own. Groups of fewer than
-    ``LEAST_ROWS`` texts are judged together; if these are fewer than that too, they are kept.
-    Other columns come back; columns named as new ones are replaced.
+    ``LEAST_ROWS`` texts are judged by the estimates of their language, languages of fewer by those
+    of the whole corpus; below ``LEAST_CORPUS`` texts in all there are no outliers. Rows that repeat
+    are judged alike and all come back; an empty table gives none. Other columns come back;
+    columns named as new ones are replaced.
     """
     new = (*BASE, "base_failed", "distance", "kept")
     others = [c for c in docs.columns if c not in new]
@@ -276,15 +349,8 @@ def judge(docs: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     fair = counted.filter(~failed).withColumn("x", F.array(*_vector())).withColumn(
         "key", F.to_json(F.struct("lang", "source"), {"ignoreNullFields": "false"}))
-    big = fair.groupBy("key").agg(F.count("*").alias("n"))
-    named = big.select("key", F.when(F.col("n") >= LEAST_ROWS, F.col("key")).otherwise("rest")
-                       .alias("group"))
-    grouped = keep(fair.join(named, "key").select("rid", F.col("group").alias("key"), "x"),
-                   "vectors")
-    rest = grouped.filter(F.col("key") == "rest").limit(LEAST_ROWS).count()
-    judged = grouped if rest >= LEAST_ROWS else grouped.filter(F.col("key") != "rest")
-    far = _verdicts(judged).groupBy("rid").agg(F.max("far").alias("far"),
-                                               F.max("distance").alias("distance"))
+    far = _verdicts(fair).groupBy("rid").agg(F.max("far").alias("far"),
+                                             F.max("distance").alias("distance"))
     found = counted.groupBy("rid").agg(*(F.first(c).alias(c) for c in BASE)).join(far, "rid",
                                                                                   "left")
     base = found.select(F.col("rid").alias("place"), *BASE, failed.alias("base_failed"),
