@@ -208,7 +208,7 @@ def expected(rows):
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
 
-@pytest.mark.parametrize("shard", [8192, 40])
+@pytest.mark.parametrize("shard", [vectors.SHARD_VALUES, 480])
 def test_links_and_components_against_brute_force(spark, shard):
     rng = np.random.default_rng(5)
     rows = []
@@ -224,7 +224,7 @@ def test_links_and_components_against_brute_force(spark, shard):
              (306, [float("inf")] * 12, 1), (307, rows[0][1][:5], 0), (308, rows[0][1], 0)]
     table = spark.createDataFrame(rows, SCHEMA).withColumn("n_links", F.lit("clash"))
     got = {r.vec_id: (r.n_links, r.component_id)
-           for r in vectors.near_vectors(table, shard_rows=shard).collect()}
+           for r in vectors.near_vectors(table, shard_values=shard).collect()}
     assert got == expected(rows)
 
 
@@ -250,22 +250,102 @@ def test_narrow_beams_are_widened_until_the_audit_passes():
     assert vectors.audited_beam(torn, x, 0.98, beam=1, audit=600, recall=0.999) is None
 
 
-def test_a_torn_graph_loses_no_link(spark, monkeypatch):
-    rng = np.random.default_rng(9)
-    rows = []
-    for i in range(150):
-        v = rng.normal(size=8) if i % 2 == 0 else np.array(rows[-1][1]) + 0.001
-        rows.append((i, [float(np.float32(a)) for a in v], 1))
-    units = [(b"%d" % i, (np.array(v) / np.linalg.norm(v)).tobytes()) for i, v, _ in rows]
-
-    def batch(block):
-        return pa.RecordBatch.from_pydict({
-            "label": [1] * 150, "dims": [8] * 150, "shard": [0] * 150, "lane": [0] * 150,
-            "block": [block] * 150, "node": [n for n, _ in units], "unit": [u for _, u in units]})
-    monkeypatch.setattr(vectors, "audited_beam", lambda *a: None)
-    found = {tuple(sorted((r["a"], r["b"]))) for out in vectors._search(0.98)(
-        iter([batch(-1), batch(0)])) for r in out.to_pylist()}
-    assert len(found) == sum(map(len, brute_links(rows).values())) / 2
+def shard_rows(x, nodes, copies=None):
+    return pa.RecordBatch.from_pydict({
+        "label": [1] * len(x), "dims": [x.shape[1]] * len(x), "shard": [0] * len(x),
+        "node": nodes, "unit": [v.tobytes() for v in x],
+        "copies": pa.array([1] * len(x) if copies is None else copies, pa.int64())})
+
+
+def searched(x, nodes, shard, threshold=0.98):
+    """Counts and links of the queries x in a shard that ``_build`` has made."""
+    row = shard.to_pylist()[0]
+    first = pa.RecordBatch.from_pylist([row | {"lane": 0, "block": -1, "node": None}])
+    queries = pa.RecordBatch.from_pylist([
+        dict.fromkeys(row) | {"label": 1, "dims": x.shape[1], "shard": 0, "lane": 0, "block": 0,
+                              "node": n, "unit": v.tobytes()} for n, v in zip(nodes, x)],
+        schema=first.schema.set(first.schema.get_field_index("node"), pa.field("node", pa.binary())))
+    found = [r for out in vectors._search(threshold)(iter([first, queries])) for r in out.to_pylist()]
+    return ({r["a"]: r["n"] for r in found if r["b"] is None},
+            [(r["a"], r["b"]) for r in found if r["b"] is not None])
+
+
+def groups(pairs):
+    forest = vectors._Forest()
+    for a, b in pairs:
+        forest.new(a, b)
+    return {n: forest.root(n) for n in list(forest.parent)}
+
+
+def alike(one, other):
+    return {frozenset(n for n, r in one.items() if r == x) for x in one.values()} == \
+        {frozenset(n for n, r in other.items() if r == x) for x in other.values()}
+
+
+def crowd(n=3000, dims=16, seed=12):
+    """Points with pairs, and one group of many near copies."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dims))
+    x[n - 200:n - 100] = x[:100] + rng.normal(size=(100, dims)) * 0.02
+    x[n - 100:] = x[0] + rng.normal(size=(100, dims)) * 0.01
+    return x / np.linalg.norm(x, axis=1)[:, None], [b"%016d" % i for i in range(n)]
+
+
+@pytest.mark.parametrize("broken", [False, True])
+def test_a_graph_is_built_once_audited_and_loses_no_link(monkeypatch, broken):
+    x, nodes = crowd()
+    built = []
+    plain = vectors.Graph.__init__
+    monkeypatch.setattr(vectors.Graph, "__init__",
+                        lambda self, p, *a, **k: (built.append(len(p)), plain(self, p, *a, **k))[1])
+    if broken:  # finds nothing but the query's own point: only an audit can notice
+        monkeypatch.setattr(vectors.Graph, "above", lambda self, q, t, beam: np.flatnonzero(
+            self.points @ q.astype(np.float32) > 0.99999).tolist())
+    shard, = vectors._build(0.98)(iter([shard_rows(x, nodes)]))
+    assert built == [3000] and (shard.column("beam")[0].as_py() == 0) == broken
+    counts, edges = searched(x, nodes, shard)
+    near = x @ x.T >= 0.98
+    true = {nodes[i]: int(near[i].sum()) - 1 for i in range(len(x)) if near[i].sum() > 1}
+    assert sum(counts.values()) >= (1 if broken else 0.99) * sum(true.values())
+    assert all(n <= true[a] for a, n in counts.items())
+    assert len(edges) < len(true)  # no more than connect them, though there are 5,000 links
+    assert alike(groups(edges), groups((nodes[i], nodes[j]) for i, j in np.argwhere(near) if i < j))
+    assert built == [3000]
+
+
+def test_graphs_come_back_from_bytes_as_they_were():
+    x, _ = crowd(600)
+    graph = vectors.Graph(x)
+    again = vectors.Graph.load(graph.dump(), x)
+    assert again.entry == graph.entry and len(again.links) == len(graph.links)
+    for a, b in zip(graph.links, again.links):
+        assert a.keys() == b.keys() and all((a[k] == b[k]).all() for k in a)
+    for q in x[:50]:
+        assert sorted(again.above(q, 0.98, 32)) == sorted(graph.above(q, 0.98, 32))
+    queries, own = vectors.evidence(x, 0.98)
+    worth = (x @ queries.T).max(axis=0)
+    assert len(queries) == 2 * vectors.AUDIT and (worth >= 0.98).all() and (own[48:] == -1).all()
+
+
+def test_graphs_at_the_supplied_width_through_the_operator(spark):
+    """64 dimensions and a label of 2,500: graphs, not scans, with the recall of brute force."""
+    rng = np.random.default_rng(15)
+    x = rng.normal(size=(2500, 64))
+    x[2000:] = x[:500] + rng.normal(size=(500, 64)) * rng.choice([0.05, 0.15, 0.19], (500, 1))
+    x = x.astype(np.float32)
+    table = spark.createDataFrame([(i, v.tolist(), 3) for i, v in enumerate(x)], SCHEMA)
+    found = {r.vec_id: r for r in vectors.near_vectors(table).collect()}
+    units = x.astype(float)
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    near = units @ units.T >= vectors.THRESHOLD
+    true = near.sum(axis=1) - 1
+    mine = np.array([found[i].n_links for i in range(2500)])
+    assert 250 < true.sum() and (mine <= true).all() and mine.sum() >= 0.99 * true.sum()
+    points = spark.createDataFrame(
+        [(b"%016d" % i, v.tobytes(), 1, 3, 64, 1) for i, v in enumerate(units)],
+        "node binary, unit binary, copies long, label long, dims long, shards long")
+    shards = vectors.shards_of(points, vectors.THRESHOLD).select("beam", "graph").collect()
+    assert len(shards) == 1 and all(r.beam > 0 and len(r.graph) > 1000 for r in shards)
 
 
 def test_own_points_and_samples_without_a_link_are_no_evidence():
@@ -281,29 +361,6 @@ def test_own_points_and_samples_without_a_link_are_no_evidence():
     assert vectors.audited_beam(graph, x[:10], 0.98, 32, 48, 0.99, 3, own[:10]) is not None
 
 
-def test_rare_links_between_and_within_shards_are_all_found(monkeypatch):
-    rng = np.random.default_rng(12)
-    x = rng.normal(size=(3000, 16))
-    x[2990:] = x[:10] + rng.normal(size=(10, 16)) * 0.01
-    x /= np.linalg.norm(x, axis=1)[:, None]
-    monkeypatch.setattr(vectors, "GRAPH_VALUES", 0)
-    # a graph that finds nothing but the query's own point: a cut that only an audit can notice
-    monkeypatch.setattr(vectors.Graph, "above", lambda self, q, t, beam: np.flatnonzero(
-        self.points @ q.astype(np.float32) > 0.99999).tolist())
-
-    def batch(block, which):
-        return pa.RecordBatch.from_pydict({
-            "label": [1] * len(which), "dims": [16] * len(which), "shard": [0] * len(which),
-            "lane": [0] * len(which), "block": [block] * len(which),
-            "node": [b"%d" % i for i in which], "unit": [x[i].tobytes() for i in which]})
-    for shard in (range(3000), range(2500, 3000)):
-        found = {(int(r["a"]), int(r["b"])) for out in vectors._search(0.98)(
-            iter([batch(-1, shard), batch(0, range(3000))])) for r in out.to_pylist()}
-        near = np.argwhere(x @ x[list(shard)].T >= 0.98)
-        assert found == {(int(i), shard[j]) for i, j in near if i != shard[j]}
-        assert len(found) >= 10
-
-
 # ----------------------------------------------------------------- resampling --
 def test_k_th_largest_is_exact(spark):
     rng = random.Random(7)

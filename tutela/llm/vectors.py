@@ -1,22 +1,27 @@
 """Near duplicates of vectors: navigable small-world graphs per shard, audited, and components.
 
 Vectors are compared within their label only. Equal vectors of a label are one point, counted once
-for each copy. Points of a label are dealt to shards of ``SHARD_ROWS`` or so; a hierarchical
-navigable small-world graph is built over each shard and every point of the label is sent to every
-shard of it in blocks. A task first scans its shard exactly, some queries in random order at a
-time, until ``AUDIT`` of them have a link with a point other than their own. Only these are evidence:
-on them it audits the beam of a search, which returns all points above the threshold that it can
-reach, and widens it until ``RECALL`` of the links are found, both of all links and of the mean
-query's. The other queries are searched with that beam. Where links are too rare for an audit, or
-even a beam as wide as the shard misses more, which a graph in several parts can cause, the task scans
-to the end, so links there are exact. So do tasks on shards of fewer than ``GRAPH_VALUES`` numbers:
-there a product of matrices costs less than building and searching a graph.
+for each copy. Points of a label are dealt to shards of ``SHARD_VALUES`` numbers at most. Over each
+shard of ``GRAPH_POINTS`` points or more a hierarchical navigable small-world graph is built once,
+audited, and written to the shared folder; every point of the label is then sent to every shard of
+it in blocks, and a search returns all points above the threshold that it can reach.
+
+An audit asks for the links of points of the shard, and of vectors turned away from such points by
+angles up to the threshold's, which have links whether or not the data hold any. A query's own
+point is no link. The beam is widened until ``RECALL`` of these links are found, both of all and of
+the mean query's. Where even a beam as wide as the shard misses more, which a graph in several parts
+can cause, and in shards of fewer points, where a product of matrices costs less than a graph, the
+shard is scanned, so links there are exact.
+
+A task tells how many links each query has in its shard and enough of them to connect what is
+connected: no more rows than queries and points, however many links a group of near copies has.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
+import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,13 +34,14 @@ from tutela.llm.minhash import sorted_groups
 from tutela.session import keep
 
 THRESHOLD = 0.98
-SHARD_ROWS = 8192
-BLOCK = 8192           # queries that one task sends through a shard
+SHARD_VALUES = 1 << 22  # numbers of a shard, 32 MB
+GRAPH_POINTS = 2048
+BLOCK = 8192           # queries that are sent through a shard side by side
+LANES = 4              # tasks that share the blocks of a shard; each gets a copy of its graph
 NEIGHBOURS = 12
 BUILD_BEAM = 40
 BEAM = 32
-AUDIT = 48             # queries with a link that an audit rests on
-GRAPH_VALUES = 1 << 24
+AUDIT = 48             # points, and as many vectors near points, that an audit asks about
 SCAN = 512             # queries that a scan compares with the shard at a time
 RECALL = 0.99
 
@@ -137,6 +143,30 @@ class Graph:
             self.links.append({i: np.zeros(0, np.int64)})
             self.entry = i
 
+    def dump(self) -> bytes:
+        """Levels, entry and links; the points are kept apart."""
+        parts = {"entry": np.array([self.entry])}
+        for lv, links in enumerate(self.links):
+            parts[f"at{lv}"] = np.fromiter(links, np.int32, len(links))
+            parts[f"size{lv}"] = np.fromiter(map(len, links.values()), np.int32, len(links))
+            parts[f"to{lv}"] = np.concatenate(list(links.values())).astype(np.int32)
+        out = io.BytesIO()
+        np.savez(out, **parts)
+        return out.getvalue()
+
+    @classmethod
+    def load(cls, raw: bytes, points: np.ndarray) -> Graph:
+        self = cls.__new__(cls)
+        self.points = points.astype(np.float32)
+        self.mark, self.turn = np.zeros(len(points), np.int64), 0
+        with np.load(io.BytesIO(raw)) as parts:
+            self.entry, self.links = int(parts["entry"][0]), []
+            for lv in range((len(parts.files) - 1) // 3):
+                near = np.split(parts[f"to{lv}"].astype(np.int64),
+                                np.cumsum(parts[f"size{lv}"])[:-1])
+                self.links.append(dict(zip(parts[f"at{lv}"].tolist(), near)))
+        return self
+
     def above(self, q: np.ndarray, threshold: float, beam: int) -> list[int]:
         """Points found with a cosine of about ``threshold`` or more."""
         q = q.astype(np.float32)
@@ -164,6 +194,23 @@ def audited_beam(graph: Graph, queries: np.ndarray, threshold: float, beam: int
     return None
 
 
+def evidence(points: np.ndarray, threshold: float, audit: int = AUDIT, seed: int = 7) \
+        -> tuple[np.ndarray, np.ndarray]:
+    """Queries of an audit, and each one's own place (-1: none): points, and vectors at an angle to
+    points whose cosine lies between the threshold and 1."""
+    rng = np.random.default_rng(seed)
+    some = rng.choice(len(points), min(audit, len(points)), replace=False)
+    base = points[some]
+    away = rng.normal(size=base.shape)
+    away -= (away * base).sum(axis=1)[:, None] * base
+    size = np.linalg.norm(away, axis=1)[:, None]
+    away = np.divide(away, size, out=np.zeros_like(away), where=size > 0)
+    cosine = rng.uniform(min(threshold + 1e-6, 1.0), 1.0, len(some))[:, None]
+    near = cosine * base + np.sqrt(1 - cosine * cosine) * away
+    near /= np.linalg.norm(near, axis=1)[:, None]
+    return np.concatenate([base, near]), np.concatenate([some, np.full(len(some), -1)])
+
+
 def _scanned(points: np.ndarray, single: np.ndarray, queries: np.ndarray, threshold: float) \
         -> list[np.ndarray]:
     """Places of all points with a cosine of ``threshold`` or more to each query; candidates in
@@ -204,88 +251,128 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict(out, schema=_POINTS)
 
 
-_FOUND = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+_SHARD = pa.schema([("label", pa.int64()), ("dims", pa.int64()), ("shard", pa.int64()),
+                    ("names", pa.binary()), ("unit", pa.binary()), ("counts", pa.binary()),
+                    ("graph", pa.binary()), ("beam", pa.int64())])
+
+
+def _build(threshold: float):
+    """One row for each shard: its points and, if it has enough of them, its graph and the beam that
+    passed the audit (0: to be scanned)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (label, dims, shard), table in sorted_groups(batches, ["label", "dims", "shard"]):
+            unit = b"".join(table.column("unit").to_pylist())
+            points = np.frombuffer(unit, float).reshape(table.num_rows, -1)
+            graph, beam = b"", 0
+            if table.num_rows >= GRAPH_POINTS:
+                built = Graph(points)
+                queries, own = evidence(points, threshold)
+                beam = audited_beam(built, queries, threshold, BEAM, len(queries), RECALL, 3,
+                                    own) or 0
+                graph = built.dump() if beam else b""
+            yield pa.RecordBatch.from_pydict({
+                "label": [int(label)], "dims": [int(dims)], "shard": [int(shard)],
+                "names": [b"".join(table.column("node").to_pylist())], "unit": [unit],
+                "counts": [table.column("copies").to_numpy().astype("<i8").tobytes()],
+                "graph": [graph], "beam": [beam]}, schema=_SHARD)
+    return run
 
 
 class _Shard:
-    """Points in single precision; their graph is built when a search first asks for it."""
-
-    def __init__(self, points: np.ndarray):
-        self.points = points
-        self.single = points.astype(np.float32)
-        self._graph: Graph | None = None
-
-    @property
-    def graph(self) -> Graph:
-        if self._graph is None:
-            self._graph = Graph(self.points)
-        return self._graph
-
-
-def _hits(shard: _Shard, exact: np.ndarray, queries: np.ndarray, own: np.ndarray,
-          threshold: float) -> Iterator[tuple[int, np.ndarray]]:
-    """(query, places of its points above the threshold), in random order of the queries."""
-    order = np.random.default_rng(3).permutation(len(queries))
-    linked: list[int] = []
-    beam, audited = None, False
-    for begin in range(0, len(order), SCAN):
-        part = order[begin:begin + SCAN]
-        if beam is None:
-            found = _scanned(exact, shard.single, queries[part], threshold)
-        else:
-            found = [np.array(shard.graph.above(queries[i], threshold - 1e-5, beam), np.int64)
-                     for i in part]
-            found = [at[exact[at] @ queries[i] >= threshold] for i, at in zip(part, found)]
-        for i, at in zip(part.tolist(), found):
-            yield i, at
-            if not audited and (at != own[i]).any():
-                linked.append(i)
-        # with few queries left a scan is cheaper than a graph
-        if not audited and exact.size >= GRAPH_VALUES and len(linked) >= AUDIT \
-                and len(order) - begin > 4 * SCAN:
-            beam = audited_beam(shard.graph, queries[linked], threshold, BEAM, len(linked), RECALL,
-                                3, own[linked])
-            audited = True
+    """A shard as ``_build`` wrote it."""
+
+    def __init__(self, row: dict):
+        self.exact = np.frombuffer(row["unit"], float).reshape(-1, row["dims"])
+        width = len(row["names"]) // max(len(self.exact), 1)
+        self.names = [row["names"][i:i + width] for i in range(0, len(row["names"]), width)]
+        self.place = {name: i for i, name in enumerate(self.names)}
+        self.copies = np.frombuffer(row["counts"], "<i8")
+        self.single, self.beam = self.exact.astype(np.float32), row["beam"]
+        self.graph = Graph.load(row["graph"], self.exact) if self.beam else None
+
+    def hits(self, queries: np.ndarray, threshold: float) -> Iterator[np.ndarray]:
+        """Places of each query's points with a cosine of ``threshold`` or more."""
+        for at in range(0, len(queries), SCAN):
+            part = queries[at:at + SCAN]
+            if self.graph is None:
+                yield from _scanned(self.exact, self.single, part, threshold)
+                continue
+            for q in part:
+                found = np.array(self.graph.above(q, threshold - 1e-5, self.beam), np.int64)
+                yield found[self.exact[found] @ q >= threshold]
+
+
+class _Forest:
+    """Links that connect something new, among those told one after the other."""
+
+    def __init__(self):
+        self.parent: dict[bytes, bytes] = {}
+
+    def root(self, node: bytes) -> bytes:
+        parent = self.parent
+        while (up := parent.setdefault(node, node)) != node:
+            parent[node] = node = parent.setdefault(up, up)
+        return node
+
+    def new(self, a: bytes, b: bytes) -> bool:
+        a, b = self.root(a), self.root(b)
+        self.parent[b] = a
+        return a != b
+
+
+_FOUND = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("n", pa.int64())])
 
 
 def _search(threshold: float):
-    """Links between a shard's points and the queries of one block."""
+    """Of each query of a block its number of linked rows in the shard (b is null), and links that
+    connect all that are linked there (n is null)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, shard, names, exact = None, None, [], None
+        last, shard, forest = None, None, None
         for (*place, block), table in sorted_groups(
                 batches, ["label", "dims", "shard", "lane", "block"]):
-            unit = np.frombuffer(b"".join(table.column("unit").to_pylist()), float) \
-                .reshape(table.num_rows, -1)
-            nodes = table.column("node").to_pylist()
             if block < 0:
-                last, names, exact = place, nodes, unit
-                shard = _Shard(unit)
+                last, shard, forest = place, _Shard(table.to_pylist()[0]), _Forest()
                 continue
             if last != place:
                 continue  # a shard without a point
-            place_of = {n: i for i, n in enumerate(names)}
-            own = np.array([place_of.get(n, -1) for n in nodes], np.int64)
-            a, b = [], []
-            for i, hits in _hits(shard, exact, unit, own, threshold):
-                for j in hits.tolist():
-                    if j != own[i]:
-                        a.append(nodes[i])
-                        b.append(names[j])
-                if len(a) > 50_000:
-                    yield pa.RecordBatch.from_pydict({"a": a, "b": b}, schema=_FOUND)
-                    a, b = [], []
-            yield pa.RecordBatch.from_pydict({"a": a, "b": b}, schema=_FOUND)
+            nodes = table.column("node").to_pylist()
+            queries = np.frombuffer(b"".join(table.column("unit").to_pylist()), float) \
+                .reshape(len(nodes), -1)
+            out: dict[str, list] = {"a": [], "b": [], "n": []}
+            for node, found in zip(nodes, shard.hits(queries, threshold)):
+                found = found[found != shard.place.get(node, -1)]
+                if not len(found):
+                    continue
+                edges = [shard.names[j] for j in found.tolist()
+                         if forest.new(node, shard.names[j])]
+                out["a"] += [node] * (len(edges) + 1)
+                out["b"] += [None, *edges]
+                out["n"] += [int(shard.copies[found].sum()), *[None] * len(edges)]
+            yield pa.RecordBatch.from_pydict(out, schema=_FOUND)
     return run
 
 
+def shards_of(points: DataFrame, threshold: float, shard_values: int = SHARD_VALUES) -> DataFrame:
+    """The shards of points (node, unit, copies, label, dims, shards, ...), written with their audited
+    graphs: (label, dims, shard, names, unit, counts, graph, beam)."""
+    home = F.pmod(F.xxhash64("node"), F.col("shards")).alias("shard")
+    rows = points.select("label", "dims", home, "node", "unit", "copies")
+    key = ["label", "dims", "shard"]
+    return keep(rows.repartition(*key).sortWithinPartitions(*key, "node").mapInArrow(
+        _build(threshold), "label long, dims long, shard long, names binary, unit binary, "
+                           "counts binary, graph binary, beam long"), "shards")
+
+
 def near_vectors(rows: DataFrame, threshold: float = THRESHOLD,
-                 shard_rows: int = SHARD_ROWS) -> DataFrame:
+                 shard_values: int = SHARD_VALUES) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of (vec_id, embedding, label, ...).
 
     Links join rows of one label and dimension with a cosine of ``threshold`` or more in double
     precision. A row with a null label, or a vector that is null, empty, zero or has a null or
     non-finite component, has none. A null vec_id counts as a link of others and cannot name a
-    component. Repeated rows are rows of their own.
+    component. Repeated rows are rows of their own; an empty table gives none; other columns are
+    not read. ``n_links`` counts what a vector's own searches find: all of it where shards are
+    scanned, ``RECALL`` of it by the audits elsewhere.
     """
     picked = rows.select(F.col("vec_id").cast("long").alias("vec_id"),
                          F.col("label").cast("long").alias("label"),
@@ -297,30 +384,27 @@ def near_vectors(rows: DataFrame, threshold: float = THRESHOLD,
         F.min("vec_id").alias("least"), (F.length(F.min("unit")) / 8).cast("long").alias("dims")),
         "points")
     counts = points.groupBy("label", "dims").agg(F.count("*").alias("n")).select(
-        "label", "dims", F.ceil(F.col("n") / shard_rows).cast("long").alias("shards"),
-        F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks"))
-    own = points.join(counts, ["label", "dims"]).select(
-        "label", "dims", "node", "unit", "shards", "blocks",
-        F.pmod(F.xxhash64("node"), F.col("shards")).alias("home"),
-        F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).alias("block"))
-    zero = F.lit(0).cast("long")
-    # the graph of a shard is built by each task that sends some blocks through it
-    lanes = F.least(F.col("blocks"), F.lit(4))
-    members = own.select("label", "dims", F.col("home").alias("shard"),
-                         F.explode(F.sequence(zero, lanes - 1)).alias("lane"),
-                         F.lit(-1).cast("long").alias("block"), "node", "unit")
-    queries = own.select("label", "dims", F.explode(F.sequence(zero, F.col("shards") - 1))
-                         .alias("shard"), F.pmod("block", lanes).alias("lane"), "block", "node",
-                         "unit")
+        "label", "dims", F.ceil(F.col("n") * F.col("dims") / shard_values).cast("long")
+        .alias("shards"), F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks"))
+    own = points.join(counts, ["label", "dims"])
+    shards = shards_of(own, threshold, shard_values)
+    zero, none = F.lit(0).cast("long"), F.lit(None).cast("binary")
+    lanes = F.least(F.col("blocks"), F.lit(LANES))
+    members = shards.join(counts.select("label", "dims", "blocks"), ["label", "dims"]).select(
+        "label", "dims", "shard", F.explode(F.sequence(zero, lanes - 1)).alias("lane"),
+        F.lit(-1).cast("long").alias("block"), none.alias("node"), "unit", "names", "counts",
+        "graph", "beam")
+    block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
+    queries = own.select(
+        "label", "dims", F.explode(F.sequence(zero, F.col("shards") - 1)).alias("shard"),
+        F.pmod(block, lanes).alias("lane"), block.alias("block"), "node", "unit",
+        none.alias("names"), none.alias("counts"), none.alias("graph"), zero.alias("beam"))
     key = ["label", "dims", "shard", "lane"]
-    links = keep(members.unionByName(queries).repartition(*key).sortWithinPartitions(*key, "block")
-                 .mapInArrow(_search(threshold), "a binary, b binary"), "links")
-    both = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    both = keep(both, "pairs")
-    roots = components(both, "vectors")
-    each = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    linked = each.join(points.select(F.col("node").alias("b"), "copies"), "b").groupBy("a").agg(
-        F.sum("copies").alias("others"))
+    found = keep(members.unionByName(queries).repartition(*key).sortWithinPartitions(*key, "block")
+                 .mapInArrow(_search(threshold), "a binary, b binary, n long"), "links")
+    edges = found.filter(F.col("b").isNotNull()).select("a", "b")
+    roots = components(edges, "vectors")
+    linked = found.filter(F.col("b").isNull()).groupBy("a").agg(F.sum("n").alias("others"))
     placed = points.select("node", "copies", "least").join(
         roots.select(F.col("node").alias("n"), "root"), F.col("node") == F.col("n"), "left").join(
         linked, F.col("node") == F.col("a"), "left").select(
