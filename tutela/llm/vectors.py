@@ -134,7 +134,7 @@ class Graph:
             links[i] = mine
             for j in mine.tolist():
                 near = np.append(links[j], i)
-                if len(near) > most:
+                if len(near) > most + neighbours:  # some at a time: choosing is the dear part
                     worth = self.points[near] @ self.points[j]
                     order = np.argsort(-worth, kind="stable")
                     near = self._choose([(float(worth[k]), int(near[k])) for k in order], most)
