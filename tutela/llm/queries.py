@@ -160,7 +160,42 @@ SELECT doc_id, n_sentences, sentence_ids,
 FROM h"""
 
 
+#: Smallest id that each id reaches by links (a, b) of both directions.
+_REACH = """
+reach AS (SELECT a AS node, a AS least FROM links UNION SELECT b, least FROM reach JOIN links
+          ON a = node WHERE least < b),
+component AS (SELECT node, min(least) AS component_id FROM reach GROUP BY node)"""
+
 SQL: dict[str, str] = {
+    "op3_minhash_near_dedup": rf"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+g AS (SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5
+                 THEN [array_to_string(words, ' ')] ELSE list_transform(range(1, len(words) - 3),
+                     lambda p: array_to_string(words[p:p + 4], ' ')) END) AS shingles FROM w),
+s AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM g),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m,
+                  count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+           GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM common WHERE 100 * c >= 85 * (n + m - c)),{_REACH}
+SELECT doc_id, len(shingles) AS n_shingles, least(doc_id, coalesce(component_id, doc_id))
+           AS component_id, doc_id <= coalesce(component_id, doc_id) AS kept
+FROM g LEFT JOIN component ON node = doc_id""",
+    "op8_embedding_near_dedup": rf"""
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+      AND list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label
+          AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+          WHERE list_inner_product(a.x, b.x) / sqrt(list_inner_product(a.x, a.x)
+                * list_inner_product(b.x, b.x)) >= 0.98),{_REACH},
+n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(component_id, vec_id))
+           AS component_id, vec_id <= coalesce(component_id, vec_id) AS kept
+FROM embeddings LEFT JOIN n ON a = vec_id LEFT JOIN component ON node = vec_id""",
     "op10_license_scan": _license_sql(),
     "op1_substring_dedup": r"""
 WITH w AS (SELECT row_number() OVER () AS r, doc_id,
