@@ -196,6 +196,16 @@ VIEWS |= {
                    AS disability_flag
         FROM x_all""",
     "x_map": VIEWS["v_map"].replace("v_students", "x_all"),
+    "x_dim": """
+        SELECT student_id, upper(left(name, 1)) || lower(substr(name, 2)) AS first_name,
+               CASE WHEN dob LIKE '%/%' THEN CAST(try_strptime(trim(dob), '%d/%m/%Y') AS DATE)
+                    ELSE try_cast(dob AS DATE) END AS dob,
+               CASE first_nations_flag WHEN 'Y' THEN 'Yes' WHEN 'N' THEN 'No' ELSE 'Unknown' END
+                   AS first_nations,
+               CASE disability_flag WHEN 'Y' THEN 'Yes' WHEN 'N' THEN 'No' ELSE 'Unknown' END
+                   AS disability
+        FROM (SELECT *, trim(first_name) AS name FROM x_people)
+        WHERE student_id NOT IN (SELECT duplicate_id FROM x_map)""",
     "x_rows": f"""
         SELECT student_id, unit_code, term_code,
                CASE WHEN mark IS NOT NULL AND {_hit('mark_out_of_range', _KEY3)}
@@ -239,19 +249,15 @@ _KNOWN_SPELLINGS = ", ".join(f"'{v}'" for v in (
           UNION ALL
           SELECT 'duplicate_student', student_id IN (SELECT duplicate_id FROM x_map) FROM x_copies
           UNION ALL
-          SELECT 'missing_equity_flag', student_id NOT IN (SELECT duplicate_id FROM x_map)
+          SELECT 'missing_equity_flag', student_id IN (SELECT student_id FROM x_dim
+              WHERE 'Unknown' IN (first_nations, disability))
           FROM x_all WHERE {_FLAG_HIT}
           UNION ALL
-          SELECT 'name_whitespace_case', (
-              SELECT count(*) = 0 FROM x_people WHERE student_id NOT IN (
-                  SELECT duplicate_id FROM x_map)
-                  AND trim(first_name) <> trim(trim(first_name)))
+          SELECT 'name_whitespace_case', (SELECT count(*) = 0 FROM x_dim
+              WHERE first_name LIKE ' %' OR first_name LIKE '% ')
           FROM x_all WHERE {_hit('name_whitespace_case', 'student_id')}
           UNION ALL
-          SELECT 'dob_format_dmy', (
-              SELECT count(*) = 0 FROM x_people WHERE student_id NOT IN (
-                  SELECT duplicate_id FROM x_map)
-                  AND coalesce(try_strptime(dob, '%d/%m/%Y'), try_cast(dob AS DATE)) IS NULL)
+          SELECT 'dob_format_dmy', (SELECT count(*) = 0 FROM x_dim WHERE dob IS NULL)
           FROM x_all WHERE dob IS NOT NULL AND {_hit('dob_format_dmy', 'student_id')})
     GROUP BY ROLLUP (defect_type)""")
 def dq_catch_rate(b: Bound):
