@@ -66,15 +66,28 @@ def test_resolution_against_brute_force(spark):
                      rng.choice(["p", "q", None])))
     rows += [rows[5], rows[5], (None, "a.org/1", datetime(2024, 1, 3), "revisit", 304, None, None)]
     table = spark.createDataFrame(rows, SCHEMA).withColumn("outcome", F.lit("clash"))
-    for seconds in (3600, 10 ** 9):
+    for seconds, most in ((3600, 50_000), (10 ** 9, 50_000), (10 ** 9, 7), (36_000, 2)):
         got = Counter((r.record_id, r.refers_to, r.outcome,
                        tuple(sorted(r.headers.items())) if r.headers is not None else None)
-                      for r in revisits.resolve(table, seconds).collect())
+                      for r in revisits.resolve(table, seconds, most).collect())
         assert got == brute(rows)
     assert revisits.resolve(table.limit(0)).collect() == []
 
 
 # ------------------------------------------------------------------- licences --
+def test_full_blocks_are_cut_by_count(spark):
+    start = datetime(2024, 1, 1)
+    rows = [("hot", start + timedelta(seconds=7 * i)) for i in range(3000)] + [
+        (f"u{i}", start) for i in range(50)] + [("old", datetime(1969, 12, 31, 23, 59))]
+    table = spark.createDataFrame(rows, "canonical string, ts timestamp")
+    cut = revisits._blocks(table, 6 * 3600, 100)
+    most = cut.groupBy("canonical", "block").count().agg(F.max("count")).first()[0]
+    assert most <= 110 and cut.count() == 3051 and cut.columns == ["canonical", "ts", "block"]
+    order = [r.block for r in cut.filter("canonical = 'hot'").orderBy("ts").collect()]
+    assert order == sorted(order)
+    assert cut.filter("canonical = 'old'").first().block == -revisits.SPANS
+
+
 def test_lists_are_in_normal_form_and_every_sentence_has_an_anchor(spark):
     known = spark.createDataFrame(list(licences.SENTENCES.items()), "id string, s string")
     assert known.filter(licences.normalise(F.col("s")) != F.col("s")).count() == 0

@@ -4,9 +4,11 @@ A revisit is joined as of its time with the latest earlier full response of its
 response's validators must not contradict the revisit's; the resolved record has the response's
 headers, updated by those that a not-modified answer may change.
 
-Captures of one URL are cut into blocks of ``BLOCK_SECONDS``. Within a block a running window finds
-the latest response; what a block inherits comes from one row for each URL and block. So a URL with
-a third of all captures is spread over its blocks.
+Captures of one URL are cut into blocks of ``BLOCK_SECONDS``, and one that holds more than
+``BLOCK_ROWS`` of them into as many equal spans of time as it holds that many. Within a block a
+running window finds the latest response; what a block inherits comes from one row for each URL and
+block. So a URL with a third of all captures is spread over its blocks. Revisits without a URL or
+a time have no earlier response and take no part in this.
 """
 
 from __future__ import annotations
@@ -14,7 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tutela.session import keep
+
 BLOCK_SECONDS = 6 * 3600
+BLOCK_ROWS = 50_000
+SPANS = 1 << 20  # of a block at most
 #: Headers that a 304 answer may change (RFC 9110, RFC 9111).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 #: Query parameters that name a visit and not a page.
@@ -40,7 +46,23 @@ def _same(theirs: Column, ours: Column) -> Column:
     return F.regexp_replace(theirs, "^W/", "") == F.regexp_replace(ours, "^W/", "")
 
 
-def resolve(captures: DataFrame, block_seconds: int = BLOCK_SECONDS) -> DataFrame:
+def _blocks(rows: DataFrame, block_seconds: int, block_rows: int) -> DataFrame:
+    """The rows with ``block``: their time's block, and its part where the URL's block is full."""
+    micros = F.unix_micros("ts")
+    width = 1_000_000 * block_seconds
+    whole = rows.withColumn("block", F.floor(micros / width))
+    full = keep(whole.groupBy("canonical", "block").agg(F.count("*").alias("n"))
+                .filter(F.col("n") > block_rows).select(
+        F.col("canonical").alias("c"), F.col("block").alias("b"),
+        F.least(F.ceil(F.col("n") / block_rows), F.lit(SPANS)).alias("spans")), "full-blocks")
+    part = F.floor((micros - F.col("block") * width) * F.coalesce("spans", F.lit(1)) / width)
+    return whole.join(full, (F.col("canonical") == F.col("c")) & (F.col("block") == F.col("b")),
+                      "left").withColumn("block", F.col("block") * SPANS + part) \
+        .drop("c", "b", "spans")
+
+
+def resolve(captures: DataFrame, block_seconds: int = BLOCK_SECONDS,
+            block_rows: int = BLOCK_ROWS) -> DataFrame:
     """A row for each revisit of (record_id, url, ts, kind, status, headers, payload_digest, ...):
     record_id, canonical, ts, refers_to, outcome, headers, payload_digest.
 
@@ -50,18 +72,19 @@ def resolve(captures: DataFrame, block_seconds: int = BLOCK_SECONDS) -> DataFram
     where both are given; no validator, if nothing could be compared. Only resolved rows have
     headers and digest. Of responses of one time the one of the largest record_id is the latest;
     a response of the revisit's own time is not earlier. A null url or ts gives no earlier
-    response. Repeated rows come back as often as given; other columns are not used.
+    response. Repeated rows come back as often as given, an empty table gives none; other columns
+    are not used.
     """
     rows = captures.select(
         "record_id", canonical_url(F.col("url")).alias("canonical"),
         F.col("ts").cast("timestamp").alias("ts"), "kind", "status",
         F.coalesce("headers", F.create_map().cast("map<string,string>")).alias("headers"),
-        F.col("payload_digest").alias("digest"),
-        F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / (1_000_000 * block_seconds))
-        .alias("block"))
-    full = rows.filter((F.col("kind") == "response") & (F.col("status") == 200)
-                       & F.col("ts").isNotNull() & F.col("canonical").isNotNull())
-    revisits = rows.filter(F.col("kind") == "revisit")
+        F.col("payload_digest").alias("digest"))
+    known = F.col("ts").isNotNull() & F.col("canonical").isNotNull()
+    is_full = (F.col("kind") == "response") & (F.col("status") == 200)
+    is_revisit = F.col("kind") == "revisit"
+    placed_rows = _blocks(rows.filter(known & (is_full | is_revisit)), block_seconds, block_rows)
+    full, revisits = placed_rows.filter(is_full), placed_rows.filter(is_revisit)
     stored = F.struct("record_id", "headers", "digest")
     timed = revisits.select("*", F.lit(0).alias("late"), F.lit(None).cast(
         full.select(stored).schema[0].dataType).alias("found")).unionByName(
@@ -74,8 +97,7 @@ def resolve(captures: DataFrame, block_seconds: int = BLOCK_SECONDS) -> DataFram
     closing = full.groupBy("canonical", "block").agg(
         F.max_by(stored, F.struct("ts", "record_id")).alias("last"))
     blocks = closing.unionByName(
-        revisits.filter(F.col("canonical").isNotNull() & F.col("block").isNotNull()).select(
-            "canonical", "block").distinct().withColumn(
+        revisits.select("canonical", "block").distinct().withColumn(
             "last", F.lit(None).cast(closing.schema["last"].dataType))) \
         .groupBy("canonical", "block").agg(F.max_by("last", F.when(F.col("last").isNotNull(), 1))
                                            .alias("last"))
@@ -86,9 +108,11 @@ def resolve(captures: DataFrame, block_seconds: int = BLOCK_SECONDS) -> DataFram
         .filter(F.col("inherited").isNotNull())
     joined = within.join(inherited, (F.col("canonical") == F.col("c"))
                          & (F.col("block") == F.col("b")), "left")
-    known = F.col("canonical").isNotNull() & F.col("ts").isNotNull()
-    placed = joined.select("record_id", "canonical", "ts", "headers", "digest", F.when(
-        known, F.coalesce("found", "inherited")).alias("of"))
+    columns = ("record_id", "canonical", "ts", "headers", "digest")
+    placed = joined.select(*columns, F.coalesce("found", "inherited").alias("of"))
+    alone = rows.filter(is_revisit & ~known)
+    placed = placed.unionByName(alone.select(*columns, F.lit(None).cast(
+        placed.schema["of"].dataType).alias("of")))
     theirs, ours = F.col("headers"), F.col("of.headers")
     tags = _same(theirs["etag"], ours["etag"])
     dates = theirs["last-modified"] == ours["last-modified"]
