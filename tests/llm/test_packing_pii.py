@@ -191,3 +191,55 @@ def test_equal_values_stay_linked_across_documents_and_spellings(docs):
     assert got[1].startswith(day.strftime("%d.%m.%Y"))
     assert got[2][5:] == got[3].replace(" ", "") and got[4:] == [None, ""]
     assert pii.pseudonyms(docs([]), KEY).collect() == []
+
+
+@pytest.mark.parametrize("spellings", [
+    ("+442071838750", "+44 20 7183 8750", "+44-20-7183-8750", "+44 (20) 71838750"),
+    ("+12125550187", "+1 212 555 0187", "(212) 555-0187", "212-555-0187", "1-212-555-0187"),
+    ("+3725551234", "+372 555 1234"), ("+81312345678", "+81 3 1234 5678"),
+    ("+1 112 555 0187", "+11125550187")])
+def test_a_phone_number_has_one_pseudonym_in_all_spellings(spellings):
+    for other in range(30):
+        key = b"key %d" % other
+        new = [pii.pseudonymise(f"x {t} y", key) for t in spellings]
+        assert all(len(kinds) == 1 for _, kinds in new)
+        digits = {re.sub(r"\D", "", text).removeprefix("1" if "212" in spellings[0] else "")
+                  for text, _ in new}
+        assert len(digits) == 1
+        for (text, _), old in zip(new, spellings):
+            assert pii.pseudonymise(text, key, back=True)[0] == f"x {old} y"
+            code = pii.calling_code(re.sub(r"\D", "", old))
+            if old.startswith("+"):
+                assert text.startswith(f"x +{code}")
+
+
+def test_numbers_outside_the_plan_do_not_meet_those_inside():
+    inside = [f"+1 212 555 {i:04}" for i in range(300)]
+    outside = [f"+1 112 555 {i:04}" for i in range(300)]
+    new = [pii.phone(t, KEY) for t in inside + outside]
+    assert len(set(new)) == 600
+    assert [pii._planned(re.sub(r"\D", "", t)[1:]) for t in new] == [True] * 300 + [False] * 300
+
+
+def test_a_key_must_be_given(spark):
+    with pytest.raises(ValueError):
+        pii.session_key(spark)
+    demo = pii.session_key(spark, pii.DEMONSTRATION_KEY)
+    try:
+        spark.conf.set(pii.KEY_SETTING, "")
+        with pytest.raises(ValueError):
+            pii.session_key(spark)
+        spark.conf.set(pii.KEY_SETTING, "x" * 100 + "a")
+        one = pii.session_key(spark)
+        spark.conf.set(pii.KEY_SETTING, "x" * 100 + "b")
+        two = pii.session_key(spark)
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+    assert len({demo, one, two}) == 3 and {len(k) for k in (demo, one, two)} == {64}
+
+
+def test_long_and_repeated_texts_are_changed_alike(docs):
+    long = "call +44 20 7183 8750 or write to ann@example.org, " * 20_000
+    got = [r.text for r in pii.pseudonyms(docs([(1, long), (1, long), (2, "")]), KEY).collect()]
+    assert got[0] == got[1] and len(got[0]) == len(long) and got[2] == ""
+    assert got[0] == pii.pseudonymise(long[:51], KEY)[0] * 20_000

@@ -94,32 +94,54 @@ def card(text: str, key: bytes, back: bool = False) -> str | None:
     return _reform(text, payload + luhn_digit(payload))
 
 
+#: Country calling codes of one and two digits; all others have three (ITU E.164).
+SHORT_CODES = ("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 "
+               "61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98").split()
+#: Three digits that can begin an area or exchange of the North American plan.
+PLAN = [n for n in range(200, 1000) if n % 100 != 11]
+
+
+def calling_code(digits: str) -> str:
+    return next((c for c in (digits[:1], digits[:2]) if c in SHORT_CODES), digits[:3])
+
+
+def _planned(digits: str) -> bool:
+    """Is it ten digits of the North American plan: area and exchange begin with 2 to 9 and do not
+    end with 11?"""
+    return len(digits) == 10 and int(digits[:3]) in PLAN and int(digits[3:6]) in PLAN
+
+
+def _plan_number(digits: str, key: bytes, back: bool) -> str:
+    n = len(PLAN)
+    value = (PLAN.index(int(digits[:3])) * n + PLAN.index(int(digits[3:6]))) * 10_000 \
+        + int(digits[6:])
+    value, last = divmod(permute(value, n * n * 10_000, key, "national", back), 10_000)
+    return f"{PLAN[value // n]}{PLAN[value % n]}{last:04}"
+
+
 def phone(text: str, key: bytes, back: bool = False) -> str | None:
-    """An international number of 8 to 15 digits; the country code, up to the first separator or
-    one digit, stays."""
-    code = re.match(r"\+(\d{1,3})(?=\D)|\+(\d)", text)
+    """An international number of 8 to 15 digits. The country's calling code stays; the rest depends on
+    its digits alone, so all spellings of a number have one pseudonym, and a number of the North
+    American plan the same with and without +1."""
     digits = re.sub(r"\D", "", text)
     if not 8 <= len(digits) <= 15:
         return None
-    kept = code.group(1) or code.group(2)
-    return _reform(text, kept + _digits(digits[len(kept):], key, f"phone{kept}", back))
-
-
-#: Three digits that can begin an area or exchange of the North American plan.
-PLAN = [n for n in range(200, 1000) if n % 100 != 11]
+    code = calling_code(digits)
+    rest = digits[len(code):]
+    if code == "1" and _planned(rest):
+        return _reform(text, code + _plan_number(rest, key, back))
+    while True:  # numbers outside the plan stay outside it, or two could meet
+        rest = _digits(rest, key, f"phone{code}", back)
+        if code != "1" or not _planned(rest):
+            return _reform(text, code + rest)
 
 
 def national(text: str, key: bytes, back: bool = False) -> str | None:
-    """A number of the North American plan without a plus: area and exchange begin with 2 to 9 and
-    do not end with 11. The spelling with +1 is a kind of its own."""
+    """A number of the North American plan without a plus."""
     digits = re.sub(r"\D", "", text)
-    lead, area, exchange, line = digits[:-10], int(digits[-10:-7]), int(digits[-7:-4]), digits[-4:]
-    if area not in PLAN or exchange not in PLAN:
+    if not _planned(digits[-10:]):
         return None
-    n = len(PLAN)
-    value = (PLAN.index(area) * n + PLAN.index(exchange)) * 10_000 + int(line)
-    value, last = divmod(permute(value, n * n * 10_000, key, "national", back), 10_000)
-    return _reform(text, f"{lead}{PLAN[value // n]}{PLAN[value % n]}{last:04}")
+    return _reform(text, digits[:-10] + _plan_number(digits[-10:], key, back))
 
 
 def address(text: str, key: bytes, back: bool = False) -> str | None:
@@ -243,9 +265,14 @@ KEY_SETTING = "spark.tutela.pseudonym.key"
 DEMONSTRATION_KEY = "for tests and supplied tables only"
 
 
-def session_key(spark: SparkSession) -> bytes:
-    """The key named in the session's settings. The one written here hides nothing."""
-    return spark.conf.get(KEY_SETTING, DEMONSTRATION_KEY).encode()[:64]
+def session_key(spark: SparkSession, default: str | None = None) -> bytes:
+    """64 bytes made of the key in the session's settings. Without one, or with an empty one, there
+    are no pseudonyms; only the supplied tables may be given ``DEMONSTRATION_KEY`` as default, which
+    hides nothing."""
+    text = spark.conf.get(KEY_SETTING, None) or default
+    if not text:
+        raise ValueError(f"set {KEY_SETTING} to a secret key")
+    return hashlib.blake2b(text.encode(), digest_size=64).digest()
 
 
 def _pattern() -> re.Pattern:
@@ -305,8 +332,9 @@ def _run(others: list[str], key: bytes, back: bool):
 
 def pseudonyms(docs: DataFrame, key: bytes, back: bool = False) -> DataFrame:
     """The rows of (text, ...) with pseudonyms in ``text`` and ``kinds`` (array of the kinds
-    replaced). ``back`` undoes it under the same key. A null text stays null; a value that fails
-    its kind's check stays; other columns come back, a column ``kinds`` is replaced."""
+    replaced). ``back`` undoes it under the same key. A null text stays null, an empty one empty; a
+    value that fails its kind's check stays; rows that repeat are changed alike and all come back,
+    an empty table gives none; other columns come back, a column ``kinds`` is replaced."""
     others = [c for c in docs.columns if c != "kinds"]
     docs = docs.select(*others).withColumn("text", F.col("text").cast("string"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema),

@@ -85,7 +85,7 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.pseudonyms(_table(spark, folder, "documents").select("doc_id", "text"),
-                           pii.session_key(spark))
+                           pii.session_key(spark, pii.DEMONSTRATION_KEY))
     return found.select("doc_id", "text", F.size("kinds").cast("long").alias("n_values"),
                         F.array_join("kinds", ",").alias("kinds"))
 
