@@ -34,7 +34,8 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with pseudonyms for personal numbers and dates."""
-    return _with_text(pii.pseudonyms(docs, pii.session_key(spark)), docs.columns)
+    key = pii.session_key(spark, pii.DEMONSTRATION_KEY)
+    return _with_text(pii.pseudonyms(docs, key), docs.columns)
 
 
 def packing_plan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
