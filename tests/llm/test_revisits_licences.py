@@ -184,3 +184,37 @@ def test_order_of_sentences_matters(docs):
     parts = [licences.SENTENCES[i] for i in ("bsd-source", "bsd-grant", "bsd-binary")]
     assert licences.scan(docs([". ".join(parts)])).first().licences == []
     assert licences.scan(docs([])).collect() == []
+
+
+@pytest.mark.parametrize("tag, found", [
+    ("MIT OR Apache-2.0", ["Apache-2.0", "MIT"]), ("(MIT AND BSD-3-Clause)", ["BSD-3-Clause", "MIT"]),
+    ("GPL-2.0+", ["GPL-2.0-or-later"]), ("GPL-3.0", ["GPL-3.0-only"]), ("0BSD", ["0BSD"]),
+    ("CC0-1.0", ["CC0-1.0"]), ("GPL-3.0-or-later OR MIT", ["GPL-3.0-or-later", "MIT"]),
+    ("LGPL-2.1+ OR (MPL-2.0 AND Zlib)", ["LGPL-2.1-or-later", "MPL-2.0", "Zlib"]),
+    ("GPL-2.0-only WITH Classpath-exception-2.0", ["GPL-2.0-only"]), ("BSL-1.0", ["BSL-1.0"]),
+    ("LicenseRef-own OR MIT", ["MIT"]), ("LicenseRef-own", [])])
+def test_tag_expressions(docs, tag, found):
+    for text in (f"// SPDX-License-Identifier: {tag}", f"/* SPDX-License-Identifier: {tag} */\nint x;",
+                 f"# a file\n# SPDX-License-Identifier: {tag}\n# more"):
+        assert licences.scan(docs([text])).first().licences == found
+
+
+@pytest.mark.parametrize("text, found", [
+    ("        Apache License\n   Version 2.0, January 2004\n  http://www.apache.org/licenses/\n",
+     ["Apache-2.0"]),
+    ("  GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\n Copyright (C) 2007 Free",
+     ["GPL-3.0-only"]),
+    ("Boost Software License - Version 1.0 - August 17th, 2003\n\nPermission is", ["BSL-1.0"]),
+    ("This software is provided 'as-is', without any express or implied warranty. In no event\n"
+     "will it. Permission is granted to anyone to use this software for any purpose,\nincluding "
+     "commercial applications, and to alter it and redistribute it\nfreely, subject to the "
+     "following restrictions:\n", ["Zlib"])])
+def test_heads_of_texts(docs, text, found):
+    assert licences.scan(docs([text])).first().licences == found
+
+
+def test_long_and_repeated_texts_are_scanned_whole(docs):
+    long = "word " * 300_000 + "\nSPDX-License-Identifier: MIT\n"
+    got = licences.scan(docs([(1, long), (1, long), (2, "a")]).withColumn("licences", F.lit(3)))
+    assert sorted((r.doc_id, tuple(r.licences)) for r in got.collect()) == [
+        (1, ("MIT",)), (1, ("MIT",)), (2, ())]

@@ -17,7 +17,12 @@ from pyspark.sql import functions as F
 TAGS = ("MIT", "Apache-2.0", "GPL-3.0-only", "GPL-2.0-only", "BSD-2-Clause", "BSD-3-Clause", "ISC",
         "MPL-2.0", "Unlicense", "GPL-3.0-or-later", "GPL-2.0-or-later", "LGPL-3.0-only",
         "LGPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "AGPL-3.0-only",
-        "AGPL-3.0-or-later")
+        "AGPL-3.0-or-later", "0BSD", "AFL-3.0", "Apache-1.1", "Artistic-2.0", "BSD-4-Clause", "BSL-1.0",
+        "CC0-1.0", "CDDL-1.0", "EPL-1.0", "EPL-2.0", "EUPL-1.2", "LPPL-1.3c", "MIT-0", "MPL-1.1",
+        "MS-PL", "NCSA", "OFL-1.1", "PostgreSQL", "Python-2.0", "WTFPL", "X11", "Zlib")
+#: Tags that say no more than a version; they mean that version only.
+BARE_TAGS = ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
+TAG = "spdx license identifier "
 _FREE = ("this {} is free software you can redistribute it and or modify it under the terms of the gnu "
          "{} general public license as published by the free software foundation")
 _TERMS = ("you can redistribute it and or modify it under the terms of the gnu {}general public "
@@ -102,6 +107,31 @@ SENTENCES = {
     "mpl-form-short": "this source code form is subject to the terms of the mozilla public license v",
     "unlicense": "this is free and unencumbered software released into the public domain",
     "spdx": "spdx license identifier",
+    "apache-title": "apache license version 2 0 january 2004",
+    "gpl-2-title": "gnu general public license version 2 june 1991",
+    "gpl-3-title": "gnu general public license version 3 29 june 2007",
+    "lgpl-2.1-title": "gnu lesser general public license version 2 1 february 1999",
+    "lgpl-3-title": "gnu lesser general public license version 3 29 june 2007",
+    "agpl-3-title": "gnu affero general public license version 3 19 november 2007",
+    "mpl-title": "mozilla public license version 2 0",
+    "epl-2-title": "eclipse public license v 2 0",
+    "boost-title": "boost software license version 1 0 august 17th 2003",
+    "boost-grant": "permission is hereby granted free of charge to any person or organization "
+                   "obtaining a copy of the software and accompanying documentation covered by this "
+                   "license the software to use reproduce display distribute execute and transmit "
+                   "the software and to prepare derivative works of the software and to permit "
+                   "third parties to whom the software is furnished to do so all subject to the "
+                   "following",
+    "boost-header": "distributed under the boost software license version 1 0",
+    "zlib-as-is": "this software is provided as is without any express or implied warranty",
+    "zlib-grant": "permission is granted to anyone to use this software for any purpose including "
+                  "commercial applications and to alter it and redistribute it freely subject to "
+                  "the following restrictions",
+    "wtfpl-copies": "everyone is permitted to copy and distribute verbatim or modified copies of "
+                    "this license document and changing it is allowed as long as the name is changed",
+    "0bsd-grant": "permission to use copy modify and or distribute this software for any purpose "
+                  "with or without fee is hereby granted",
+    "cc0-title": "cc0 1 0 universal",
 } | {f"cc-{kind}-{version}-{how}": words.format(kind.replace("-", " "), version.replace(".", " "))
      for kind in ("by", "by-sa", "by-nc", "by-nc-sa", "by-nd", "by-nc-nd")
      for version in ("3.0", "4.0")
@@ -111,8 +141,8 @@ SENTENCES = {
   | {f"{name}-terms": _TERMS.format(kind) for name, kind, _ in GNU} \
   | {f"{name}-terms-{v}-later": f"{_TERMS.format(kind)} {_LATER.format(v.replace('.', ' '))}"
      for name, kind, v in GNU} \
-  | {f"spdx-{name.lower()}": "spdx license identifier " + name.lower().replace("-", " ").replace(
-      ".", " ") for name in TAGS}
+  | {f"spdx-{name.lower()}": TAG + name.lower().replace("-", " ").replace(".", " ")
+     for name in (*TAGS, *BARE_TAGS)}
 
 #: (licence, identifiers in order, licences that include this one and take its place)
 RULES: list[tuple[str, tuple[str, ...], tuple[str, ...]]] = [
@@ -147,11 +177,20 @@ RULES: list[tuple[str, tuple[str, ...], tuple[str, ...]]] = [
     ("Unlicense", ("unlicense",), ()),
     *((f"CC-{i[3:].rsplit('-', 1)[0].upper()}", (i,), ()) for i in SENTENCES if i.startswith("cc-")),
     *((name, (f"spdx-{name.lower()}",), ()) for name in TAGS),
+    *((f"{name}-only", (f"spdx-{name.lower()}",), ()) for name in BARE_TAGS),
+    *((name, (i,), ()) for name, i in (
+        ("Apache-2.0", "apache-title"), ("GPL-2.0-only", "gpl-2-title"),
+        ("GPL-3.0-only", "gpl-3-title"), ("LGPL-2.1-only", "lgpl-2.1-title"),
+        ("LGPL-3.0-only", "lgpl-3-title"), ("AGPL-3.0-only", "agpl-3-title"),
+        ("MPL-2.0", "mpl-title"), ("EPL-2.0", "epl-2-title"), ("BSL-1.0", "boost-title"),
+        ("BSL-1.0", "boost-grant"), ("BSL-1.0", "boost-header"), ("WTFPL", "wtfpl-copies"),
+        ("0BSD", "0bsd-grant"), ("CC0-1.0", "cc0-title"))),
+    ("Zlib", ("zlib-as-is", "zlib-grant"), ()),
 ]
 
 #: Every known sentence has one of these; a text without them has none and is not cut.
 ANCHORS = ("licens", "permi", "copyright", "redistribut", "warrant", "license", "public domain",
-           "free software", "version")
+           "free software", "version", "universal")
 
 END = (r"[.;!?]+(\s|$)|:(\s*(\r?\n|$))|\r?\n[^\p{L}\p{N}\n]*\n|https?://\S+"
        r"|(?:[Cc]opyright|COPYRIGHT)[^\p{L}\p{N}\n]+(?:[cC]\)|[0-9]{4})[^\n.;!?]*")
@@ -166,13 +205,27 @@ def _lookup() -> Column:
     return F.create_map(*(F.lit(x) for i, s in SENTENCES.items() for x in (s, i)))
 
 
+def _of_line(line: Column, known: Column) -> Column:
+    """Identifiers of a line: of a known sentence, or of each licence of a tag's expression, as in
+    "SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0+"."""
+    plain = normalise(line)
+    # "+" is an older way to say "or later", whose "or" joins no two licences
+    later = F.replace(normalise(F.regexp_replace(line, r"([0-9])\+", "$1 or later")),
+                      F.lit(" or later"), F.lit(" orlater"))
+    parts = F.split(F.substr(later, F.lit(len(TAG) + 1)), " (or|and|with) ")
+    return F.when(plain.startswith(TAG), F.transform(parts, lambda p: known[
+        F.concat(F.lit(TAG), F.replace(p, F.lit(" orlater"), F.lit(" or later")))])).otherwise(
+        F.array(known[plain]))
+
+
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order."""
     known = _lookup()
     whole = F.split(F.regexp_replace(text, END, MARK), MARK)
     by_line = F.flatten(F.transform(whole, lambda s: F.when(
-        known[normalise(s)].isNotNull(), F.array(known[normalise(s)])).otherwise(
-        F.transform(F.split(s, r"\r?\n"), lambda line: known[normalise(line)]))))
+        known[normalise(s)].isNotNull() & ~normalise(s).startswith(TAG),
+        F.array(known[normalise(s)])).otherwise(
+        F.flatten(F.transform(F.split(s, r"\r?\n"), lambda line: _of_line(line, known))))))
     has = F.lit(False)
     low = F.lower(text)
     for a in ANCHORS:
@@ -197,8 +250,11 @@ def licences(sequence: Column) -> Column:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """The rows of (text, ...) with ``sentence_ids`` and ``licences`` (arrays of string). A null or
-    empty text has neither. Other columns come back; columns named as the new ones are replaced."""
+    """The rows of (text, ...) with ``sentence_ids`` and ``licences`` (arrays of string, the latter
+    sorted). A null or empty text has neither. A sentence that comes up again is listed again, a
+    licence once; of licences that include each other the larger one stands, others stand side
+    by side. Rows that repeat come back as often, an empty table gives none. Other columns come
+    back; columns named as the new ones are replaced."""
     others = [c for c in docs.columns if c not in ("sentence_ids", "licences")]
     ids = F.coalesce(sentence_ids(F.col("text").cast("string")), F.array().cast("array<string>"))
     found = docs.select(*others, ids.alias("sentence_ids"))

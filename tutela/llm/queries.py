@@ -140,6 +140,8 @@ def _license_sql() -> str:
         for other in covers:
             named[name] = f"({named[name]}) AND NOT ({named[other]})"
     rules = ", ".join(f"CASE WHEN {hit} THEN '{name}' END" for name, hit in named.items())
+    plain = "trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))"
+    later = plain.replace("lower(x)", r"lower(regexp_replace(x, '([0-9])\+', '\1 or later', 'g'))")
     return rf"""
 WITH k AS (SELECT {text(licences.SENTENCES)} AS ids, {text(licences.SENTENCES.values())} AS known),
 w AS (SELECT doc_id, ids, known, unnest(generate_series(1, len(whole))) AS n,
@@ -148,9 +150,15 @@ w AS (SELECT doc_id, ids, known, unnest(generate_series(1, len(whole))) AS n,
                                    chr(1)) AS whole FROM documents) CROSS JOIN k),
 l AS (SELECT doc_id, ids, known, n, part, list_position(known, trim(regexp_replace(
           lower(part), '[^a-z0-9]+', ' ', 'g'))) AS spot FROM w),
-f AS (SELECT doc_id, n, CASE WHEN spot > 0 THEN [ids[spot]] ELSE list_transform(
-          regexp_split_to_array(part, '\r?\n'), lambda x: ids[list_position(known,
-              trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g')))]) END AS found FROM l),
+f AS (SELECT doc_id, n, CASE WHEN spot > 0 AND NOT starts_with(known[spot], '{licences.TAG}')
+                 THEN [ids[spot]] ELSE flatten(list_transform(
+          regexp_split_to_array(part, '\r?\n'), lambda x: CASE
+              WHEN {plain} LIKE '{licences.TAG}%'
+              THEN list_transform(regexp_split_to_array(substr(replace({later}, ' or later',
+                       ' orlater'), {len(licences.TAG) + 1}), ' (or|and|with) '),
+                       lambda y: ids[list_position(known, '{licences.TAG}'
+                           || replace(y, ' orlater', ' or later'))])
+              ELSE [ids[list_position(known, {plain})]] END)) END AS found FROM l),
 g AS (SELECT doc_id, list_filter(flatten(list(found ORDER BY n)), lambda x: x IS NOT NULL) AS found
       FROM f GROUP BY doc_id),
 h AS (SELECT doc_id, len(found) AS n_sentences, array_to_string(found, ',') AS sentence_ids,
