@@ -32,15 +32,14 @@ def planted(seed):
     return texts + ["short", "", None, "one two three four five six seven eight " * 9]
 
 
-def brute(texts):
-    """doc_id -> ids after all stages; groups are too small for outliers here."""
+def brute(texts, key):
+    """doc_id -> ids after all stages; none of the texts is far from the others."""
     counts = {i: brute_counts(t or "") for i, t in enumerate(texts)}
     kept = [(i, texts[i]) for i, c in counts.items() if c[0] >= 20 and 100 * c[4] <= 30 * c[0]]
     groups = brute_components(kept)
     kept = [(i, t) for i, t in kept if groups[i][1] == i]
     cut = brute_removed([t for _, t in kept], 35)
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    key = pii.DEMONSTRATION_KEY.encode()
     out = {}
     for (i, text), (_, n, rest) in zip(kept, cut):
         final = pii.pseudonymise(rest if n else text, key)[0]
@@ -51,7 +50,7 @@ def brute(texts):
 def test_whole_run_against_brute_force(spark, docs, tmp_path):
     texts = planted(1)
     docs(texts).write.parquet(str(tmp_path / "documents.parquet"))
-    expected, with_cuts = brute(texts)
+    expected, with_cuts = brute(texts, pii.session_key(spark, pii.DEMONSTRATION_KEY))
     assert with_cuts == 4 and len(expected) == 24
     found = {}
     for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
