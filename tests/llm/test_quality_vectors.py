@@ -299,7 +299,7 @@ def test_a_graph_is_built_once_audited_and_loses_no_link(monkeypatch, broken):
     monkeypatch.setattr(vectors.Graph, "__init__",
                         lambda self, p, *a, **k: (built.append(len(p)), plain(self, p, *a, **k))[1])
     if broken:  # finds nothing but the query's own point: only an audit can notice
-        monkeypatch.setattr(vectors.Graph, "above", lambda self, q, t, beam: np.flatnonzero(
+        monkeypatch.setattr(vectors.Graph, "above", lambda self, q, t, beam, own=-1: np.flatnonzero(
             self.points @ q.astype(np.float32) > 0.99999).tolist())
     shard, = vectors._build(0.98)(iter([shard_rows(x, nodes)]))
     assert built == [3000] and (shard.column("beam")[0].as_py() == 0) == broken

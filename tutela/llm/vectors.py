@@ -35,12 +35,12 @@ from tutela.session import keep
 
 THRESHOLD = 0.98
 SHARD_VALUES = 1 << 22  # numbers of a shard, 32 MB
-GRAPH_POINTS = 2048
+GRAPH_POINTS = 256
 BLOCK = 8192           # queries that are sent through a shard side by side
 LANES = 4              # tasks that share the blocks of a shard; each gets a copy of its graph
 NEIGHBOURS = 12
 BUILD_BEAM = 40
-BEAM = 32
+BEAM = 16
 AUDIT = 48             # points, and as many vectors near points, that an audit asks about
 SCAN = 512             # queries that a scan compares with the shard at a time
 RECALL = 0.99
@@ -167,10 +167,14 @@ class Graph:
                 self.links.append(dict(zip(parts[f"at{lv}"].tolist(), near)))
         return self
 
-    def above(self, q: np.ndarray, threshold: float, beam: int) -> list[int]:
-        """Points found with a cosine of about ``threshold`` or more."""
+    def above(self, q: np.ndarray, threshold: float, beam: int, own: int = -1) -> list[int]:
+        """Points found with a cosine of about ``threshold`` or more. A query that is a point of the
+        graph sets out from its ``own`` place too, among its near copies."""
         q = q.astype(np.float32)
-        return [j for _, j in self._nearest(q, self._descend(q, 0), 0, beam, threshold)]
+        entries = self._descend(q, 0)
+        if own >= 0 and entries[0][1] != own:
+            entries.append((float(self.points[own] @ q), own))
+        return [j for _, j in self._nearest(q, entries, 0, beam, threshold)]
 
 
 def audited_beam(graph: Graph, queries: np.ndarray, threshold: float, beam: int = BEAM,
@@ -183,11 +187,11 @@ def audited_beam(graph: Graph, queries: np.ndarray, threshold: float, beam: int
     some = rng.permutation(len(queries))[:audit]
     true = [set(np.flatnonzero(graph.points.astype(float) @ queries[i] >= threshold).tolist())
             - ({int(own[i])} if own is not None else set()) for i in some]
-    asked = [(t, queries[i]) for t, i in zip(true, some) if t]
-    wanted = sum(len(t) for t, _ in asked)
+    asked = [(t, queries[i], -1 if own is None else int(own[i])) for t, i in zip(true, some) if t]
+    wanted = sum(len(t) for t, _, _ in asked)
     while wanted and beam < 2 * len(graph.points):
-        got = [len(t & set(graph.above(q, threshold - 1e-5, beam))) for t, q in asked]
-        shares = [g / len(t) for g, (t, _) in zip(got, asked)]
+        got = [len(t & set(graph.above(q, threshold - 1e-5, beam, at))) for t, q, at in asked]
+        shares = [g / len(t) for g, (t, _, _) in zip(got, asked)]
         if sum(got) >= recall * wanted and sum(shares) >= recall * len(asked):
             return beam
         beam *= 2
@@ -290,15 +294,17 @@ class _Shard:
         self.single, self.beam = self.exact.astype(np.float32), row["beam"]
         self.graph = Graph.load(row["graph"], self.exact) if self.beam else None
 
-    def hits(self, queries: np.ndarray, threshold: float) -> Iterator[np.ndarray]:
-        """Places of each query's points with a cosine of ``threshold`` or more."""
+    def hits(self, queries: np.ndarray, own: np.ndarray, threshold: float) \
+            -> Iterator[np.ndarray]:
+        """Places of each query's points with a cosine of ``threshold`` or more; ``own`` is the
+        query's place here (-1: elsewhere)."""
         for at in range(0, len(queries), SCAN):
             part = queries[at:at + SCAN]
             if self.graph is None:
                 yield from _scanned(self.exact, self.single, part, threshold)
                 continue
-            for q in part:
-                found = np.array(self.graph.above(q, threshold - 1e-5, self.beam), np.int64)
+            for q, mine in zip(part, own[at:at + SCAN].tolist()):
+                found = np.array(self.graph.above(q, threshold - 1e-5, self.beam, mine), np.int64)
                 yield found[self.exact[found] @ q >= threshold]
 
 
@@ -338,9 +344,10 @@ def _search(threshold: float):
             nodes = table.column("node").to_pylist()
             queries = np.frombuffer(b"".join(table.column("unit").to_pylist()), float) \
                 .reshape(len(nodes), -1)
+            own = np.array([shard.place.get(node, -1) for node in nodes], np.int64)
             out: dict[str, list] = {"a": [], "b": [], "n": []}
-            for node, found in zip(nodes, shard.hits(queries, threshold)):
-                found = found[found != shard.place.get(node, -1)]
+            for node, mine, found in zip(nodes, own, shard.hits(queries, own, threshold)):
+                found = found[found != mine]
                 if not len(found):
                     continue
                 edges = [shard.names[j] for j in found.tolist()
