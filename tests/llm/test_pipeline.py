@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 from test_dedup import brute_components, brute_removed
 from test_quality_vectors import brute_counts
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -87,6 +88,20 @@ def test_every_stage_but_the_last_returns_documents(spark, docs, tmp_path):
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
 
 
+def test_columns_named_as_an_operators_come_back_as_they_were(spark, docs, tmp_path):
+    own = ("kept", "distance", "n_words", "n_removed", "kept_text", "kinds", "base_failed")
+    texts = ["card 4539148803436467 " + " ".join(f"w{i}x{k}" for k in range(40)) for i in range(4)]
+    table = docs(texts)
+    for name in own:
+        table = table.withColumn(name, F.concat(F.lit(name), F.col("doc_id")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, table, str(tmp_path))
+        assert got.columns == table.columns, name
+        rows = got.collect()
+        assert len(rows) == 4 and all(r[c] == f"{c}{r.doc_id}" for r in rows for c in own), name
+        assert all(r.n_chars == len(r.text) for r in rows)
+
+
 def test_all_queries_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.SQL) <= set(queries.QUERIES)

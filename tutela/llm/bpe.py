@@ -405,7 +405,9 @@ def _digest(path: str):
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Encodes and decodes every text and returns (doc_id, n_tokens, ids_sha256, decoded_sha256):
-    digests of the ids in decimals with one space between, and of the decoded bytes."""
+    digests of the ids in decimals with one space between, and of the decoded bytes. A null text is
+    empty, a null doc_id comes back as such, rows that repeat come back as often, an empty table
+    gives none; other columns are not read."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text")).mapInArrow(
         _digest(path), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
