@@ -229,3 +229,35 @@ def test_a_run_that_breaks_off_goes_on_and_analyses_follow(spark, bound, tmp_pat
         with pytest.raises(RuntimeError):
             analysis.analyse(spark, version, results, reps=30)
     assert results.current().version == done.version
+
+
+# ---------------------------------------------------------------------- size --
+def test_row_digests_are_made_once_a_row_from_compact_code(spark):
+    from tutela.sources.digest import digest, with_row_digest
+    wide = spark.range(20).select("id", *((F.col("id") / 7 - i).alias(f"d{i}") for i in range(4)), *(
+        F.concat(F.lit(c * i), F.col("id").cast("string")).alias(f"s{i}")
+        for i, c in enumerate("a|b\\cdefg")))
+    rows = with_row_digest(wide)
+    total = str(sum(r["__row_digest"] for r in rows.select("__row_digest").collect()))
+    assert rows.agg(digest()).first()[0] == table_digest(wide, "t").first().digest == total
+    plan = table_digest(wide, "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1 and plan.count("transform(") == 1
+
+
+def test_digest_rounds_halves_and_large_numbers_as_before(spark):
+    values = [0.00005, -0.00005, 0.00015, -0.00025, 1.00005, 99999999999.99995, 1e11, -1e12, 1.5e14,
+              -0.0, 0.0, 1e-9, 4.9e-324, -0.00004999]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    texts = [r[0] for r in df.select(F.round(F.col("v") * 10_000).cast("decimal(38,0)")
+                                     .cast("string")).collect()]
+    want = sum(int(hashlib.md5(t.encode()).hexdigest()[:15], 16) for t in texts)
+    assert table_digest(df, "t").first().digest == str(want)
+
+
+def test_audit_counts_two_numbers_a_key_whatever_the_rules(spark):
+    _, found = audited(spark, [("a", "A"), ("a", "B")], [("a", 1, None), ("a", 1, 50), ("c", 2, 1)])
+    assert ("fact", "FK_k", "c", "k=c", 1) in found and len(found) == 5
+    tables, _ = audited(spark, [("a", "A")], [("a", 1, 5)])
+    plan = constraints.audit(tables, RULES)._jdf.queryExecution().executedPlan().toString()
+    partial = next(line for line in plan.splitlines() if "partial_" in line)
+    assert partial.count("partial_") == 2

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tutela.sources.digest import digest
+from tutela.sources.digest import ROW_DIGEST, digest, with_row_digest
 
 # Physical layout of the large facts: partition columns, then the order of rows
 # inside each file, so that footers prune by lifecycle, student and week.
@@ -35,8 +35,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     writers. Inside each file the rows are ordered.
     """
     seen = Observation()
-    more = [digest(df.schema).alias("digest")] if digested else []
-    out = df.observe(seen, F.count(F.lit(1)).alias("rows"), *more)
+    more = [digest().alias("digest")] if digested else []
+    out = with_row_digest(df) if digested else df
+    out = out.observe(seen, F.count(F.lit(1)).alias("rows"), *more).drop(ROW_DIGEST)
     if partition_by:
         out = out.hint("rebalance", *partition_by)
     order = [*partition_by, *sort_by]
