@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,15 +67,20 @@ RULES: dict[str, Rules] = {
 # ---------------------------------------------------------------------------
 
 
+ENTRIES = "array<struct<slot: int, key: string, held: boolean>>"
+
+
 @dataclass(frozen=True)
 class _Slot:
-    """What is counted for a key of a table: its own rows (``PK``), rows of it that break a rule of
-    their own, or rows of another table that refer to it (``FK``)."""
+    """What is counted for a key: rows that hold it (``PK``), rows of it that break a rule of their
+    own, or rows that refer to it as a key of the table ``target`` (``FK``)."""
 
     table: str
     rule: str
     kind: str
     detail: str
+    column: str = ""
+    target: str = ""
 
 
 def _key_text(columns: Sequence[str]) -> Column:
@@ -82,44 +89,51 @@ def _key_text(columns: Sequence[str]) -> Column:
     return F.concat_ws("|", *parts) if parts else F.lit("")
 
 
-def _slots(tables: Mapping[str, DataFrame], rules: Mapping[str, Rules]) -> dict[str, list[_Slot]]:
-    out: dict[str, list[_Slot]] = {}
-    for name in rules:
-        if name in tables:
-            r = rules[name]
-            out[name] = [_Slot(name, f"PK_{'_'.join(r.key)}", "PK", "")]
-            out[name] += [_Slot(name, f"NN_{c}", "NN", "missing")
-                          for c in dict.fromkeys((*r.key, *r.required))]
-            out[name] += [_Slot(name, f"CK_{c}", "CK", "check failed") for c in r.checks]
+def _slots(tables: Mapping[str, DataFrame], rules: Mapping[str, Rules]) -> list[_Slot]:
+    out = []
     for name, r in rules.items():
-        for column, target in r.refs.items():
-            if name in out and target in out:
-                out[target].append(_Slot(name, f"FK_{column}", "FK", column))
+        if name in tables:
+            if r.key:
+                out.append(_Slot(name, f"PK_{'_'.join(r.key)}", "PK", ""))
+            out += [_Slot(name, f"NN_{c}", "NN", "missing", c)
+                    for c in dict.fromkeys((*r.key, *r.required))]
+            out += [_Slot(name, f"CK_{c}", "CK", "check failed", c) for c in r.checks]
+            out += [_Slot(name, f"FK_{c}", "FK", f"{c}=", c, target)
+                    for c, target in r.refs.items() if target in tables and target in rules]
     return out
 
 
-def _entries(df: DataFrame, name: str, r: Rules, slots: dict[str, list[_Slot]],
-             numbers: dict[str, int]) -> DataFrame:
-    """(target, key, slot) of all that a row says about its own key and those it refers to."""
-    def entry(target: str, key: Column, slot: _Slot) -> Column:
-        return F.struct(F.lit(numbers[target]).alias("target"), key.alias("key"),
-                        F.lit(slots[target].index(slot)).alias("slot"))
-
-    own, found = _key_text(r.key), []
-    for slot in slots[name]:
-        if slot.kind == "PK" and r.key:
-            found.append(entry(name, own, slot))
-        elif slot.kind == "NN":
-            found.append(F.when(F.col(slot.rule[3:]).isNull(), entry(name, own, slot)))
-        elif slot.kind == "CK":
-            found.append(F.when(~F.expr(r.checks[slot.rule[3:]]), entry(name, own, slot)))
-    for column, target in r.refs.items():
-        if target in slots:
-            slot = _Slot(name, f"FK_{column}", "FK", column)
-            found.append(F.when(F.col(column).isNotNull(),
-                                entry(target, _key_text([column]), slot)))
-    listed = F.filter(F.array(*found), lambda e: e.isNotNull())
-    return df.select(F.inline(listed))
+def _entries(df: DataFrame, name: str, r: Rules, slots: Sequence[_Slot]) -> DataFrame:
+    """(slot, key, held) of all that a row says about its own key and those it refers to; ``held``
+    marks the keys that references of a slot may have."""
+    own, always, broken = F.col("__own"), [], []
+
+    def entry(i: int, key: Column, held: bool = False) -> Column:
+        return F.struct(F.lit(i).alias("slot"), key.alias("key"), F.lit(held).alias("held"))
+
+    tests = []
+    for i, slot in enumerate(slots):
+        if slot.target == name and r.key:
+            always.append(entry(i, own, True))
+        if slot.table != name:
+            continue
+        if slot.kind == "PK":
+            always.append(entry(i, own))
+        elif slot.kind == "FK":
+            always.append(entry(i, escaped(F.col(slot.column).cast("string"))))
+        else:
+            test = F.col(slot.column).isNull() if slot.kind == "NN" \
+                else F.coalesce(~F.expr(r.checks[slot.column]), F.lit(False))
+            tests.append(test)
+            broken.append(F.when(test, entry(i, own)))
+    listed = F.array(*always).cast(ENTRIES)
+    if broken:
+        # few rows break a rule: the others do not look at each rule's entry
+        more = F.filter(F.array(*broken), lambda e: e.isNotNull()).cast(ENTRIES)
+        listed = F.when(reduce(or_, tests), F.concat(listed, more)).otherwise(listed)
+    # a null refers to nothing
+    return df.withColumn("__own", _key_text(r.key)).select(F.inline(listed)).filter(
+        F.col("key").isNotNull())
 
 
 def audit(tables: Mapping[str, DataFrame], rules: Mapping[str, Rules] = RULES) -> DataFrame:
@@ -131,41 +145,34 @@ def audit(tables: Mapping[str, DataFrame], rules: Mapping[str, Rules] = RULES) -
     and a check that is unknown counts as met.
 
     Every table is scanned once, whatever the number of its rules. A row is turned into entries on
-    its own key and on the keys it refers to; keys of both kinds meet in one aggregation, which
-    counts them within the map tasks before they move, so a key with any share of the rows is
-    one row of each task. A filter of known keys would only save the exchange of keys that are
-    missing, since it proves absence and not presence.
+    its own key and on the keys it refers to, each for one rule, so that two numbers are all that is
+    counted for a key; a table that others refer to says for each reference which keys there are.
+    Keys of all kinds meet in one aggregation, which counts them within the map tasks before they
+    move, so a key with any share of the rows is one row of each task. A filter of known keys would
+    only save the exchange of keys that are missing, since it proves absence and not presence.
     """
     slots = _slots(tables, rules)
-    numbers = {name: i for i, name in enumerate(slots)}
-    entries = stack([_entries(tables[n], n, rules[n], slots, numbers) for n in slots])
-    width = max(map(len, slots.values()))
-    counts = entries.groupBy("target", "key").agg(
-        F.array(*(F.count_if(F.col("slot") == i) for i in range(width))).alias("n"))
-    held, verdict = F.col("n")[0], None
-    for name, listed in slots.items():
-        found = []
-        for i, slot in enumerate(listed):
-            n = F.col("n")[i]
-            broken = {"PK": n > 1, "FK": (n > 0) & (held == 0)}.get(slot.kind, n > 0)
-            detail = {"PK": F.concat(n.cast("string"), F.lit(" rows")),
-                      "FK": F.concat(F.lit(f"{slot.detail}="), F.col("key"))}.get(
-                slot.kind, F.lit(slot.detail))
-            row = F.struct(
-                F.lit(slot.rule).alias("rule_id"), F.lit(FATAL).alias("severity"),
-                F.lit(slot.table).alias("table_name"), F.col("key").alias("row_key"),
-                detail.alias("detail"), n.alias("rows"))
-            found.append(F.when(broken, row))
-        array, here = F.array(*found), F.col("target") == numbers[name]
-        verdict = F.when(here, array) if verdict is None else verdict.when(here, array)
-    return counts.select(F.inline(F.filter(verdict, lambda e: e.isNotNull())))
+    entries = stack([_entries(tables[n], n, rules[n], slots) for n in rules if n in tables])
+    held, n = F.col("held"), F.col("rows")
+    counts = entries.groupBy("slot", "key").agg(F.count_if(~held).alias("rows"),
+                                                F.max(held).alias("held"))
+
+    def of(field: str) -> Column:
+        return F.array(*(F.lit(getattr(s, field)) for s in slots))[F.col("slot")]
+
+    broken = F.when(of("kind") == "PK", n > 1).when(of("kind") == "FK", (n > 0) & ~held) \
+        .otherwise(n > 0)
+    detail = F.when(of("kind") == "PK", F.concat(n.cast("string"), F.lit(" rows"))) \
+        .when(of("kind") == "FK", F.concat(of("detail"), F.col("key"))).otherwise(of("detail"))
+    return counts.filter(broken).select(
+        of("rule").alias("rule_id"), F.lit(FATAL).alias("severity"), of("table").alias("table_name"),
+        F.col("key").alias("row_key"), detail.alias("detail"), n)
 
 
 def rule_list(tables: Mapping[str, DataFrame], rules: Mapping[str, Rules] = RULES) \
         -> list[tuple[str, str]]:
     """(table_name, rule_id) of all that ``audit`` looks at."""
-    found = {(s.table, s.rule) for listed in _slots(tables, rules).values() for s in listed}
-    return sorted(f for f in found if f[1] != "PK_")
+    return sorted({(s.table, s.rule) for s in _slots(tables, rules)})
 
 
 def audit_summary(tables: Mapping[str, DataFrame], rules: Mapping[str, Rules] = RULES) \
