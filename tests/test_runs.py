@@ -261,3 +261,33 @@ def test_audit_counts_two_numbers_a_key_whatever_the_rules(spark):
     plan = constraints.audit(tables, RULES)._jdf.queryExecution().executedPlan().toString()
     partial = next(line for line in plan.splitlines() if "partial_" in line)
     assert partial.count("partial_") == 2
+
+
+def test_line_items_are_not_moved_to_meet_their_suppliers(spark, tmp_path):
+    from tutela.catalog import extracts
+    from tutela.catalog.bindings import TABLE_SCHEMAS, Bound
+    rows = {"nation": [(i, f"nation {i}", i % 5) for i in range(25)],
+            "region": [(i, f"region {i}") for i in range(5)]}
+    for name, schema in TABLE_SCHEMAS.items():
+        df = spark.createDataFrame(rows.get(name, []), schema)
+        if name == "supplier":
+            df = spark.range(2_000).selectExpr(
+                "id AS s_suppkey", "md5(string(id)) AS s_name", "int(id % 25) AS s_nationkey",
+                "rand(1) AS s_acctbal")
+        if name == "lineitem":
+            df = spark.range(200_000).selectExpr(
+                "id AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "1 AS l_linenumber",
+                "double(id) AS l_quantity", "0D AS l_extendedprice", "0D AS l_discount", "0D AS l_tax",
+                "'N' AS l_returnflag", "'O' AS l_linestatus",
+                "timestamp_ntz'2000-01-01' AS l_shipdate")
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "300k")  # more than the suppliers take
+    b = Bound(spark, str(tmp_path))
+    try:
+        for frame in (b.enrolments, extracts._enrolments(b)):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning(l_suppkey" not in plan, plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        b.close()

@@ -75,8 +75,8 @@ def _enrolments(b: Bound) -> DataFrame:
         "o_orderkey", person(F.col("o_custkey")).alias("student_id"),
         half_year(F.col("o_orderdate")).alias("term_code"),
         (F.col("o_orderdate") >= F.lit("2001-07-01").cast("timestamp_ntz")).alias("running"))
-    place = b.table("supplier").join(b.table("nation"), F.col("s_nationkey")
-                                     == F.col("n_nationkey")).select("s_suppkey", "n_name")
+    b.share("places")
+    place = b.places.select("s_suppkey", "n_name")
     rows = (b.table("lineitem").join(place, F.col("l_suppkey") == F.col("s_suppkey"))
             .join(order, F.col("l_orderkey") == F.col("o_orderkey")))
     q, running = F.col("l_quantity"), F.col("running")
