@@ -291,3 +291,73 @@ def test_line_items_are_not_moved_to_meet_their_suppliers(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         b.close()
+
+
+def test_a_run_for_its_caller_makes_no_digests_and_a_later_one_adds_them(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    first = store.begin({"day": 1}, publishing=False)
+    first.stage("a", "x", lambda: {"one": frame(spark, 3)})
+    assert first.published() is None and first.so_far().read("one").count() == 3
+    assert first.tables["one"].digest is None and store.versions() == []
+    whole = store.begin({"day": 1})
+    whole.stage("a", "x", lambda: pytest.fail("built twice"))
+    whole.stage("b", "y", lambda: {"two": frame(spark, 4)})
+    version = whole.publish()
+    assert whole.skipped == ["a"] and version.broken() == []
+    assert store.begin({"day": 1}, publishing=False).published().tables == version.tables
+    again = store.begin({"day": 2}, publishing=False)
+    again.stage("a", "x", lambda: {"one": frame(spark, 3)})
+    frame(spark, 2).write.mode("overwrite").parquet(again.tables["one"].path)
+    with pytest.raises(ValueError):  # other rows than were written
+        store.begin({"day": 2}).stage("a", "x", lambda: pytest.fail("built twice"))
+
+
+@pytest.fixture()
+def two_students(spark, tmp_path):
+    """Three units of customer 1 in two terms, one of customer 2."""
+    from datetime import datetime
+
+    from tutela.catalog.bindings import TABLE_SCHEMAS, Bound
+    spring, autumn = datetime(2000, 2, 1), datetime(2000, 9, 1)
+    rows = {"region": [(i, f"REGION {i}") for i in range(5)],
+            "nation": [(i, f"NATION {i}", i % 5) for i in range(25)],
+            "customer": [(i, f"Customer#{i}", i, 10.0, "BUILDING") for i in (1, 2)],
+            "supplier": [(1, "s", 3, 0.0)], "part": [(i, "p", "b", "t", 1, 1.0) for i in range(4)],
+            "orders": [(1, 1, "O", 1.0, spring, "1"), (2, 1, "O", 1.0, autumn, "1"),
+                       (3, 2, "O", 1.0, autumn, "1")],
+            "lineitem": [(o, p, 1, 1, 20.0, 1.0, 0.0, 0.0, "N", "O", spring)
+                         for o, p in ((1, 1), (1, 2), (2, 3), (3, 1))],
+            "events": [(i, datetime(2024, 1, 5), 1, kind, 30.0, "") for i, kind in
+                       enumerate(("view", "purchase", "signup", "error"))]}
+    for name, schema in TABLE_SCHEMAS.items():
+        df = spark.createDataFrame(rows.get(name, []), schema)
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    bound = Bound(spark, str(tmp_path))
+    yield bound
+    bound.close()
+
+
+def lost(*args):
+    raise RuntimeError("not asked for")
+
+
+def test_cleaning_by_sql_text_builds_the_survivors_and_no_more(two_students, monkeypatch):
+    from tutela.catalog import run_queries
+    from tutela.catalog.extracts import run_store
+    with monkeypatch.context() as m:
+        for module, name in ((build.facts, "fact_enrolment"), (build.quality, "judge_enrolments"),
+                             (build.facts, "fact_case"), (build.marts, "mart_executive")):
+            m.setattr(module, name, lost)
+        got = run_queries.fn_sql_text(two_students).collect()
+        assert sorted((r.student_id, r.full_name, r.year) for r in got) == [
+            ("1", "Building N1", 2000), ("2", "Building N2", 2000)]
+    assert run_store(two_students, "warehouse").versions() == []
+
+
+def test_only_texts_with_letters_meet_the_pattern_of_numbers(spark):
+    from tutela.functions import to_double
+    values = ["75F", "75d ", "1e5", " 12.5 ", "", None, "n/a", "NaN", "-1.0", "7.D\n", "1.5", "٣"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    plain = F.when(~F.col("v").rlike(r"[0-9.][dDfF]\s*$"), F.col("v").try_cast("double"))
+    got = [(str(a), str(b)) for a, b in df.select(to_double("v"), plain).collect()]
+    assert [a for a, _ in got] == [b for _, b in got]

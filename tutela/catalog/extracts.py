@@ -194,7 +194,8 @@ def run_store(b: Bound, name: str) -> Store:
     return Store(b.spark, f"{shared_dir(b.spark)}/tutela/{app}/{name}-{place}")
 
 
-def run_version(b: Bound) -> Version:
-    """The warehouse of a whole run over the extracts; queries of one session share it."""
+def run_version(b: Bound, *wanted: str) -> Version:
+    """The warehouse of a whole run over the extracts; queries of one session share it. A query that
+    reads a few tables of it names them, and the run goes no further than these need."""
     return build_version(b.spark, write_extracts(b), run_store(b, "warehouse"), run_references(b),
-                         RUN_MAX_YEAR)
+                         RUN_MAX_YEAR, wanted=wanted or None)

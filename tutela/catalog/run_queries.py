@@ -131,7 +131,7 @@ def layout_by_student(b: Bound):
         LEFT JOIN r_map ON duplicate_id = s.student_id)""")
 def fn_sql_text(b: Bound):
     """The student extract cleaned and remapped by SQL text alone."""
-    source, version = write_extracts(b), run_version(b)
+    source, version = write_extracts(b), run_version(b, "student_id_survivorship")
     sql.register(b.spark)
     sql.register_surviving(b.spark, version.read("student_id_survivorship"))
     read_text_csv(b.spark, f"{source}/banner_students.csv",
@@ -148,7 +148,7 @@ def fn_sql_text(b: Bound):
     UNION ALL SELECT 'manager', case_id, advisor_id FROM r_f_case""")
 def rl_sql(b: Bound):
     """What the user who runs this sees as an advisor and as a manager, by SQL text."""
-    cases = run_version(b).read("fact_case")
+    cases = run_version(b, "fact_case").read("fact_case")
     mine = b.advisors.select(
         F.when(F.col("advisor_id") == "ADV03", F.current_user()).otherwise(F.col("upn"))
         .alias("principal"), "advisor_id")

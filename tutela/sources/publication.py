@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -30,7 +30,7 @@ class Table:
     layer: str
     path: str
     rows: int
-    digest: str
+    digest: str | None  # not made before a run is to be published
     schema: str
 
 
@@ -120,10 +120,12 @@ def read_table(spark: SparkSession, table: Table) -> DataFrame:
 
 
 class Run:
-    """A version under way."""
+    """A version under way. One that is not to be published, for the caller alone, makes no
+    digests; a later run over the same inputs adds them to the tables that it takes up."""
 
-    def __init__(self, store: Store, version: str, source: dict):
+    def __init__(self, store: Store, version: str, source: dict, publishing: bool = True):
         self.store, self.version, self.source = store, version, source
+        self.publishing = publishing
         self.tables: dict[str, Table] = {}
         self.skipped: list[str] = []
         self.done: list[str] = []
@@ -133,14 +135,17 @@ class Run:
         """The tables of a stage, read back. They are built unless their record says that they have
         been; ``build`` is then not called. Rows and digest come from the job that writes."""
         files, spark = self.store.files, self.store.spark
-        record = files.read(f"runs/{self.version}/{name}.json")
+        file = f"runs/{self.version}/{name}.json"
+        record = files.read(file)
         if record is None:
             found = [self._written(layer, n, df) for n, df in build().items()]
-            files.write_new(f"runs/{self.version}/{name}.json",
-                            json.dumps([asdict(t) for t in found]))
+            files.write_new(file, json.dumps([asdict(t) for t in found]))
             self.done.append(name)
         else:
             found = [Table(**t) for t in json.loads(record)]
+            if self.publishing and any(t.digest is None for t in found):
+                found = [self._digested(t) for t in found]
+                files.write_new(file, json.dumps([asdict(t) for t in found]), replace=True)
             self.skipped.append(name)
         self.tables |= {t.name: t for t in found}
         return {t.name: read_table(spark, t) for t in found}
@@ -148,13 +153,33 @@ class Run:
     def _written(self, layer: str, name: str, df: DataFrame) -> Table:
         path = f"{self.store.files.root}/tables/{self.version}/{layer}/{name}"
         parts, order = LAYOUT.get(name, ([], []))
-        rows, digest = write_table(df, path, partition_by=parts, sort_by=order, digested=True)
+        seen = write_table(df, path, partition_by=parts, sort_by=order, digested=self.publishing)
+        rows, digest = seen if self.publishing else (seen, None)
         return Table(name, layer, path, rows, digest, json.dumps(
             T.StructType([T.StructField(f.name, f.dataType) for f in df.schema]).jsonValue()))
 
+    def _digested(self, table: Table) -> Table:
+        """With the digest of the rows that were written; files that hold other ones stop the run."""
+        found = table_digest(read_table(self.store.spark, table), table.name).first()
+        if found["rows"] != table.rows:
+            raise ValueError(f"{table.path} holds {found['rows']} rows, not {table.rows}")
+        return replace(table, digest=found["digest"])
+
+    def _manifest(self) -> dict:
+        return {"source": self.source, "tables": [asdict(t) for t in self.tables.values()]}
+
+    def so_far(self) -> Version:
+        """The tables that this run has written or found, for its caller only: not published."""
+        return Version(self.store.spark, self.version, self._manifest())
+
+    def published(self) -> Version | None:
+        """This version as readers see it, if they do."""
+        have = self.store.manifest(self.version)
+        return have and Version(self.store.spark, self.version, have)
+
     def publish(self) -> Version:
         """From now on readers get these tables."""
-        manifest = {"source": self.source, "tables": [asdict(t) for t in self.tables.values()]}
+        manifest = self._manifest()
         have = self.store.manifest(self.version)
         if have != manifest:
             self.store.files.write_new(f"manifests/{self.version}.json", json.dumps(manifest))
@@ -182,17 +207,17 @@ class Store:
             raise LookupError(f"nothing is published below {self.files.root}")
         return Version(self.spark, found[-1], self.manifest(found[-1]))
 
-    def begin(self, source: dict) -> Run:
+    def begin(self, source: dict, publishing: bool = True) -> Run:
         """A run over the inputs that ``source`` describes: the last one if it was over the same
         and nothing else has been begun since, else a new version."""
         begun = self.files.list("runs")
         if begun:
             last = json.loads(self.files.read(f"runs/{begun[-1]}/begin.json") or "null")
             if last == source:
-                return Run(self, begun[-1], source)
+                return Run(self, begun[-1], source, publishing)
         version = f"v{int(begun[-1][1:]) + 1 if begun else 1:08d}"
         self.files.write_new(f"runs/{version}/begin.json", json.dumps(source))
-        return Run(self, version, source)
+        return Run(self, version, source, publishing)
 
     def prune(self, keep: int = 2) -> list[str]:
         """Removes all but the newest ``keep`` published versions and what never got published
