@@ -354,6 +354,32 @@ def test_cleaning_by_sql_text_builds_the_survivors_and_no_more(two_students, mon
     assert run_store(two_students, "warehouse").versions() == []
 
 
+def test_layout_by_student_builds_what_it_reads_and_no_more(two_students, monkeypatch):
+    from tutela.catalog import run_queries
+    from tutela.catalog.extracts import run_store
+    with monkeypatch.context() as m:
+        for module, name in ((build.quality, "issue_log"), (build.facts, "fact_case"),
+                             (build.facts, "fact_engagement"), (build.marts, "mart_executive")):
+            m.setattr(module, name, lost)
+        got = run_queries.layout_by_student(two_students).collect()
+        assert sorted((r.student_id, r.term_code, r.units, r.units_so_far) for r in got) == [
+            ("1", "2000S1", 2, 2), ("1", "2000S2", 1, 3), ("2", "2000S2", 1, 1)]
+    assert run_store(two_students, "warehouse").versions() == []
+
+
+def test_enrolments_of_unknown_students_stop_a_run_for_its_caller_too(two_students, monkeypatch):
+    from tutela.catalog.extracts import run_version
+    monkeypatch.setattr(build.dimensions, "dim_student", lambda *a, was=build.dimensions.dim_student:
+                        was(*a).filter("student_id <> '2'"))
+    with pytest.raises(ValueError, match="1 rows"):
+        run_version(two_students, "dim_student", "fact_enrolment")
+
+
+def test_buckets_grow_with_the_table():
+    from tutela.sources.by_student import ROWS_A_BUCKET, buckets_for
+    assert [buckets_for(n, 16) for n in (0, 16 * ROWS_A_BUCKET, 16 * ROWS_A_BUCKET + 1)] == [16, 16, 17]
+
+
 def test_only_texts_with_letters_meet_the_pattern_of_numbers(spark):
     from tutela.functions import to_double
     values = ["75F", "75d ", "1e5", " 12.5 ", "", None, "n/a", "NaN", "-1.0", "7.D\n", "1.5", "٣"]

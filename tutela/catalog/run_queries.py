@@ -18,7 +18,7 @@ from tutela.plans.constraints import KEYS, RULES, audit_summary
 from tutela.plans.staging import EXTRACTS
 from tutela.session import keep, scratch_path
 from tutela.sources import read_text_csv, table_digest
-from tutela.sources.by_student import write_by_student
+from tutela.sources.by_student import buckets_for, write_by_student
 
 
 def _layer(b: Bound, layer: str):
@@ -111,11 +111,14 @@ BUCKETS = 16
          USING (student_id) GROUP BY student_id, mode, term_code""")
 def layout_by_student(b: Bound):
     """Terms of each student with the units so far: join, groups and window within buckets."""
-    version, path = run_version(b), scratch_path(b.spark, "by-student")
+    version = run_version(b, "dim_student", "fact_enrolment")
+    path = scratch_path(b.spark, "by-student")
+    buckets = buckets_for(version.tables["fact_enrolment"].rows, BUCKETS)
     people = write_by_student(version.read("dim_student").select(
-        "student_id", "mode", "commencing_term"), f"{path}/dim_student", BUCKETS)
-    units = write_by_student(version.read("fact_enrolment"), f"{path}/fact_enrolment", BUCKETS,
-                             order=["term_code"])
+        "student_id", "mode", "commencing_term"), f"{path}/dim_student", buckets)
+    # one row a unit, without the columns that nobody reads here
+    units = write_by_student(version.read("fact_enrolment").select("student_id", "term_code"),
+                             f"{path}/fact_enrolment", buckets, order=["term_code"])
     terms = units.join(people).groupBy("student_id", "mode", "term_code").agg(
         F.count(F.lit(1)).alias("units"), F.first("commencing_term").alias("commencing_term"))
     so_far = Window.partitionBy("student_id").orderBy("term_code")

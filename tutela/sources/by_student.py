@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+ROWS_A_BUCKET = 1_000_000
 HOT = 2.0  # of an even share of the rows; at most buckets / HOT keys have that
 
 
@@ -52,6 +53,11 @@ class ByStudent:
         return even.unionByName(self.rows().filter(named).join(few, self.key, how))
 
 
+def buckets_for(rows: int, least: int) -> int:
+    """Buckets of a table: one task sorts and reads each, so their rows are bounded, not their number."""
+    return max(least, -(-rows // ROWS_A_BUCKET))
+
+
 def _table(spark: SparkSession, path: str, schema: T.StructType, key: str, order: Sequence[str],
            buckets: int) -> str:
     """The name of an external table over bucketed files, declared in this session."""
