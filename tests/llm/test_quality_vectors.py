@@ -84,6 +84,23 @@ def test_small_groups_null_groups_and_repeated_rows(docs):
     assert rules.judge(docs([])).collect() == []
 
 
+def test_texts_are_judged_where_they_are_read(docs):
+    rng = random.Random(8)
+    table = docs([*[prose(rng) for _ in range(90)], "short", None]).withColumn(
+        "rid", F.lit("own")).withColumn("counts", F.struct("lang"))
+    got = rules.judge(table)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    rows = got.orderBy("doc_id").collect()
+    assert [r.doc_id for r in rows] == list(range(92))
+    assert all(r.rid == "own" and r.counts.lang == "en" for r in rows)
+    assert [r.distance is None for r in rows] == [False] * 90 + [True] * 2
+    few = rules.judge(table, carried=["doc_id"])
+    assert few.columns == ["doc_id", *rules.BASE, "base_failed", "distance", "kept"]
+    assert few.orderBy("doc_id").collect() == [
+        tuple(r[c] for c in few.columns) for r in rows]
+
+
 def lines(rng, n, words=9):
     return [" ".join(prose(rng, words).split()[:words]) for _ in range(n)]
 

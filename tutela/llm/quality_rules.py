@@ -18,13 +18,14 @@ from __future__ import annotations
 
 import math
 import secrets
-from collections.abc import Iterator
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tutela.llm.words import chunks, gram_hashes, same_spans, span_hashes, split, text_bytes
 from tutela.session import keep
@@ -124,14 +125,16 @@ def _again(owner: np.ndarray, value: np.ndarray, first_too: bool, equal) -> np.n
     return out
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in chunks(batch, "text"):
-            found = count_statistics(part.column("text"))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(c) for c in ("rid", "lang", "source")]
-                + [pa.array(found[c]) for c in (*BASE, "n_lines")],
-                names=["rid", "lang", "source", *BASE, "n_lines"])
+_COUNTS = (*BASE, "n_lines")
+_COUNTED = T.StructType([T.StructField(c, T.LongType()) for c in _COUNTS])
+
+
+def _counted(texts: pa.Array) -> pa.Array:
+    found = [count_statistics(part.column("text")) for part in chunks(
+        pa.RecordBatch.from_arrays([texts], names=["text"]), "text")]
+    return pa.StructArray.from_arrays(
+        [pa.array(np.concatenate([np.zeros(0, np.int64), *(f[c] for f in found)]))
+         for c in _COUNTS], names=list(_COUNTS))
 
 
 def _vector() -> list[Column]:
@@ -316,18 +319,18 @@ def _plan(fair: DataFrame) -> DataFrame:
     return both.select("key", judge.alias("judged_by"), fitted.alias("fitted"))
 
 
-def _verdicts(fair: DataFrame) -> DataFrame:
-    """(rid, far, distance) for rows (rid, lang, key, x)."""
+def _judges(fair: DataFrame) -> DataFrame:
+    """(key, centre, inverse) of the estimates that judge each group of rows (rid, lang, key, x)."""
     plan = keep(_plan(fair), "groups")
-    rows = keep(fair.join(plan, "key").select("rid", "x", "judged_by", "fitted"), "vectors")
+    rows = keep(fair.join(plan, "key").select("rid", "x", "fitted"), "vectors")
     model = _models(rows.select("rid", "x", F.explode("fitted").alias("key")).filter(
         F.col("key").isNotNull()))
-    found = rows.select("rid", "x", F.col("judged_by").alias("key")).join(model, "key")
-    return found.select("rid", (_distance() > chi2_quantile(P, CUT)).alias("far"),
-                        _distance().alias("distance"))
+    # written first, so that the planner knows how small it is and sends it to the texts
+    return keep(plan.select(F.col("key").alias("judged"), F.col("judged_by").alias("key"))
+                .join(model, "key").select("judged", "centre", "inverse"), "judges")
 
 
-def judge(docs: DataFrame) -> DataFrame:
+def judge(docs: DataFrame, carried: Sequence[str] | None = None) -> DataFrame:
     """The rows of (doc_id, text, lang, source, ...) with n_words, word_chars, n_symbols,
     n_dup_lines, n_repeat_words, base_failed, distance, kept.
 
@@ -336,24 +339,27 @@ def judge(docs: DataFrame) -> DataFrame:
     text has no words. Null languages and sources are values of their own. Groups of fewer than
     ``LEAST_ROWS`` texts are judged by the estimates of their language, languages of fewer by those
     of the whole corpus; below ``LEAST_CORPUS`` texts in all there are no outliers. Rows that repeat
-    are judged alike and all come back; an empty table gives none. Other columns come back;
-    columns named as new ones are replaced.
+    are judged alike and all come back; an empty table gives none. Other columns come back
+    (``carried`` names those wanted, if not all); columns named as new ones are replaced.
+
+    Texts stay where they are read: a row is written once with its counts, and the estimates, a few
+    numbers a group, come to it. What is carried must be of types that Parquet has.
     """
     new = (*BASE, "base_failed", "distance", "kept")
-    others = [c for c in docs.columns if c not in new]
+    others = [c for c in (docs.columns if carried is None else carried) if c not in new]
     rid = F.xxhash64(F.col("doc_id"), F.col("text"), F.col("lang"), F.col("source"))
-    rows = docs.select(rid.alias("rid"), *(F.col(c).cast("string").alias(c)
-                                           for c in ("text", "lang", "source")))
-    counted = keep(rows.mapInArrow(_counted, "rid long, lang string, source string, " + ", ".join(
-        f"{c} long" for c in (*BASE, "n_lines"))), "counted")
+    text, *group = (F.col(c).cast("string") for c in ("text", "lang", "source"))
+    rows = keep(docs.select(
+        F.struct(*others).alias("row"), rid.alias("rid"), F.struct(
+            group[0].alias("lang"), group[1].alias("source")).alias("group"),
+        F.arrow_udf(_counted, _COUNTED)(text).alias("counts")), "counted")
+    counted = rows.select("row", "rid", "group.lang", F.to_json(
+        "group", {"ignoreNullFields": "false"}).alias("key"), "counts.*")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    fair = counted.filter(~failed).withColumn("x", F.array(*_vector())).withColumn(
-        "key", F.to_json(F.struct("lang", "source"), {"ignoreNullFields": "false"}))
-    far = _verdicts(fair).groupBy("rid").agg(F.max("far").alias("far"),
-                                             F.max("distance").alias("distance"))
-    found = counted.groupBy("rid").agg(*(F.first(c).alias(c) for c in BASE)).join(far, "rid",
-                                                                                  "left")
-    base = found.select(F.col("rid").alias("place"), *BASE, failed.alias("base_failed"),
-                        "distance", (~failed & ~F.coalesce("far", F.lit(False))).alias("kept"))
-    return docs.select(*others).withColumn("__rid", rid).join(
-        base, F.col("__rid") == F.col("place")).select(*others, *new)
+    vector = counted.withColumn("x", F.array(*_vector()))
+    judges = _judges(vector.filter(~failed).select("rid", "lang", "key", "x"))
+    found = vector.join(judges, ~failed & (F.col("key") == F.col("judged")), "left").withColumn(
+        "distance", _distance())
+    far = F.coalesce(F.col("distance") > chi2_quantile(P, CUT), F.lit(False))
+    return found.select(*(F.col("row")[c].alias(c) for c in others), *BASE,
+                        failed.alias("base_failed"), "distance", (~failed & ~far).alias("kept"))
