@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -67,6 +68,40 @@ def test_rows_that_repeat_null_ids_and_clashing_columns(docs):
     assert substring.remove_repeats(docs([])).collect() == []
 
 
+def test_counting_a_bucket_takes_a_few_times_its_text(monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(600)) for _ in range(400)]
+    texts += [f"{t} {texts[i + 1]}" for i, t in enumerate(texts[:20])]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "rid": np.arange(len(texts))})
+    monkeypatch.setattr("tutela.llm.words.CHUNK_BYTES", 1 << 17)
+    monkeypatch.setattr(substring, "CHUNK_BYTES", 1 << 17, raising=False)
+    none = np.zeros(0, np.uint64)
+    packs = pa.Table.from_batches([p for i in range(0, len(texts), 20) for p in
+                                   substring._pack(35, 3, 1, none)([batch.slice(i, 20)])])
+    volume = sum(len(substring._unzip(t)) for t in packs.column("text").to_pylist())
+    tracemalloc.start()
+    ranges = substring._count(35)(packs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert volume > 3 << 20 and peak < 7 * volume, (volume, peak)
+    covered = [0] * len(texts)
+    for rid, lo, hi in sorted(zip(*(c.to_pylist() for c in ranges.columns))):
+        covered[rid] += hi - lo
+    brute = brute_removed(texts, 35)
+    assert [min(c, 1) for c in covered] == [min(n, 1) for _, n, _ in brute]
+
+
+def test_ranges_are_written_one_row_a_text(docs, monkeypatch):
+    real, written = substring.keep, []
+    monkeypatch.setattr(substring, "keep",
+                        lambda df, name: written.append(real(df, name)) or written[-1])
+    texts = corpus(4)
+    got = substring.remove_repeats(docs(texts), 9, 3, 700).orderBy("doc_id").collect()
+    assert [(r.n_words, r.n_removed, r.kept_text) for r in got] == brute_removed(texts, 9)
+    rows = [tuple(r)[0] for table in written for r in table.collect()]
+    assert rows and len(rows) == len(set(rows))
+
+
 def test_equal_hashes_of_unequal_windows_are_told_apart(monkeypatch):
     words = substring.split(pa.array(["a b c a b d a b c"]))
     monkeypatch.setattr(substring, "window_hashes",

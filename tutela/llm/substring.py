@@ -14,14 +14,14 @@ of a window alone, so windows of equal words always meet: the sample decides whe
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tutela.llm.words import (Words, chunks, gram_hashes, mix, sliding_min, split,
+from tutela.llm.words import (CHUNK_BYTES, Words, chunks, gram_hashes, mix, sliding_min, split,
                               window_hashes)
 from tutela.session import keep
 
@@ -158,15 +158,22 @@ def _pack(size: int, gram: int, buckets: int, heavy: np.ndarray):
 
 
 def repeated_windows(words: Words, at: np.ndarray, size: int) -> np.ndarray:
-    """Which of the windows beginning at the words ``at`` have the words of another one.
+    """Which of the windows beginning at the words ``at`` have the words of another one."""
+    if not len(at):
+        return np.zeros(0, bool)
+    return _repeated(words.data.tobytes(), window_hashes(words.hashes(), size)[at], at,
+                     words.starts[at], words.ends[at + size - 1])
+
+
+def _repeated(raw: bytes, hashes: np.ndarray, at: np.ndarray, begin: np.ndarray,
+              end: np.ndarray) -> np.ndarray:
+    """Which windows have the bytes of another one; each has a hash and a first word and is
+    ``raw[begin:end]``.
 
     Hashes are sorted; windows of equal hash are compared with the first of them by their bytes,
     neighbouring windows together.
     """
     out = np.zeros(len(at), bool)
-    if not len(at):
-        return out
-    hashes = window_hashes(words.hashes(), size)[at]
     order = np.argsort(hashes, kind="stable")
     new = np.ones(len(order), bool)
     new[1:] = hashes[order[1:]] != hashes[order[:-1]]
@@ -176,51 +183,89 @@ def repeated_windows(words: Words, at: np.ndarray, size: int) -> np.ndarray:
     rest = np.flatnonzero(leader != np.arange(len(at)))
     if not len(rest):
         return out
-    a, b = at[rest], at[leader[rest]]
-    begin = np.ones(len(rest), bool)
-    begin[1:] = (a[1:] != a[:-1] + 1) | (b[1:] != b[:-1] + 1)
-    edge = np.append(np.flatnonzero(begin), len(rest))
-    raw, starts, ends = words.data.tobytes(), words.starts, words.ends
+    lead = leader[rest]
+    del order, new, head, leader
+    a, b = at[rest], at[lead]
+    fresh = np.ones(len(rest), bool)
+    fresh[1:] = (a[1:] != a[:-1] + 1) | (b[1:] != b[:-1] + 1)
+    edge = np.append(np.flatnonzero(fresh), len(rest))
     odd = []
     for i, j in zip(edge[:-1], edge[1:]):
-        if raw[starts[a[i]]:ends[a[j - 1] + size - 1]] == \
-                raw[starts[b[i]]:ends[b[j - 1] + size - 1]]:
+        if raw[begin[rest[i]]:end[rest[j - 1]]] == raw[begin[lead[i]]:end[lead[j - 1]]]:
             out[rest[i:j]] = True
-            out[leader[rest[i:j]]] = True
+            out[lead[i:j]] = True
         else:
             odd += rest[i:j].tolist()
     if odd:  # a run with unequal words of equal hash: count the windows of its hashes by bytes
         seen: dict[bytes, int] = {}
         for i in np.flatnonzero(np.isin(hashes, hashes[odd])):
-            text = raw[starts[at[i]]:ends[at[i] + size - 1]]
+            text = raw[begin[i]:end[i]]
             other = seen.setdefault(text, i)
             if other != i:
                 out[i] = out[other] = True
     return out
 
 
+def _laid_out(n: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of strings of ``n`` windows, end to end: each window's string, place in it and first word."""
+    string = np.repeat(np.arange(len(n)), n)
+    step = np.arange(len(string)) - np.repeat(np.cumsum(n) - n, n)
+    return string, step, (np.cumsum(n + size - 1) - (n + size - 1))[string] + step
+
+
+def _windows(packs: Iterable[tuple[bytes, np.ndarray]], size: int) -> tuple:
+    """The texts of packs (text, windows of each string) as one, and each window's hash, begin and
+    end there.
+
+    Words are split and hashed for some packs at a time, of about ``CHUNK_BYTES`` of text: for all
+    of a bucket that takes more than ten times the bytes of its text.
+    """
+    texts, found, done = [], [], 0
+    for some in _together(packs):
+        text = b" ".join(t for t, _ in some)
+        at = _laid_out(np.concatenate([n for _, n in some]), size)[2]
+        words = split(pa.array([text], pa.large_string()))
+        found.append((window_hashes(words.hashes(), size)[at], done + words.starts[at],
+                      done + words.ends[at + size - 1]))
+        texts.append(text)
+        done += len(text) + 1
+    return b" ".join(texts), *map(np.concatenate, zip(*found))
+
+
+def _together(packs: Iterable[tuple[bytes, np.ndarray]]) -> Iterator[list]:
+    some, volume = [], 0
+    for pack in packs:
+        some.append(pack)
+        volume += len(pack[0])
+        if volume >= CHUNK_BYTES:
+            yield some
+            some, volume = [], 0
+    if some:
+        yield some
+
+
 _RANGES = pa.schema([("rid", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
 
 
 def _count(size: int):
     """Ranges of words of a bucket's strings that lie in repeated windows."""
     def run(table: pa.Table) -> pa.Table:
-        packs = [list(map(_unzip, table.column(k).to_pylist())) for k in ("rid", "place", "text")]
-        rid = np.frombuffer(b"".join(packs[0]), np.int64)
-        place = np.frombuffer(b"".join(packs[1]), np.int32).reshape(-1, 3)
-        text = b" ".join(t for t in packs[2] if t)
-        del packs, table
+        rid = np.frombuffer(b"".join(_unzip(x.as_py()) for x in table.column("rid")), np.int64)
+        places = [np.frombuffer(_unzip(x.as_py()), np.int32).reshape(-1, 3)
+                  for x in table.column("place")]
+        place = np.concatenate(places)
         kind, n = place[:, 2], place[:, 1].astype(np.int64)
         whole = kind == KNOWN
         ranges = [(rid[whole], place[whole, 0], place[whole, 0] + n[whole] + size - 1)]
         sent = np.flatnonzero(~whole)
         if len(sent):
-            words = split(pa.array([text], pa.large_string()) if len(text) > 1 << 30
-                          else pa.array([text], pa.string()))
-            first = np.cumsum(n[sent] + size - 1) - (n[sent] + size - 1)
-            string = np.repeat(np.arange(len(sent)), n[sent])
-            step = np.arange(len(string)) - np.repeat(np.cumsum(n[sent]) - n[sent], n[sent])
-            again = repeated_windows(words, first[string] + step, size)
+            raw, hashes, begin, end = _windows(
+                ((_unzip(text.as_py()), here[here[:, 2] != KNOWN, 1].astype(np.int64))
+                 for text, here in zip(table.column("text"), places)
+                 if (here[:, 2] != KNOWN).any()), size)
+            string, step, at = _laid_out(n[sent], size)
+            again = _repeated(raw, hashes, at, begin, end)
+            del raw, hashes, begin, end, at
             again |= kind[sent][string] == DOUBLED
             hit = np.flatnonzero(again)
             new = np.ones(len(hit), bool)
@@ -300,8 +345,9 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, gram: int = GRAM,
     packs = rows.mapInArrow(_pack(size, gram, buckets, heavy),
                             "bucket long, rid binary, place binary, text binary")
     ranges = packs.groupBy("bucket").applyInArrow(_count(size), "rid long, lo int, hi int")
-    listed = keep(ranges, "ranges").groupBy("rid").agg(
-        F.collect_set(F.struct("lo", "hi")).alias("ranges")).withColumnRenamed("rid", "place")
+    # written when the ranges of a text are together: few files, and the packs' shuffle can go
+    listed = keep(ranges.groupBy(F.col("rid").alias("place")).agg(
+        F.collect_set(F.struct("lo", "hi")).alias("ranges")), "ranges")
     marked = docs.withColumn("rid", F.xxhash64("doc_id", "text")).join(
         listed, F.col("rid") == F.col("place"), "left").select(
         *others, F.coalesce("ranges", F.array().cast("array<struct<lo:int,hi:int>>"))
